@@ -548,7 +548,9 @@ def ingested_orders(f: Frames) -> DataFrame:
 
 def built_lake(f: Frames) -> DataFrame:
     lake = f.lake()
-    ingest_all(lake, f.feed.raw, SECOND_RUN)
+    failed = ingest_all(lake, f.feed.raw, SECOND_RUN).where("status = 'failed'")
+    if not failed.isEmpty():
+        raise RuntimeError(f"ingest failed: {failed.collect()}")
     return build_lake(lake, SECOND_RUN, full=True)["oee_daily"]
 
 

@@ -35,7 +35,8 @@ LAYOUTS = (
 def mixed_time(ts: Column, variant: Column) -> Column:
     """The timestamp as text in one of six layouts, chosen by ``variant``."""
     layouts = F.array(*map(F.lit, LAYOUTS))
-    return F.date_format(ts, F.element_at(layouts, (variant % 6 + 1).cast("int")))
+    layout = F.element_at(layouts, (variant % 6 + 1).cast("int"))
+    return F.call_function("date_format", ts, layout)
 
 
 class PlantFeed:
