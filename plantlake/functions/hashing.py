@@ -7,29 +7,24 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Separator between fields, and what stands for a missing value of each kind.
+# Separator between fields, and how each kind of column enters the hash. NULL text
+# counts as empty, a NULL number as 0 and a NULL boolean as false; "bare" text that is NULL is
+# skipped with its separator.
 SEPARATOR = "||"
-MISSING = {"text": "''", "int": "0", "decimal": "cast(0 as decimal(18,4))", "bool": "false"}
-
-
-def hash_text(column: Column, kind: str) -> Column:
-    """One field as hash input.
-
-    ``text``/``int``/``decimal``/``bool`` replace NULL by an empty value, so NULL and 0 (or false)
-    hash alike. ``time`` is a date or timestamp. ``bare`` text keeps NULL, which the concatenation
-    then skips.
-    """
-    if kind == "bare":
-        return column
-    if kind == "time":
-        return F.coalesce(column.cast("string"), F.lit(""))
-    return F.coalesce(column, F.expr(MISSING[kind])).cast("string")
+HASH_TEXT = {
+    "text": "coalesce({0}, '')",
+    "bare": "{0}",
+    "time": "coalesce(cast({0} as string), '')",
+    "int": "cast(coalesce({0}, 0) as string)",
+    "decimal": "cast(coalesce({0}, cast(0 as decimal(18,4))) as string)",
+    "bool": "cast(coalesce({0}, false) as string)",
+}
 
 
 def row_hash(fields: Sequence[tuple[str, str]]) -> Column:
     """SHA-256 in hex over ``(column, kind)`` pairs, in the order given."""
-    parts = [hash_text(F.col(name), kind) for name, kind in fields]
-    return F.sha2(F.concat_ws(SEPARATOR, *parts), 256)
+    parts = ", ".join(HASH_TEXT[kind].format(f"`{name}`") for name, kind in fields)
+    return F.expr(f"sha2(concat_ws('{SEPARATOR}', {parts}), 256)")
 
 
 def backfill_hash(

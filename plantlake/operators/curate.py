@@ -6,7 +6,6 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
 from plantlake.functions.hashing import row_hash
 from plantlake.functions.parsing import as_is
@@ -20,7 +19,7 @@ class Field:
     """A curated column: the parser of its raw text and, if hashed, its kind of hash input."""
 
     name: str
-    parse: Callable[[Column], Column] = as_is
+    parse: Callable[[str], Column] = as_is
     hash_kind: str | None = None
 
 
@@ -54,7 +53,7 @@ def stage(raw: DataFrame, spec: EntitySpec) -> DataFrame:
     The ids are checked on the raw text, where the check can reach the file scan.
     """
     return require(raw, spec.required).select(
-        *[f.parse(F.col(f.name)).alias(f.name) for f in spec.fields]
+        *[f.parse(f.name).alias(f.name) for f in spec.fields]
     )
 
 

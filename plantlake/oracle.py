@@ -516,11 +516,14 @@ CTES["star_cells"] = f"""
       AND p.equipment_id = q.equipment_id
     JOIN dim_equipment e ON p.equipment_id = e.equipment_id
     GROUP BY d.full_date, e.equipment_name, e.equipment_type"""
+# Rounding goes through a decimal: on a double it first multiplies, which can reach the half that the
+# value itself stays below.
 _STAR_OEE = """
-    SELECT *, round(round(
+    SELECT *, round(CAST(round(CAST(
         production_time / nullif(production_time + downtime, 0)
         * (actual_qty / nullif(planned_qty, 0))
-        * ((inspected_qty - failed_qty) / nullif(inspected_qty, 0)), 4) * 100, 2) AS oee_pct
+        * ((inspected_qty - failed_qty) / nullif(inspected_qty, 0))
+      AS DECIMAL(38,17)), 4) AS DOUBLE) * 100, 2) AS oee_pct
     FROM """
 
 

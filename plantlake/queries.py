@@ -87,7 +87,9 @@ class Frames:
         Maintenance orders of the two months before that day were still open then.
         """
         if spec.raw == EQUIPMENT.raw:
-            return self.feed.equipment_master(versions=(0,))
+            # The thirty days younger versions had not arrived, and undated rows had.
+            known = event_time(spec.raw) < ntz(date(2001, 9, 20))
+            return self.raw(spec).where(F.coalesce(known, F.lit(True)))
         day = SENSOR_EXTRACT if spec is SENSORS else FIRST_EXTRACT
         rows = self.raw(spec).where(event_time(spec.raw) < ntz(day))
         if spec is MAINTENANCE:
@@ -184,7 +186,7 @@ class Frames:
 def parse_all(f: Frames) -> DataFrame:
     text = ("planned_start", "planned_end", "actual_start", "actual_end", "last_update")
     return f.raw(PRODUCTION).select(
-        "production_order_id", *[p.parse_timestamp(F.col(c)).alias(c) for c in text]
+        "production_order_id", *[p.parse_timestamp(c).alias(c) for c in text]
     )
 
 
@@ -193,42 +195,42 @@ def parse_profile(spec: EntitySpec, column: str, formats) -> Callable[[Frames],
         return f.raw(spec).select(
             spec.key,
             F.col(column).alias("text"),
-            p.parse_timestamp(F.col(column), formats).alias("parsed"),
+            p.parse_timestamp(column, formats).alias("parsed"),
         )
 
     return query
 
 
 def parse_install_date(f: Frames) -> DataFrame:
-    text = F.col("installation_date")
+    column = "installation_date"
     return f.raw(EQUIPMENT).select(
         "equipment_id",
-        text.alias("text"),
-        p.parse_date(text, p.FORMATS_P11_DATE).alias("installation_date"),
-        p.parse_date(text).alias("installation_date_any"),
+        F.col(column).alias("text"),
+        p.parse_date(column, p.FORMATS_P11_DATE).alias("installation_date"),
+        p.parse_date(column).alias("installation_date_any"),
     )
 
 
 def parse_readings(f: Frames) -> DataFrame:
     return f.raw(SENSORS).select(
-        "reading_id", p.parse_decimal(F.col("reading_value")).alias("reading_value")
+        "reading_id", p.parse_decimal("reading_value").alias("reading_value")
     )
 
 
 def parse_quantities(f: Frames) -> DataFrame:
     columns = ("planned_quantity", "actual_quantity")
     return f.raw(PRODUCTION).select(
-        "production_order_id", *[p.parse_int(F.col(c)).alias(c) for c in columns]
+        "production_order_id", *[p.parse_int(c).alias(c) for c in columns]
     )
 
 
 def parse_passed(f: Frames) -> DataFrame:
-    return f.raw(QUALITY).select("inspection_id", p.parse_bool(F.col("passed")).alias("passed"))
+    return f.raw(QUALITY).select("inspection_id", p.parse_bool("passed").alias("passed"))
 
 
 def upper_texts(f: Frames) -> DataFrame:
-    status = p.norm_upper(F.col("status")).alias("status")
-    codes = p.norm_upper(F.col("defect_codes")).alias("status")
+    status = p.norm_upper("status").alias("status")
+    codes = p.norm_upper("defect_codes").alias("status")
     sources = [(EQUIPMENT, status), (PRODUCTION, status), (MAINTENANCE, status), (QUALITY, codes)]
     frames = [
         f.raw(spec).groupBy(F.lit(spec.raw).alias("table_name"), text).agg(F.count("*").alias("n"))
@@ -244,7 +246,7 @@ def lower_texts(f: Frames) -> DataFrame:
     ]
     frames = [
         f.raw(spec)
-        .groupBy(F.lit(column).alias("column_name"), p.norm_lower(F.col(column)).alias("value"))
+        .groupBy(F.lit(column).alias("column_name"), p.norm_lower(column).alias("value"))
         .agg(F.count("*").alias("n"))
         for spec, column in sources
     ]

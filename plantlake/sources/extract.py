@@ -32,7 +32,7 @@ def read_jdbc(
 
 
 def event_time(table: str, formats: Sequence[str] = FORMATS_P10):
-    return parse_timestamp(F.col(RAW_TABLES[table].ts_col), formats)
+    return parse_timestamp(RAW_TABLES[table].ts_col, formats)
 
 
 def high_watermark(df: DataFrame, table: str) -> DataFrame:

@@ -1,5 +1,8 @@
 """The five raw plant tables, derived from the order, line, supplier and event tables.
 
+The derived text is written once per session and table to the shared folder and read from there,
+as a lake reads its raw layer: parsing then works on stored text columns.
+
 Gives every raw column as text with the irregularities a plant feed has: several date layouts,
 decimal commas, mixed case, stray blanks, several spellings of a boolean and repeated keys.
 See FIXTURES.md for the mapping in words.
@@ -7,9 +10,14 @@ See FIXTURES.md for the mapping in words.
 
 from __future__ import annotations
 
+from uuid import NAMESPACE_URL, uuid5
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from plantlake.config import shared_folder
+from plantlake.sources.schemas import raw_schema
+
 ID_DIGITS = 12
 
 
@@ -25,22 +33,40 @@ def _plus(ts: Column, minutes: Column) -> Column:
     return F.timestamp_add("MINUTE", minutes, ts)
 
 
-# The layouts a feed mixes, by variant.
+# The layouts a feed mixes, by variant, cut from "yyyy-MM-dd HH:mm:ss" text.
 LAYOUTS = (
-    "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd", "yyyy/MM/dd", "dd/MM/yyyy", "dd-MM-yyyy HH:mm:ss",
-    "yyyy-MM-dd'T'HH:mm:ss",
+    "{0}",
+    "left({0}, 10)",
+    "translate(left({0}, 10), '-', '/')",
+    "concat_ws('/', substring({0}, 9, 2), substring({0}, 6, 2), left({0}, 4))",
+    "concat(substring({0}, 9, 2), '-', substring({0}, 6, 2), '-', left({0}, 4), right({0}, 9))",
+    "translate({0}, ' ', 'T')",
 )
 
 
-def mixed_time(ts: Column, variant: Column) -> Column:
-    """The timestamp as text in one of six layouts, chosen by ``variant``."""
-    layouts = F.array(*map(F.lit, LAYOUTS))
-    layout = F.element_at(layouts, (variant % 6 + 1).cast("int"))
-    return F.call_function("date_format", ts, layout)
+def mixed_time(text: str, variant: str) -> Column:
+    """The time in column ``text`` in one of six layouts, chosen by the SQL expression ``variant``."""
+    cases = " ".join(f"WHEN {i} THEN {layout.format(text)}" for i, layout in enumerate(LAYOUTS))
+    return F.expr(f"CASE ({variant}) % 6 {cases} END")
+
+
+def with_times(df: DataFrame, **times: Column) -> DataFrame:
+    """Add times as text to the second."""
+    return df.withColumns({name: F.left(_text(ts), F.lit(19)) for name, ts in times.items()})
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Enough partitions to occupy all cores. Large inputs have them and are not shuffled."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+# Where each raw table of a session was written.
+_written: dict[tuple[str, str, str], str] = {}
 
 
 class PlantFeed:
-    """Raw frames over one directory of parquet tables; nothing is read until asked for."""
+    """Raw frames over one directory of parquet tables."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
@@ -52,7 +78,7 @@ class PlantFeed:
     def _equipment_count(self) -> Column:
         return self.table("supplier").agg(F.count("*")).scalar()
 
-    def equipment_master(self, versions: tuple[int, ...] = (0, 1)) -> DataFrame:
+    def equipment_master(self) -> DataFrame:
         """One row per supplier and version; version 1 is thirty days younger."""
         number, nation = F.col("s_suppkey"), F.col("s_nationkey")
         v = F.col("v")
@@ -64,24 +90,22 @@ class PlantFeed:
         updated = _plus(
             F.lit("2001-09-01 00:00:00").cast("timestamp_ntz"), v * 43200 + (number % 240) * 60
         )
-        rows = self.table("supplier").withColumn(
-            "v", F.explode(F.array(*[F.lit(x) for x in versions]))
-        )
-        return rows.select(
+        rows = self.table("supplier").withColumn("v", F.explode(F.array(F.lit(0), F.lit(1))))
+        return with_times(rows, installed=installed, updated=updated).select(
             _id("EQ", number).alias("equipment_id"),
             F.col("s_name").alias("equipment_name"),
             kind.alias("equipment_type"),
             F.when(number % 20 != 19, F.concat(F.lit("Line "), _text((nation + v) % 3 + 1))).alias(
                 "location"
             ),
-            mixed_time(installed, number).alias("installation_date"),
+            mixed_time("installed", "s_suppkey").alias("installation_date"),
             F.concat(F.lit("M"), _text(nation)).alias("manufacturer"),
             F.concat(F.lit("MOD-"), _text(number % 9)).alias("model"),
             F.when(number % 4 == 0, "operational")
             .when((v == 1) & (number % 4 == 1), " Broken")
             .otherwise("IDLE ")
             .alias("status"),
-            F.when(~((number % 25 == 7) & (v == 0)), mixed_time(updated, number + v)).alias(
+            F.when(~((number % 25 == 7) & (v == 0)), mixed_time("updated", "s_suppkey + v")).alias(
                 "last_update_date"
             ),
         )
@@ -89,7 +113,7 @@ class PlantFeed:
     def iot_sensor_readings(self) -> DataFrame:
         number, kind = F.col("event_id"), F.col("event_type")
         value = _text(F.col("value").cast("decimal(18,2)"))
-        return self.table("events").select(
+        return with_times(self.table("events"), read=F.col("ts")).select(
             _id("IOT", number).alias("reading_id"),
             _id("EQ", F.col("user_id") % self._equipment_count()).alias("equipment_id"),
             F.concat(F.lit("SENS-"), _text(F.col("user_id")), F.lit("-"), kind).alias("sensor_id"),
@@ -97,7 +121,7 @@ class PlantFeed:
             F.when(number % 3 == 0, F.translate(value, ".", ","))
             .otherwise(value)
             .alias("reading_value"),
-            mixed_time(F.col("ts"), number).alias("reading_timestamp"),
+            mixed_time("read", "event_id").alias("reading_timestamp"),
             F.when(number % 9 != 0, "u").alias("unit"),
         )
 
@@ -115,19 +139,22 @@ class PlantFeed:
         return _plus(F.col("l_shipdate"), minutes)
 
     def production_orders(self) -> DataFrame:
-        order, part, line = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_linenumber")
+        order, part = F.col("l_orderkey"), F.col("l_partkey")
         start, end = self._run_start(), self._run_end()
         planned = (F.col("l_quantity") * 10).cast("int")
         actual = F.floor(F.col("l_quantity") * 10 * (1 - F.col("l_discount"))).cast("int")
         state = F.col("l_linestatus")
-        return self.table("lineitem").select(
+        lines = with_times(
+            self.table("lineitem"), run_start=start, run_end=end, due=_plus(start, F.lit(480))
+        )
+        return lines.select(
             self._line_id("PO").alias("production_order_id"),
             _id("EQ", F.col("l_suppkey")).alias("equipment_id"),
             F.concat(F.lit("PROD-"), _text(part)).alias("product_id"),
-            mixed_time(start, F.col("l_suppkey")).alias("planned_start"),
-            mixed_time(_plus(start, F.lit(480)), F.col("l_suppkey") + line).alias("planned_end"),
-            mixed_time(start, order).alias("actual_start"),
-            mixed_time(end, order + line).alias("actual_end"),
+            mixed_time("run_start", "l_suppkey").alias("planned_start"),
+            mixed_time("due", "l_suppkey + l_linenumber").alias("planned_end"),
+            mixed_time("run_start", "l_orderkey").alias("actual_start"),
+            mixed_time("run_end", "l_orderkey + l_linenumber").alias("actual_end"),
             _text(planned).alias("planned_quantity"),
             F.when(part % 7 == 0, F.concat(_text(actual), F.lit(",0")))
             .otherwise(_text(actual))
@@ -135,7 +162,7 @@ class PlantFeed:
             F.when(order % 4 == 0, F.upper(state))
             .otherwise(F.lower(F.concat(F.lit(" "), state)))
             .alias("status"),
-            mixed_time(start, part).alias("last_update"),
+            mixed_time("run_start", "l_partkey").alias("last_update"),
         )
 
     def maintenance_orders(self) -> DataFrame:
@@ -143,23 +170,24 @@ class PlantFeed:
         day, priority = F.col("o_orderdate"), F.col("o_orderpriority")
         start = _plus(day, customer % 600)
         end = _plus(day, customer % 600 + 30 + customer % 210)
-        return self.table("orders").select(
+        times = {"run_start": start, "run_end": end, "due": _plus(start, F.lit(240)), "day": day}
+        return with_times(self.table("orders"), **times).select(
             _id("MO", order).alias("maintenance_order_id"),
             _id("EQ", order % self._equipment_count()).alias("equipment_id"),
             F.when(order % 4 == 0, F.upper(priority))
             .otherwise(F.concat(F.lower(priority), F.lit(" ")))
             .alias("maintenance_type"),
-            mixed_time(start, order).alias("scheduled_start"),
-            mixed_time(_plus(start, F.lit(240)), customer).alias("scheduled_end"),
-            mixed_time(start, F.lit(0)).alias("actual_start"),
-            F.when(order % 11 != 0, mixed_time(end, F.lit(0))).alias("actual_end"),
+            mixed_time("run_start", "o_orderkey").alias("scheduled_start"),
+            mixed_time("due", "o_custkey").alias("scheduled_end"),
+            F.col("run_start").alias("actual_start"),
+            F.when(order % 11 != 0, F.col("run_end")).alias("actual_end"),
             F.concat(F.lit("TECH-"), F.lpad(_text(customer % 20 + 1), 3, "0")).alias(
                 "technician_id"
             ),
             F.col("o_orderstatus").alias("status"),
             F.concat(F.lit(" P"), F.substring(priority, 1, 1)).alias("priority"),
             F.when(order % 3 != 0, F.concat(F.lit("order "), _text(order))).alias("description"),
-            mixed_time(day, customer).alias("last_update"),
+            mixed_time("day", "o_custkey").alias("last_update"),
         )
 
     def quality_inspections(self) -> DataFrame:
@@ -167,12 +195,13 @@ class PlantFeed:
         flag, quantity, discount = F.col("l_returnflag"), F.col("l_quantity"), F.col("l_discount")
         first, second = _text(part % 6 + 1), _text(supplier % 6 + 1)
         kinds = F.array(F.lit(" Visual"), F.lit("DIMENSIONAL"), F.lit("functional "))
-        return self.table("lineitem").select(
+        lines = with_times(self.table("lineitem"), run_start=self._run_start(), run_end=self._run_end())
+        return lines.select(
             self._line_id("INS").alias("inspection_id"),
             self._line_id("PO").alias("production_order_id"),
             _id("EQ", supplier).alias("equipment_id"),
             F.element_at(kinds, F.col("l_linenumber") % 3 + 1).alias("inspection_type"),
-            mixed_time(self._run_end(), F.lit(0)).alias("inspection_date"),
+            F.col("run_end").alias("inspection_date"),
             F.concat(F.lit("INSP-"), _text(supplier % 40)).alias("inspector_id"),
             F.when(flag == "A", "Yes").when(flag == "R", " f").otherwise("maybe").alias("passed"),
             _text(F.floor(quantity * discount).cast("int")).alias("failed_quantity"),
@@ -184,8 +213,16 @@ class PlantFeed:
             .otherwise(F.concat(F.lit("D00"), first))
             .alias("defect_codes"),
             F.when(part % 4 != 0, F.concat(F.lit("lot "), _text(part))).alias("notes"),
-            mixed_time(self._run_start(), part).alias("last_update"),
+            mixed_time("run_start", "l_partkey").alias("last_update"),
         )
 
     def raw(self, table: str) -> DataFrame:
-        return getattr(self, table)()
+        """A raw table as stored text."""
+        application = self.spark.sparkContext.applicationId
+        place = (application, self.sf_dir, table)
+        if place not in _written:
+            folder = f"{shared_folder(self.spark)}/plant-feed-{application}"
+            path = f"{folder}/{uuid5(NAMESPACE_URL, self.sf_dir).hex}/{table}"
+            spread(getattr(self, table)()).write.mode("overwrite").parquet(path)
+            _written[place] = path
+        return self.spark.read.schema(raw_schema(table)).parquet(_written[place])
