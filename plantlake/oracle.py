@@ -516,29 +516,30 @@ CTES["star_cells"] = f"""
       AND p.equipment_id = q.equipment_id
     JOIN dim_equipment e ON p.equipment_id = e.equipment_id
     GROUP BY d.full_date, e.equipment_name, e.equipment_type"""
-# Rounding goes through a decimal: on a double it first multiplies, which can reach the half that the
-# value itself stays below.
+# Rounding goes through the digits of the number: on a double it first multiplies, which can reach the
+# half that the number itself stays below.
 _STAR_OEE = """
-    SELECT *, round(CAST(round(CAST(
+    SELECT *, round(CAST(round(CAST(CAST(
         production_time / nullif(production_time + downtime, 0)
         * (actual_qty / nullif(planned_qty, 0))
         * ((inspected_qty - failed_qty) / nullif(inspected_qty, 0))
-      AS DECIMAL(38,17)), 4) AS DOUBLE) * 100, 2) AS oee_pct
+      AS VARCHAR) AS DECIMAL(38,20)), 4) AS DOUBLE) * 100, 2) AS oee_pct
     FROM """
 
 
-def sql(statement: str) -> str:
+def sql(statement: str, instead: dict[str, str] | None = None) -> str:
     """The statement with all table expressions it needs, each after those it uses itself."""
+    tables = {**CTES, **(instead or {})}
     ordered: list[str] = []
 
     def need(text: str) -> None:
-        for name in CTES:
+        for name in tables:
             if name not in ordered and re.search(rf"\b{name}\b", text):
-                need(CTES[name])
+                need(tables[name])
                 ordered.append(name)
 
     need(statement)
-    listed = ",\n".join(f"{name} AS ({CTES[name]})" for name in ordered)
+    listed = ",\n".join(f"{name} AS ({tables[name]})" for name in ordered)
     return f"WITH {listed}\n{statement}" if ordered else statement
 
 
@@ -832,3 +833,12 @@ STATEMENTS["mrg3_stored_upsert"] = STATEMENTS["mrg3_production_orders"]
 STATEMENTS["scd2_stored_history"] = STATEMENTS["scd2_history"]
 
 ORACLE_SQL = {name: sql(statement) for name, statement in STATEMENTS.items()}
+ORACLE_SQL["built_lake_oee"] = sql(
+    "SELECT * FROM oee",
+    {
+        f"clean_{e}": ENTITIES[e].curated(
+            f"SELECT * FROM staged_{e}", "last_update >= DATE '2001-09-01' - 60"
+        )
+        for e in ("production", "maintenance", "quality")
+    },
+)
