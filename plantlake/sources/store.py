@@ -18,7 +18,7 @@ from plantlake.config import LakeConfig
 from plantlake.operators.dedupe import dedupe
 from plantlake.operators.history import apply_history, first_versions
 from plantlake.operators.filters import require
-from plantlake.operators.merge import changed_rows, merge_upsert
+from plantlake.operators.merge import changed_rows, merge_stored
 
 LOG_SCHEMA = "version long, key_group int, key_groups int"
 
@@ -99,9 +99,12 @@ class KeyedTable:
         log = self.spark.createDataFrame(rows, LOG_SCHEMA).coalesce(1)
         log.write.mode("append").parquet(f"{self.path}/log")
 
-    def _stage(self, source: DataFrame, version: int) -> DataFrame:
-        """Write the batch once, so that it is computed once and its size is known to the joins."""
-        path = f"{self.path}/stage/version={version}"
+    def _stage(self, source: DataFrame) -> DataFrame:
+        """Write the batch once, so that it is computed once and its size is known to the joins.
+
+        It replaces the batch of the write before.
+        """
+        path = f"{self.path}/stage"
         grouped = self._grouped(source)
         grouped.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(grouped.schema).parquet(path)
@@ -114,7 +117,7 @@ class KeyedTable:
         """First load: all rows as they are, also those that share a key. Returns their number."""
         if self.exists():
             raise ValueError(f"{self.path} already has data")
-        staged = self._stage(df, 1)
+        staged = self._stage(df)
         self._publish(staged, 1, self._groups_of(staged))
         return staged.count()
 
@@ -123,11 +126,10 @@ class KeyedTable:
         source: DataFrame,
         changes: Callable[[DataFrame, DataFrame], DataFrame],
         step: Callable[[DataFrame, DataFrame], DataFrame],
-        batch_schema: DataFrame | None = None,
     ) -> int:
         versions = self._versions()
         version = max(versions.values(), default=0) + 1
-        staged = self._stage(source, version)
+        staged = self._stage(source)
         groups = self._groups_of(changes(self._read(versions), staged))
         if groups:
             batch = staged.where(F.col("key_group").isin(groups)).drop("key_group")
@@ -147,7 +149,7 @@ class KeyedTable:
         return self._advance(
             batch,
             lambda old, new: changed_rows(old, new, self.key, hash_col),
-            lambda old, new: merge_upsert(old, new, self.key, hash_col),
+            lambda old, new: merge_stored(old, new, self.key, hash_col),
         )
 
 

@@ -1,7 +1,9 @@
 """Parsers, filters, de-duplication and hashes on hand-made rows."""
 
+from contextlib import redirect_stdout
 from datetime import date, datetime
 from hashlib import sha256
+from io import StringIO
 
 from pyspark.sql import functions as F
 
@@ -79,8 +81,9 @@ def test_dedupe_hot_key_and_ties(spark):
         rows = dedupe(df.repartition(parts), ["k"], ["ts"]).collect()
         assert {(r["k"], r["v"]) for r in rows} == expected
         assert len(rows) == 6001
-    plan = dedupe(df, ["k"], ["ts"])._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("WindowGroupLimit") == 2
+    with redirect_stdout(StringIO()) as plan:
+        dedupe(df, ["k"], ["ts"]).explain()
+    assert plan.getvalue().count("WindowGroupLimit") == 2
 
 
 def test_hash_rules(spark):

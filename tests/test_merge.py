@@ -6,7 +6,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from plantlake.operators.history import apply_history, as_of_join, first_versions
-from plantlake.operators.merge import changed_rows, merge_insert_only, merge_upsert
+from plantlake.operators.merge import (
+    changed_rows,
+    merge_insert_only,
+    merge_stored,
+    merge_upsert,
+)
 from plantlake.sources.store import HistoryTable, KeyedTable
 
 SCHEMA = "id string, v int, note string, row_hash string"
@@ -40,6 +45,11 @@ def test_guarded_upsert(target, source):
     assert merged.count() == 6
     again = merge_upsert(merged, source, "id", "row_hash")
     assert rows(again) == expected and again.count() == 6
+    stored = merge_stored(target, source, "id", "row_hash")
+    assert rows(stored) == expected and stored.count() == 6
+    unguarded = merge_stored(target.unionAll(target), source, "id")
+    assert unguarded.where("id = 'same' and v = 9").count() == 2
+    assert unguarded.where("id = 'new'").count() == 1
     changed = {r["id"] for r in changed_rows(target, source, "id", "row_hash").collect()}
     assert changed == {"changed", "unhashed", "new"}
 
