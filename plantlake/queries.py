@@ -28,7 +28,6 @@ from plantlake.plans import dimensions as dim
 from plantlake.plans import facts, reports, views
 from plantlake.plans.build import build_lake, history_table
 from plantlake.plans.entities import (
-    ENTITIES,
     EQUIPMENT,
     EQUIPMENT_VERSIONS,
     MAINTENANCE,
