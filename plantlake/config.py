@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
@@ -32,13 +31,6 @@ def qualify(schema: str, table: str, catalog: str | None = None) -> str:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A folder every executor can reach: the session's checkpoint folder.
-
-    Only a local session without that setting falls back to a temporary folder.
-    """
+    """A folder every executor can reach: the checkpoint folder, or where none is set the warehouse."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("spark.checkpoint.dir must name a folder shared by all executors")
-    return tempfile.mkdtemp(prefix="plantlake-")
+    return folder.rstrip("/") if folder else f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
