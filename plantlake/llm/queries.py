@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plantlake.llm import byte_bpe, embedding_dedup, language, mixing, quality, simhash, token_counts, topk
+from plantlake.llm import (
+    byte_bpe, chat_preference, embedding_dedup, language, mixing, quality, simhash, suffix_dedup, token_counts, topk,
+)
 from plantlake.llm.shared import remainder
 
 LIMIT_TOKENS = 2048
@@ -23,6 +25,11 @@ def held_out(by: int, which: int):
     return F.coalesce(remainder("doc_id", by) == which, F.lit(False))
 
 
+def op1_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chosen = table(spark, sf_dir, "conversations").withColumnRenamed("conv_id", "pair_id")
+    return chat_preference.preference_segments(chosen, chat_preference.with_swapped_ends(chosen))
+
+
 def op2_subword_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = quality.train(docs, table(spark, sf_dir, "labels"), remainder("doc_id", 4) != 2)
@@ -68,6 +75,11 @@ def op8_int8_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.98)
 
 
+def op9_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), window=200)
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op10_forced_boundary_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     encoded = byte_bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), path)
@@ -82,11 +94,33 @@ def op10_forced_boundary_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        op2_subword_quality, op3_gray_simhash, op4_ppm_language, op5_ranked_token_counts, op6_pareto_mix,
-        op7_histogram_top_k, op8_int8_near_vectors, op10_forced_boundary_bpe,
+        op1_preference_format, op2_subword_quality, op3_gray_simhash, op4_ppm_language, op5_ranked_token_counts,
+        op6_pareto_mix, op7_histogram_top_k, op8_int8_near_vectors, op9_suffix_repeats, op10_forced_boundary_bpe,
     )
 }
 
+OP1_SQL = """
+WITH last_turn AS (
+  SELECT conv_id, max(turn) AS turn, arg_max(text, turn) AS text FROM conversations GROUP BY conv_id),
+rejected AS (
+  SELECT c.conv_id, c.turn, c.role, CASE WHEN c.turn = l.turn THEN n.text ELSE c.text END AS text
+  FROM conversations c JOIN last_turn l USING (conv_id) LEFT JOIN last_turn n ON n.conv_id = l.conv_id + 1
+  WHERE c.turn < l.turn OR n.conv_id IS NOT NULL),
+sided AS (
+  SELECT DISTINCT conv_id, turn, role, text, 'chosen' AS part FROM conversations
+  UNION ALL SELECT DISTINCT conv_id, turn, role, text, 'rejected' FROM rejected),
+prefix AS (
+  SELECT conv_id, min(turn) AS cut FROM (
+    SELECT conv_id, turn FROM sided GROUP BY conv_id, turn, role, text HAVING count(*) < 2)
+  GROUP BY conv_id),
+placed AS (
+  SELECT s.*, coalesce(s.turn < p.cut, true) AS shared FROM sided s LEFT JOIN prefix p USING (conv_id))
+SELECT DISTINCT conv_id AS pair_id, CASE WHEN shared THEN 'prompt' ELSE part END AS part, turn, role,
+  '<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10) AS segment,
+  NOT shared AND role = 'assistant' AS trained
+FROM placed
+"""
+
 OP6_SQL = r"""
 WITH sized AS (
   SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,
@@ -150,4 +184,6 @@ SELECT e.vec_id, CAST(coalesce(d.n, 0) AS BIGINT) AS n_links, c.component_id, e.
 FROM embeddings e JOIN component c ON c.start = e.vec_id LEFT JOIN degree d ON d.one = e.vec_id
 """
 
-LLM_SQL = {"op6_pareto_mix": OP6_SQL, "op7_histogram_top_k": OP7_SQL, "op8_int8_near_vectors": OP8_SQL}
+LLM_SQL = {
+    "op1_preference_format": OP1_SQL, "op6_pareto_mix": OP6_SQL, "op7_histogram_top_k": OP7_SQL, "op8_int8_near_vectors": OP8_SQL,
+}

@@ -141,13 +141,15 @@ def _search_block(candidates: DataFrame, block: pa.Table, factor: float, k: int,
                 hit = rows[rows.reached >= need[n][i]] if rows is not None else None
                 if hit is None or hit.empty:
                     # Fewer than k candidates: all are results.
-                    low[n][i], open_[n][i] = -np.inf, False
+                    low[n][i], high[n][i], open_[n][i] = -np.inf, -np.inf, False
                     continue
                 best = hit.loc[hit.step.idxmax()]
                 need[n][i] -= int(best.reached - best.n)
                 low[n][i] += best.step * width[n][i]
                 high[n][i] = min(high[n][i], low[n][i] + width[n][i])
                 open_[n][i] = width[n][i] > 1
+                if not open_[n][i]:
+                    high[n][i] = -np.inf  # known: nothing more is counted
                 width[n][i] = np.ceil(width[n][i] / BINS)
     sent = context.broadcast((queries, low))
     return candidates.mapInArrow(on_executors(_select, sent, factor, k), RESULT)
