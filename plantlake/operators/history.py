@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from plantlake.functions.hashing import backfill_hash
 from plantlake.functions.times import AsOf, ntz
+from plantlake.operators.dedupe import dedupe
 from plantlake.operators.filters import require
 
 # Fixed value: the end of a version that is still valid.
@@ -31,51 +34,77 @@ def first_versions(source: DataFrame, key: str, ts: str, as_of: AsOf) -> DataFra
     )
 
 
-def apply_history(
-    history: DataFrame, source: DataFrame, key: str, ts: str, hash_col: str, as_of: AsOf
-) -> DataFrame:
-    """History after one batch with at most one row per key.
+def changes_of(known: DataFrame, opened: DataFrame, key: str, hash_col: str) -> DataFrame:
+    """What a batch of ``opened`` versions, one per key, does to a history: one row per changed key.
 
-    A current version whose hash is missing or differs is closed at the source time and the source
-    row opens a new one; an unknown key opens its first. Equal hashes change nothing. A source row
-    older than the start of the current version arrives too late to be placed and is skipped: to
-    close the version at that time would leave an interval that ends before it starts. Versions
-    in between within one batch are not kept, only the last one given.
-
-    One join on the key; each joined pair gives the old version, the new one or both.
+    Names the version that is cut (``_prior``, by its start), the start of the version after the new one
+    (``_next``) and whether the key is new. A row with the hash of the version valid at its start changes
+    nothing; nor does one that lies before all versions and has the hash of the first. Versions are
+    summed up to one row per key before anything is decided, so a long history is spread like other rows.
     """
-    columns = [c for c in history.columns if c != "version_key"]
-    payload = [c for c in columns if c not in VALIDITY]
-    opened = first_versions(source, key, ts, as_of).select(columns)
-    current = history.select(columns).where(F.col("is_current"))
-    closed = history.select(columns).where(~F.col("is_current"))
-
-    pairs = current.alias("c").join(
-        opened.alias("n"), F.col(f"c.{key}") == F.col(f"n.{key}"), "full_outer"
+    at = opened.select(key, F.col("effective_start").alias("_at"), F.col(hash_col).alias("_hash"))
+    start, end = F.col("effective_start"), F.col("effective_end")
+    version = F.struct(start.alias("start"), end.alias("end"), F.col(hash_col).alias("hash"))
+    versions = known.select(key, version.alias("_v"))
+    after = F.col("_v.start") > F.col("_at")
+    around = at.join(versions, key, "left").groupBy(key, "_at", "_hash").agg(
+        F.min(F.when(after, F.col("_v"))).alias("next"),
+        F.max(F.when(~after, F.col("_v"))).alias("prior"),
     )
-    has_old = F.col(f"c.{key}").isNotNull()
-    has_new = F.col(f"n.{key}").isNotNull()
-    differs = F.col(f"c.{hash_col}").isNull() | (F.col(f"c.{hash_col}") != F.col(f"n.{hash_col}"))
-    in_order = F.col("n.effective_start") >= F.col("c.effective_start")
-    replaces = F.coalesce(has_old & has_new & differs & in_order, F.lit(False))
-
-    old_version = F.struct(
-        *[F.col(f"c.{c}").alias(c) for c in payload],
-        F.col("c.effective_start").alias("effective_start"),
-        F.when(replaces, F.col("n.effective_start"))
-        .otherwise(F.col("c.effective_end"))
-        .alias("effective_end"),
-        (~replaces).alias("is_current"),
+    covers = F.col("prior.end") > F.col("_at")
+    beside = F.when(F.col("prior").isNull(), F.col("next.hash")).when(covers, F.col("prior.hash"))
+    return around.where(beside.isNull() | (beside != F.col("_hash"))).select(
+        key, "_at", F.col("next.start").alias("_next"), F.col("prior.start").alias("_prior"),
+        (F.col("prior").isNull() & F.col("next").isNull()).alias("is_new"),
     )
-    new_version = F.struct(*[F.col(f"n.{c}").alias(c) for c in (*payload, *VALIDITY)])
-    versions = F.array_compact(
-        F.array(F.when(has_old, old_version), F.when(has_new & (~has_old | replaces), new_version))
+
+
+def cut_versions(known: DataFrame, changes: DataFrame, key: str, how: str) -> DataFrame:
+    """Versions of a history (of changed keys, if ``how`` is inner), cut where the changes say so."""
+    end = F.col("effective_end")
+    cut = F.coalesce((F.col("effective_start") == F.col("_prior")) & (end > F.col("_at")), F.lit(False))
+    marks = changes.select(key, "_at", "_prior")
+    return known.join(marks, key, how).select(
+        *[c for c in known.columns if c not in VALIDITY],
+        "effective_start",
+        F.when(cut, F.col("_at")).otherwise(end).alias("effective_end"),
+        (~cut & F.col("is_current")).alias("is_current"),
     )
-    result = (
-        pairs.select(F.explode(versions).alias("v"))
-        .select(*[F.col(f"v.{c}").alias(c) for c in columns])
-        .unionByName(closed)
+
+
+def placed_versions(opened: DataFrame, changes: DataFrame, key: str) -> DataFrame:
+    """The new versions: each ends where the next known one starts, or stays open."""
+    return opened.join(changes.select(key, "_next", "is_new"), key).select(
+        *[c for c in opened.columns if c not in VALIDITY],
+        "effective_start",
+        F.coalesce("_next", "effective_end").alias("effective_end"),
+        F.col("_next").isNull().alias("is_current"),
+        "is_new",
     )
+
+
+def apply_history(
+    history: DataFrame,
+    source: DataFrame,
+    key: str,
+    ts: str,
+    hash_col: str,
+    as_of: AsOf,
+    hashed: Sequence[tuple[str, str]] = (),
+) -> DataFrame:
+    """History after one batch, of which the latest row per key counts.
+
+    A row is placed by its time: the version valid then is closed there, and the row ends where the next
+    version starts, or stays open. So a late row becomes a closed interval. Equal hashes change nothing;
+    versions without a hash are first given that of their ``hashed`` columns, if these are named.
+    """
+    columns = [c for c in history.columns if c != "version_key"]
+    known = (backfill_hash(history, hashed, hash_col) if hashed else history).select(columns)
+    batch = dedupe(require(source, [key]), [key], [ts])
+    opened = first_versions(batch, key, ts, as_of).select(columns)
+    changes = changes_of(known, opened, key, hash_col)
+    placed = placed_versions(opened, changes, key).select(columns)
+    result = cut_versions(known, changes, key, "left").select(columns).unionByName(placed)
     if "version_key" in history.columns:
         result = with_version_key(result, key, hash_col).select(history.columns)
     return result

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from plantlake.operators.dedupe import dedupe
 from plantlake.operators.filters import require
 
 Key = str | Sequence[str]
@@ -21,19 +22,23 @@ def _differs(target_hash: Column, source_hash: Column) -> Column:
 
 
 def merge_upsert(
-    target: DataFrame, source: DataFrame, key: Key, hash_col: str | None = None
+    target: DataFrame,
+    source: DataFrame,
+    key: Key,
+    hash_col: str | None = None,
+    latest_by: Sequence[str] = (),
 ) -> DataFrame:
     """Target after updating matched rows and inserting new ones.
 
     With ``hash_col`` a matched row changes only if its hash is missing or differs; without it
-    every matched row is overwritten. The source must have one row per key. Source rows without a
-    key match nothing and would be inserted again on each run, so they are left out. There is no
-    delete.
+    every matched row is overwritten. Of source rows with one key the one with the highest
+    ``latest_by`` columns counts. Source rows without a key match nothing and would be inserted again
+    on each run, so they are left out. There is no delete.
 
-    Computes each side once, which suits sides that are themselves queries with unique keys.
+    Computes each side once, which suits sides that are themselves queries.
     """
     keys = key_columns(key)
-    new = require(source, keys).select(target.columns).alias("s")
+    new = dedupe(require(source, keys), keys, latest_by).select(target.columns).alias("s")
     old = target.alias("t")
     joined = old.join(new, [F.col(f"t.{k}") == F.col(f"s.{k}") for k in keys], "full_outer")
     in_source = F.col(f"s.{keys[0]}").isNotNull()
@@ -51,58 +56,39 @@ def merge_upsert(
     )
 
 
-def merge_stored(
+def compared_rows(
     target: DataFrame, source: DataFrame, key: Key, hash_col: str | None = None
 ) -> DataFrame:
-    """``merge_upsert`` for stored sides, where reading a few columns twice is cheap.
+    """Source rows that a hash-guarded upsert would write, with ``is_new`` for unknown keys.
 
-    Made of left, semi and anti joins. With a small source Spark broadcasts it in the first two and
-    does not shuffle the target, which a full outer join always does. With a large one, a key that
-    many target rows share (after a full load of re-sent rows) lies on the side that adaptive
-    execution can split, and enters the anti join once.
+    Only the key and hash of the target are read. They are first cut down to the keys of the source,
+    which with a small source is a broadcast, and to one row per key.
     """
     keys = key_columns(key)
-    new = require(source, keys).select(target.columns)
-    joined = target.alias("t").join(
-        new.alias("s"), [F.col(f"t.{k}") == F.col(f"s.{k}") for k in keys], "left"
-    )
-    take_source = F.col(f"s.{keys[0]}").isNotNull()
-    if hash_col is not None:
-        take_source &= _differs(F.col(f"t.{hash_col}"), F.col(f"s.{hash_col}"))
-    updated = joined.select(
-        *[
-            F.when(take_source, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c)
-            for c in target.columns
-        ]
-    )
-    return updated.unionByName(missing_rows(target, new, keys))
-
-
-def missing_rows(target: DataFrame, source: DataFrame, key: Key) -> DataFrame:
-    """Source rows whose key the target lacks; target keys are first cut down to those in question."""
-    keys = key_columns(key)
-    seen = target.select(*keys).join(source.select(*keys), keys, "left_semi").distinct()
-    return source.join(seen, keys, "left_anti")
-
+    guard = F.col(hash_col) if hash_col else F.lit(None).cast("string")
+    seen = target.select(*keys, guard.alias("_old")).join(source.select(*keys), keys, "left_semi")
+    # Rows that share a key count as changed if any of them is.
+    missing = F.max(F.col("_old").isNull()).alias("_gap")
+    ends = seen.groupBy(*keys).agg(F.min("_old").alias("_low"), F.max("_old").alias("_high"), missing)
+    compared = source.join(ends, keys, "left")
+    is_new = F.col("_gap").isNull()
+    if hash_col is None:
+        changed = F.lit(True)
+    else:
+        own = F.col(hash_col)
+        changed = F.coalesce(F.col("_gap") | (F.col("_low") != own) | (F.col("_high") != own), F.lit(True))
+    return compared.where(is_new | changed).select(*source.columns, is_new.alias("is_new"))
 
-def changed_rows(
-    target: DataFrame, source: DataFrame, key: Key, hash_col: str | None = None
-) -> DataFrame:
-    """Source rows that a hash-guarded upsert would write: new keys and differing hashes.
 
-    Only the key and hash of the target are read. They are first cut down to the keys of the
-    source; with a small source that semi join is a broadcast and the target is not shuffled.
-    """
+def replace_rows(target: DataFrame, source: DataFrame, key: Key) -> DataFrame:
+    """Target with each row whose key the source has replaced by the source row."""
     keys = key_columns(key)
-    present = require(source, keys)
-    if hash_col is None:
-        return present
-    seen = target.select(*keys, F.col(hash_col).alias("_old_hash"), F.lit(True).alias("_seen"))
-    seen = seen.join(present.select(*keys), keys, "left_semi")
-    compared = present.join(seen, keys, "left")
-    is_new = F.col("_seen").isNull()
-    return compared.where(is_new | _differs(F.col("_old_hash"), F.col(hash_col))).select(
-        source.columns
+    joined = target.alias("t").join(
+        source.alias("s"), [F.col(f"t.{k}") == F.col(f"s.{k}") for k in keys], "left"
+    )
+    found = F.col(f"s.{keys[0]}").isNotNull()
+    return joined.select(
+        *[F.when(found, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c) for c in target.columns]
     )
 
 

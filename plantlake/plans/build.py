@@ -37,7 +37,7 @@ def build_curated(lake: Lake, as_of: AsOf, full: bool, key_groups: int) -> dict[
         batch = curate(raw, spec, as_of, None if full else spec.window_days)
         if spec is EQUIPMENT_VERSIONS:
             table = history_table(lake, batch, key_groups)
-            table.track(batch, spec.ts_col, TABLE_HASH, as_of)
+            table.track(batch, spec.ts_col, TABLE_HASH, as_of, spec.hashed)
             tables["equipment_history"] = table.read()
         else:
             table = curated_table(lake, spec, batch, key_groups)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from datetime import datetime
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, Observation
@@ -19,6 +20,7 @@ from plantlake.sources.extract import (
 from plantlake.sources.schemas import RAW_TABLES, as_raw, raw_schema
 from plantlake.sources.store import KeyedTable, Lake
 
+LATEST = "latest_time"
 SUMMARY_SCHEMA = (
     "table_name string, mode string, rows_read long, rows_written long, status string, error string"
 )
@@ -29,6 +31,11 @@ def raw_table(lake: Lake, table: str, key_groups: int = 16) -> KeyedTable:
     return lake.keyed(lake.config.raw, table, raw_schema(table), spec.key, key_groups)
 
 
+def _keep_latest(target: KeyedTable, latest: datetime | None) -> None:
+    if latest is not None:
+        target.note(**{LATEST: latest.isoformat()})
+
+
 def ingest(
     lake: Lake,
     table: str,
@@ -41,23 +48,27 @@ def ingest(
 
     A missing target takes all rows. Otherwise, unless the source has nothing later than the target,
     rows after the target's latest time are upserted by key, overwriting what is there. Only the two
-    latest times reach the driver. Of several batch rows with one key the latest is taken.
+    latest times reach the driver; the target's is kept with the table when it is written, so the
+    target is not read for it. Of several batch rows with one key the latest is taken.
     """
     target = raw_table(lake, table, key_groups)
     source = as_raw(source, table)
     seen = Observation(f"{table}-{uuid4().hex}")
-    rows_read = F.count(F.lit(1)).alias("rows_read")
+    facts = F.count(F.lit(1)).alias("rows_read"), F.max(event_time(table)).alias("latest")
     if not target.exists():
-        written = target.load(source.observe(seen, rows_read))
+        written = target.load(source.observe(seen, *facts))
+        _keep_latest(target, seen.get["latest"])
         return "full", seen.get["rows_read"], written
     source_max = watermark_value(source, table)
-    target_max = watermark_value(target.read(), table)
+    noted = target.noted(LATEST)
+    target_max = datetime.fromisoformat(noted) if noted else None
     if not has_new_data(source_max, target_max):
         return "skipped", 0, 0
-    batch = extract(source, table, target_max, as_of, days_back).observe(seen, rows_read)
+    batch = extract(source, table, target_max, as_of, days_back).observe(seen, *facts)
     written = target.upsert(
         batch.withColumn("_time", event_time(table)), latest_by=["_time"]
     )
+    _keep_latest(target, seen.get["latest"])
     return "incremental", seen.get["rows_read"], written
 
 
@@ -78,6 +89,6 @@ def ingest_all(
             )
             rows.append((table, mode, read, written, "ok", None))
         except Exception as error:
-            rows.append((table, None, 0, 0, "failed", str(error)[:200]))
+            rows.append((table, None, 0, 0, "failed", str(error)))
     return lake.spark.createDataFrame(rows, SUMMARY_SCHEMA)
 

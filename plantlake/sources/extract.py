@@ -15,11 +15,6 @@ from plantlake.sources.schemas import RAW_TABLES, raw_schema
 FALLBACK_DAYS = 90
 
 
-def read_parquet(spark: SparkSession, folder: str, table: str) -> DataFrame:
-    """A raw table kept as parquet, with its declared schema instead of an inferred one."""
-    return spark.read.schema(raw_schema(table)).parquet(f"{folder}/{table}")
-
-
 def read_jdbc(
     spark: SparkSession, url: str, schema: str, table: str, properties: dict[str, str],
     predicates: Sequence[str] | None = None,

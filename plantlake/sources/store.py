@@ -1,141 +1,132 @@
-"""Tables on shared storage.
+"""Tables on shared storage: ordinary catalog tables, written by Spark.
 
-Two kinds. Raw appends, dimensions and facts are ordinary catalog tables, written whole. Tables that
-take upserts are ``KeyedTable``: their files are grouped by a hash of the key, and an upsert writes
-new files for the groups that change, leaving all others as they are.
+Raw appends, dimensions and facts are written whole. Tables that take upserts are ``KeyedTable``:
+partitioned by a hash of the key, so that new keys are appended and an update rewrites the partitions
+that hold the changed keys, and no other.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
+from uuid import uuid4
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from plantlake.config import LakeConfig
 from plantlake.operators.dedupe import dedupe
-from plantlake.operators.history import apply_history, first_versions
 from plantlake.operators.filters import require
-from plantlake.operators.merge import changed_rows, merge_stored
+from plantlake.functions.hashing import backfill_hash
+from plantlake.operators.history import (
+    changes_of,
+    cut_versions,
+    first_versions,
+    placed_versions,
+    with_version_key,
+)
+from plantlake.operators.merge import compared_rows, replace_rows
 
-LOG_SCHEMA = "version long, key_group int, key_groups int"
+GROUP = "key_group"
+OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 
 
 class KeyedTable:
-    """One table under ``path``.
+    """A catalog table that takes upserts by ``key``. One writer at a time.
 
-    ``data/version=V/key_group=G/`` holds the rows of group G as of version V. ``log/`` has one row
-    per version and group written. A write first completes all its data files and then appends its
-    log rows in one file; that single rename publishes it. Readers take the latest logged version of
-    each group, so they never see a half-written one, a failed job leaves no trace, and files in use
-    by a reader are not touched. One writer at a time.
-
-    ``key_groups`` is chosen once: about table size / 10 GB for large tables.
+    ``key_groups`` is chosen once, about table size / 10 GB for large tables. A partition is replaced by
+    Spark's dynamic overwrite, which moves complete files into place when the job has ended; a run that
+    fails is repeated and finds what is still missing.
     """
 
     def __init__(
-        self, spark: SparkSession, path: str, schema: StructType, key: str, key_groups: int = 16
+        self,
+        lake: Lake,
+        schema: str,
+        table: str,
+        columns: StructType,
+        key: str,
+        key_groups: int = 16,
     ):
-        self.spark = spark
-        self.path = path
+        self.lake = lake
+        self.spark = lake.spark
         self.schema = schema
+        self.table = table
+        self.name = lake.config.qualify(schema, table)
+        self.columns = columns
         self.key = key
         self.key_groups = key_groups
 
-    # --- state ---
+    def exists(self) -> bool:
+        return self.spark.catalog.tableExists(self.name)
 
-    def _versions(self) -> dict[int, int]:
-        """Latest version of each group: at most ``key_groups`` entries."""
-        try:
-            log = self.spark.read.schema(LOG_SCHEMA).parquet(f"{self.path}/log")
-        except AnalysisException as error:
-            if error.getCondition() == "PATH_NOT_FOUND":
-                return {}
-            raise
-        latest = log.groupBy("key_group").agg(
-            F.max("version").alias("version"), F.max("key_groups").alias("key_groups")
-        )
-        found = {}
-        for row in latest.collect():
-            if row["key_groups"] != self.key_groups:
-                raise ValueError(
-                    f"{self.path} was written with {row['key_groups']} key groups, "
-                    f"not {self.key_groups}"
-                )
-            found[row["key_group"]] = row["version"]
-        return found
+    def note(self, **properties: str) -> None:
+        """Keep small facts about the table in the catalog."""
+        listed = ", ".join(f"'plantlake.{k}' = '{v}'" for k, v in properties.items())
+        self.spark.sql(f"ALTER TABLE {self.name} SET TBLPROPERTIES ({listed})")
 
-    def exists(self) -> bool:
-        return bool(self._versions())
+    def noted(self, name: str) -> str | None:
+        rows = self.spark.sql(f"SHOW TBLPROPERTIES {self.name}").where(
+            F.col("key") == f"plantlake.{name}"
+        )
+        found = rows.first()
+        return found["value"] if found else None
 
-    def read(self, groups: Sequence[int] | None = None) -> DataFrame:
-        """The table, or only the given groups of it."""
-        return self._read(self._versions(), groups)
+    def _stored(self) -> DataFrame:
+        groups = self.noted("key_groups")
+        if groups != str(self.key_groups):
+            raise ValueError(f"{self.name} has {groups} key groups, not {self.key_groups}")
+        return self.spark.table(self.name)
 
-    def _read(self, versions: dict[int, int], groups: Sequence[int] | None = None) -> DataFrame:
-        wanted = versions if groups is None else [g for g in groups if g in versions]
-        paths = [f"{self.path}/data/version={versions[g]}/key_group={g}" for g in wanted]
-        if not paths:
-            return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(*paths)
+    def read(self) -> DataFrame:
+        if not self.exists():
+            return self.spark.createDataFrame([], self.columns)
+        return self._stored().drop(GROUP)
 
-    # --- writing ---
+    def _group(self) -> Column:
+        return F.pmod(F.xxhash64(F.col(self.key)), F.lit(self.key_groups)).cast("int").alias(GROUP)
 
     def _grouped(self, df: DataFrame) -> DataFrame:
-        group = F.pmod(F.xxhash64(F.col(self.key)), F.lit(self.key_groups)).cast("int")
-        return df.select(*self.schema.names, group.alias("key_group"))
-
-    def _publish(self, df: DataFrame, version: int, groups: Sequence[int]) -> None:
-        (
-            # Rebalancing puts a group into few files and still splits one that is too large.
-            df.hint("rebalance", "key_group")
-            .write.mode("overwrite")
-            .partitionBy("key_group")
-            .parquet(f"{self.path}/data/version={version}")
-        )
-        rows = [(version, group, self.key_groups) for group in groups]
-        log = self.spark.createDataFrame(rows, LOG_SCHEMA).coalesce(1)
-        log.write.mode("append").parquet(f"{self.path}/log")
+        return df.select(*self.columns.names, self._group())
+
+    def _counted(self, df: DataFrame) -> tuple[DataFrame, Observation]:
+        seen = Observation(f"{self.table}-{uuid4().hex}")
+        return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
 
-    def _stage(self, source: DataFrame) -> DataFrame:
-        """Write the batch once, so that it is computed once and its size is known to the joins.
+    def load(self, df: DataFrame) -> int:
+        """First load: all rows as they are, also those that share a key. Returns their number.
 
-        It replaces the batch of the write before.
+        One write; rebalancing puts a group into few files and still splits one that is too large.
         """
-        path = f"{self.path}/stage"
-        grouped = self._grouped(source)
-        grouped.write.mode("overwrite").parquet(path)
-        return self.spark.read.schema(grouped.schema).parquet(path)
+        if self.exists():
+            raise ValueError(f"{self.name} already has data")
+        counted, seen = self._counted(self._grouped(df))
+        counted.hint("rebalance", GROUP).write.partitionBy(GROUP).saveAsTable(self.name)
+        self.note(key_groups=str(self.key_groups))
+        return seen.get["rows"]
+
+    def _stage(self, df: DataFrame, what: str = "compared") -> DataFrame:
+        """Write what is compared once; its size is then known to the joins that follow."""
+        path = f"{self.lake.config.location(self.schema)}/_stage/{self.table}/{what}"
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def _append(self, new: DataFrame) -> None:
+        new.hint("rebalance", GROUP).write.mode("append").insertInto(self.name)
+
+    def _overwrite(self, rows: DataFrame) -> None:
+        """Replace the partitions that occur in ``rows``."""
+        mode = self.spark.conf.get(OVERWRITE_MODE)
+        # Inserts into a catalog table take the mode from the session alone.
+        self.spark.conf.set(OVERWRITE_MODE, "dynamic")
+        try:
+            rows.hint("rebalance", GROUP).write.mode("overwrite").insertInto(self.name)
+        finally:
+            self.spark.conf.set(OVERWRITE_MODE, mode)
 
     def _groups_of(self, df: DataFrame) -> list[int]:
         """Groups that occur in ``df``: at most ``key_groups`` numbers."""
-        return sorted(row["key_group"] for row in df.select("key_group").distinct().collect())
-
-    def load(self, df: DataFrame) -> int:
-        """First load: all rows as they are, also those that share a key. Returns their number."""
-        if self.exists():
-            raise ValueError(f"{self.path} already has data")
-        staged = self._stage(df)
-        self._publish(staged, 1, self._groups_of(staged))
-        return staged.count()
-
-    def _advance(
-        self,
-        source: DataFrame,
-        changes: Callable[[DataFrame, DataFrame], DataFrame],
-        step: Callable[[DataFrame, DataFrame], DataFrame],
-    ) -> int:
-        versions = self._versions()
-        version = max(versions.values(), default=0) + 1
-        staged = self._stage(source)
-        groups = self._groups_of(changes(self._read(versions), staged))
-        if groups:
-            batch = staged.where(F.col("key_group").isin(groups)).drop("key_group")
-            merged = step(self._read(versions, groups), batch)
-            self._publish(self._grouped(merged), version, groups)
-        return staged.count()
+        return sorted(row[GROUP] for row in df.select(GROUP).distinct().collect())
 
     def upsert(
         self, source: DataFrame, hash_col: str | None = None, latest_by: Sequence[str] = ()
@@ -143,36 +134,65 @@ class KeyedTable:
         """Insert new keys and update present ones (with ``hash_col``: only changed ones).
 
         The batch is first reduced to one row per key, the one with the highest ``latest_by``
-        columns. A batch that changes nothing writes no data. Returns the number of batch rows.
+        columns. New keys go to new files; a batch that changes nothing writes nothing. Returns the
+        number of batch rows.
         """
         batch = dedupe(require(source, [self.key]), [self.key], latest_by)
-        return self._advance(
-            batch,
-            lambda old, new: changed_rows(old, new, self.key, hash_col),
-            lambda old, new: merge_stored(old, new, self.key, hash_col),
-        )
+        if not self.exists():
+            return self.load(batch)
+        counted, seen = self._counted(self._grouped(batch))
+        compared = compared_rows(self._stored().drop(GROUP), counted, self.key, hash_col)
+        staged = self._stage(compared)
+        changed, new = (staged.where(F.col("is_new") == flag).drop("is_new") for flag in (False, True))
+        groups = self._groups_of(changed)
+        if groups:
+            old = self._stored().where(F.col(GROUP).isin(groups))
+            self._overwrite(replace_rows(old, changed, self.key))
+        if not new.isEmpty():
+            self._append(new)
+        return seen.get["rows"]
 
 
 class HistoryTable(KeyedTable):
     """A ``KeyedTable`` of validity intervals."""
 
-    def track(self, source: DataFrame, ts: str, hash_col: str, as_of) -> int:
-        """Close changed versions and open new ones for a batch with one row per key."""
+    def track(
+        self,
+        source: DataFrame,
+        ts: str,
+        hash_col: str,
+        as_of,
+        hashed: Sequence[tuple[str, str]] = (),
+    ) -> int:
+        """Bring the history up to date with a batch, of which the latest row per key counts.
+
+        Missing hashes of stored versions are first taken to be those of their ``hashed`` columns. Keys
+        not seen before are appended; keys whose history changes have their partition rewritten.
+        """
         batch = dedupe(require(source, [self.key]), [self.key], [ts])
-        opened = first_versions(batch, self.key, ts, as_of)
-        keyed = opened.withColumn("version_key", F.lit(None).cast("long"))
-        source_ts = "effective_start"
-        return self._advance(
-            keyed,
-            lambda old, new: changed_rows(old.where("is_current"), new, self.key, hash_col),
-            lambda old, new: apply_history(
-                old,
-                new.drop("effective_end", "is_current", "version_key").withColumnRenamed(
-                    source_ts, ts
-                ),
-                self.key, ts, hash_col, as_of,
-            ),
+        counted, seen = self._counted(first_versions(batch, self.key, ts, as_of))
+        if not self.exists():
+            return self.load(with_version_key(counted, self.key, hash_col))
+        known = self.read().drop("version_key")
+        known = backfill_hash(known, hashed, hash_col) if hashed else known
+        opened = self._stage(counted, "batch")
+        changes = self._stage(changes_of(known, opened, self.key, hash_col), "changes")
+        placed = self._grouped(
+            with_version_key(placed_versions(opened, changes, self.key), self.key, hash_col)
         )
+        seen_before = changes.where(~F.col("is_new"))
+        groups = self._groups_of(seen_before.select(self._group()))
+        if groups:
+            old = self._stored().where(F.col(GROUP).isin(groups)).drop(GROUP, "version_key")
+            old = backfill_hash(old, hashed, hash_col) if hashed else old
+            cut = with_version_key(cut_versions(old, changes, self.key, "left"), self.key, hash_col)
+            late = placed.join(seen_before.select(self.key), self.key, "left_semi")
+            self._overwrite(self._grouped(cut).unionByName(late.select(*self.columns.names, GROUP)))
+        new = placed.join(changes.where("is_new").select(self.key), self.key, "left_semi")
+        new = new.select(*self.columns.names, GROUP)
+        if not new.isEmpty():
+            self._append(new)
+        return seen.get["rows"]
 
 
 class Lake:
@@ -254,14 +274,12 @@ class Lake:
     def keyed(
         self, schema: str, table: str, columns: StructType, key: str, key_groups: int = 16
     ) -> KeyedTable:
-        path = f"{self.config.location(schema)}/{table}"
-        return KeyedTable(self.spark, path, columns, key, key_groups)
+        return KeyedTable(self, schema, table, columns, key, key_groups)
 
     def history(
         self, schema: str, table: str, columns: StructType, key: str, key_groups: int = 16
     ) -> HistoryTable:
-        path = f"{self.config.location(schema)}/{table}"
-        return HistoryTable(self.spark, path, columns, key, key_groups)
+        return HistoryTable(self, schema, table, columns, key, key_groups)
 
 
 def register_view(name: str, df: DataFrame) -> DataFrame:

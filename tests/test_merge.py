@@ -1,18 +1,16 @@
 """Upserts and history, as functions and as stored tables."""
 
 from datetime import datetime
+from uuid import uuid4
 
 import pytest
 from pyspark.sql import functions as F
 
-from plantlake.operators.history import apply_history, as_of_join, first_versions
-from plantlake.operators.merge import (
-    changed_rows,
-    merge_insert_only,
-    merge_stored,
-    merge_upsert,
-)
-from plantlake.sources.store import HistoryTable, KeyedTable
+from plantlake.functions.hashing import row_hash
+from plantlake.operators.history import OPEN_END, apply_history, as_of_join, first_versions
+from plantlake.config import LakeConfig
+from plantlake.operators.merge import compared_rows, merge_insert_only, merge_upsert, replace_rows
+from plantlake.sources.store import Lake
 
 SCHEMA = "id string, v int, note string, row_hash string"
 
@@ -45,13 +43,14 @@ def test_guarded_upsert(target, source):
     assert merged.count() == 6
     again = merge_upsert(merged, source, "id", "row_hash")
     assert rows(again) == expected and again.count() == 6
-    stored = merge_stored(target, source, "id", "row_hash")
-    assert rows(stored) == expected and stored.count() == 6
-    unguarded = merge_stored(target.unionAll(target), source, "id")
-    assert unguarded.where("id = 'same' and v = 9").count() == 2
-    assert unguarded.where("id = 'new'").count() == 1
-    changed = {r["id"] for r in changed_rows(target, source, "id", "row_hash").collect()}
-    assert changed == {"changed", "unhashed", "new"}
+    found = compared_rows(target.unionAll(target), source.where("id is not null"), "id", "row_hash")
+    assert {(r["id"], r["is_new"]) for r in found.collect()} == {
+        ("changed", False), ("unhashed", False), ("new", True)}
+    replaced = replace_rows(target.unionAll(target), source, "id")
+    assert replaced.where("id = 'same' and v = 9").count() == 2 and replaced.count() == 10
+    twice = merge_upsert(target, source.unionAll(source.selectExpr("id", "v + 1", "note", "row_hash")),
+                         "id", latest_by=["v"])
+    assert twice.count() == 6 and twice.where("id = 'new' and v = 3").count() == 1
 
 
 def test_unguarded_and_insert_only(target, source):
@@ -81,7 +80,10 @@ def test_history_over_runs(spark):
     runs = [
         ([("a", "x", DAYS[2], "h1"), ("b", "x", None, "h1")], DAYS[3]),
         ([("a", "y", DAYS[4], "h2"), ("b", "x", DAYS[5], "h1"), ("c", "x", DAYS[4], "h1")], DAYS[5]),
+        # Late rows: before all versions, and within a version that has ended.
         ([("a", "z", DAYS[0], "h3"), ("b", "y", None, "h2")], DAYS[6]),
+        ([("a", "w", DAYS[3], "h4"), ("c", "x", DAYS[2], "h1")], DAYS[7]),
+        ([("a", "w", DAYS[3], "h4"), ("a", "v", DAYS[1], "h5")], DAYS[8]),
     ]
     history = None
     for data, as_of in runs:
@@ -90,8 +92,11 @@ def test_history_over_runs(spark):
             history = first_versions(batch, "id", "ts", as_of)
         else:
             history = apply_history(history, batch, "id", "ts", "row_hash", as_of)
+        history = spark.createDataFrame(history.collect(), history.schema)
     found = check_intervals(history)
-    assert [(r["status"], r["is_current"]) for r in found["a"]] == [("x", False), ("y", True)]
+    assert [(r["status"], r["effective_start"], r["effective_end"], r["is_current"]) for r in found["a"]] == [
+        ("z", DAYS[0], DAYS[2], False), ("x", DAYS[2], DAYS[3], False), ("w", DAYS[3], DAYS[4], False),
+        ("y", DAYS[4], OPEN_END, True)]
     assert [r["effective_start"] for r in found["b"]] == [DAYS[3], DAYS[6]]
     assert len(found["c"]) == 1
 
@@ -99,50 +104,87 @@ def test_history_over_runs(spark):
         [("e1", "a", DAYS[1]), ("e2", "a", DAYS[2]), ("e3", "a", DAYS[4]), ("e4", "q", DAYS[4])],
         "event string, id string, at timestamp_ntz")
     joined = {r["event"]: r["status"] for r in as_of_join(events, history, "id", "at").collect()}
-    assert joined == {"e1": None, "e2": "x", "e3": "y", "e4": None}
+    assert joined == {"e1": "z", "e2": "x", "e3": "y", "e4": None}
 
 
-def test_keyed_table(spark, tmp_path, target, source):
-    schema = target.schema
-    table = KeyedTable(spark, str(tmp_path / "t"), schema, "id", key_groups=4)
+def test_missing_hash_opens_no_version(spark):
+    first = spark.createDataFrame([("a", "x", DAYS[2], None)], HISTORY_BATCH)
+    history = first_versions(first, "id", "ts", DAYS[3])
+    hashed = [("status", "text")]
+    same = spark.createDataFrame([("a", "x", DAYS[4])], "id string, status string, ts timestamp_ntz")
+    same = same.withColumn("row_hash", row_hash(hashed))
+    kept = apply_history(history, same, "id", "ts", "row_hash", DAYS[5], hashed).collect()
+    assert len(kept) == 1 and kept[0]["is_current"] and kept[0]["row_hash"] is not None
+
+
+@pytest.fixture
+def lake(spark, tmp_path):
+    lake = Lake(spark, LakeConfig(str(tmp_path), raw=f"raw_{uuid4().hex[:8]}"))
+    lake.create_schema(lake.config.raw)
+    return lake
+
+
+def files(table):
+    return {r["f"] for r in table.spark.table(table.name).select(F.input_file_name().alias("f")).collect()}
+
+
+def test_keyed_table(lake, target, source):
+    table = lake.keyed(lake.config.raw, "t", target.schema, "id", key_groups=4)
     assert not table.exists() and table.read().isEmpty()
     with_key = target.where("id is not null")
     assert table.load(with_key) == 4
     table.upsert(source, "row_hash")
     expected = rows(merge_upsert(with_key, source, "id", "row_hash"))
     assert rows(table.read()) == expected
-    version = max(table._versions().values())
+    before = files(table)
     table.upsert(source, "row_hash")
-    assert max(table._versions().values()) == version, "an unchanged batch wrote data"
-
-    # A writer that dies before publishing leaves the table as it was, and the next one goes on.
-    lost = f"{table.path}/data/version={version + 1}"
-    source.withColumn("key_group", F.lit(0)).write.partitionBy("key_group").parquet(lost)
-    assert rows(table.read()) == expected
+    assert files(table) == before, "an unchanged batch wrote data"
     table.upsert(source.where("id = 'same'"))
     assert ("same", 9, "s", "h1") in rows(table.read())
     assert table.read().count() == len(expected)
     with pytest.raises(ValueError):
-        KeyedTable(spark, table.path, schema, "id", key_groups=8).read()
-
-
-def test_conflicting_batch_takes_latest(spark, tmp_path):
+        lake.keyed(lake.config.raw, "t", target.schema, "id", key_groups=8).read()
+    with pytest.raises(ValueError):
+        table.load(source)
+
+
+def test_new_keys_only_add_files(spark, lake):
+    schema = "id string, v int, note string, row_hash string"
+    old = spark.range(1000).selectExpr("cast(id as string) id", "1 v", "'t' note", "'h' row_hash")
+    table = lake.keyed(lake.config.raw, "many", spark.createDataFrame([], schema).schema, "id", 4)
+    table.load(old)
+    before = files(table)
+    new = spark.range(1000, 1040).selectExpr("cast(id as string) id", "1 v", "'t' note", "'h' row_hash")
+    assert table.upsert(new, "row_hash") == 40
+    added = files(table) - before
+    assert before <= files(table) and table.read().count() == 1040
+    assert spark.read.parquet(*added).count() == 40
+    one = new.limit(1).withColumn("row_hash", F.lit("other"))
+    kept = files(table)
+    table.upsert(one, "row_hash")
+    groups = {f.split("key_group=")[1][0] for f in kept - files(table)}
+    assert len(groups) == 1 and table.read().count() == 1040
+
+
+def test_conflicting_batch_takes_latest(spark, lake):
     batch = spark.createDataFrame(
         [("r1", 1, "old", "h1"), ("r1", 2, "new", "h2"), ("r1", None, "none", "h3")], SCHEMA)
-    table = KeyedTable(spark, str(tmp_path / "t"), batch.schema, "id", key_groups=2)
+    table = lake.keyed(lake.config.raw, "t", batch.schema, "id", key_groups=2)
     table.upsert(batch, "row_hash", latest_by=["v"])
     assert rows(table.read()) == {("r1", 2, "new", "h2")}
 
 
-def test_history_table(spark, tmp_path):
+def test_history_table(spark, lake):
     first = spark.createDataFrame([("a", "x", DAYS[2], "h1"), ("b", "x", DAYS[2], "h1")], HISTORY_BATCH)
-    second = spark.createDataFrame([("a", "y", DAYS[4], "h2")], HISTORY_BATCH)
+    second = spark.createDataFrame([("a", "y", DAYS[4], "h2"), ("n", "x", DAYS[4], "h1")], HISTORY_BATCH)
+    late = spark.createDataFrame([("a", "w", DAYS[3], "h9")], HISTORY_BATCH)
     schema = first_versions(first, "id", "ts", DAYS[3]).withColumn(
         "version_key", F.lit(0).cast("long")).schema
-    table = HistoryTable(spark, str(tmp_path / "h"), schema, "id", key_groups=4)
-    for batch in (first, second, second):
+    table = lake.history(lake.config.raw, "h", schema, "id", key_groups=4)
+    for batch in (first, second, second, late, late):
         table.track(batch, "ts", "row_hash", DAYS[5])
     found = check_intervals(table.read())
-    assert [r["status"] for r in found["a"]] == ["x", "y"] and len(found["b"]) == 1
+    assert [r["status"] for r in found["a"]] == ["x", "w", "y"]
+    assert len(found["b"]) == len(found["n"]) == 1
     keys = [r["version_key"] for r in table.read().collect()]
-    assert len(keys) == len(set(keys)) == 3
+    assert len(keys) == len(set(keys)) == 5
