@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plantlake.functions.times import AsOf, day_of, days_before, sum_minutes
-from plantlake.plans.views import from_day
+from plantlake.plans.views import dated, from_day
 
 # Score above which a machine counts as critical, and the label of a missing cause.
 CRITICAL_SCORE = 100
@@ -20,10 +20,10 @@ NO_CAUSE = "unspecified"
 
 
 def last_days(view: DataFrame, as_of: AsOf, days: int | None) -> DataFrame:
-    """Rows of the last ``days`` calendar days; all rows if ``days`` is None."""
+    """Rows from ``days`` calendar days before ``as_of`` up to its day; all rows if ``days`` is None."""
     if days is None:
         return view
-    return view.where(F.col("full_date") >= F.lit(days_before(as_of, days)))
+    return view.where(F.col("full_date").between(F.lit(days_before(as_of, days)), F.lit(day_of(as_of))))
 
 
 def _oee() -> Column:
@@ -103,7 +103,12 @@ def downtime_by_equipment(
     )
 
 
-def sensor_trend(trends: DataFrame, as_of: AsOf, days: int | None = 7) -> DataFrame:
+def sensor_trend(
+    trends: DataFrame, as_of: AsOf, days: int | None = 7, equipment_name: str | None = None
+) -> DataFrame:
+    """Daily mean readings of all machines, or of one."""
+    if equipment_name is not None:
+        trends = trends.where(F.col("equipment_name") == equipment_name)
     return (
         last_days(trends, as_of, days)
         .select("full_date", "equipment_name", "sensor_type", "avg_reading")
@@ -181,11 +186,12 @@ def _star_cells(
     maintenance: DataFrame,
     quality: DataFrame,
     since: date | None,
+    until: date | None,
 ) -> DataFrame:
     """Sums and row counts per equipment and day that has a production row."""
     def per_cell(fact: DataFrame, key: str, **sums: Column) -> DataFrame:
         return (
-            from_day(fact, key, since)
+            from_day(fact, key, since, until)
             .groupBy("equipment_id", F.col(key).alias("date_key"))
             .agg(*[c.alias(name) for name, c in sums.items()])
         )
@@ -209,7 +215,7 @@ def _star_cells(
 
 
 def _star_report(
-    cells: DataFrame, weights: dict[str, Column], dates: DataFrame, equipment: DataFrame
+    cells: DataFrame, weights: dict[str, Column], dates: DataFrame | None, equipment: DataFrame
 ) -> DataFrame:
     sums = cells.select(
         "equipment_id",
@@ -222,7 +228,7 @@ def _star_report(
         return F.coalesce(sum_minutes(c) if column in ("duration", "down") else F.sum(c), F.lit(0))
 
     named = (
-        sums.join(dates.select("date_key", "full_date"), "date_key")
+        dated(sums, dates)
         .join(equipment.select("equipment_id", "equipment_name", "equipment_type"), "equipment_id")
         .groupBy("full_date", "equipment_name", "equipment_type")
         .agg(*[total(source).alias(name) for name, source in _SUMS.items()])
@@ -242,15 +248,16 @@ def star_oee(
     production: DataFrame,
     maintenance: DataFrame,
     quality: DataFrame,
-    dates: DataFrame,
+    dates: DataFrame | None,
     equipment: DataFrame,
     since: date | None = None,
+    until: date | None = None,
 ) -> DataFrame:
     """Times, quantities and OEE in percent per day and equipment, straight from the facts.
 
     OEE is NULL where nothing was planned or inspected.
     """
-    cells = _star_cells(production, maintenance, quality, since)
+    cells = _star_cells(production, maintenance, quality, since, until)
     return _star_report(cells, {}, dates, equipment)
 
 
@@ -258,16 +265,17 @@ def star_oee_fanout(
     production: DataFrame,
     maintenance: DataFrame,
     quality: DataFrame,
-    dates: DataFrame,
+    dates: DataFrame | None,
     equipment: DataFrame,
     since: date | None = None,
+    until: date | None = None,
 ) -> DataFrame:
     """The same as a join of the three facts before aggregation would give.
 
     There each row of one fact counts once per matching pair of the other two. Sums and row counts
     per equipment and day say the same without making the combinations.
     """
-    cells = _star_cells(production, maintenance, quality, since)
+    cells = _star_cells(production, maintenance, quality, since, until)
     p, m, q = (F.coalesce(F.col(f"{x}_rows"), F.lit(1)) for x in "pmq")
     weights = {
         "duration": m * q, "planned": m * q, "actual": m * q,

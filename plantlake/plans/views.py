@@ -3,9 +3,9 @@
 Each fact is aggregated on its own before it meets anything else, so no join multiplies rows and a
 machine with a large share of the rows is already reduced, within each task, when it is shuffled.
 
-``since`` (a day) cuts the facts by their date key before aggregation. On a table partitioned by
-that key only the directories from that day on are read, which a filter on the calendar's date
-alone cannot achieve up front.
+``since`` and ``until`` (days) cut the facts by their date key before aggregation. On a table
+partitioned by that key only the directories of those days are read, which a filter on the calendar's
+date alone cannot achieve up front. ``dates`` may be None: the date then follows from the key.
 """
 
 from __future__ import annotations
@@ -18,21 +18,36 @@ from pyspark.sql import functions as F
 from plantlake.functions.times import date_key_of, sum_minutes
 
 
-def from_day(fact: DataFrame, key: str, since: date | None) -> DataFrame:
-    if since is None:
-        return fact.where(F.col(key).isNotNull())
-    return fact.where(F.col(key) >= date_key_of(since))
+def from_day(
+    fact: DataFrame, key: str, since: date | None, until: date | None = None
+) -> DataFrame:
+    """Rows with a day, from ``since`` to ``until`` where these are given, both included."""
+    column = F.col(key)
+    rows = fact.where(column.isNotNull() if since is None else column >= date_key_of(since))
+    return rows if until is None else rows.where(column <= date_key_of(until))
+
+
+def dated(daily: DataFrame, dates: DataFrame | None) -> DataFrame:
+    """Daily rows with their ``full_date``: from a calendar, which may leave days out, or from the key.
+
+    Without a calendar no fact has to be read again to find the days it must span.
+    """
+    if dates is not None:
+        return daily.join(dates.select("date_key", "full_date"), "date_key")
+    key = F.col("date_key")
+    day = F.make_date((key / 10000).cast("int"), (key / 100 % 100).cast("int"), key % 100)
+    return daily.withColumn("full_date", day)
 
 
 def _zero(column: Column) -> Column:
     return F.coalesce(column, F.lit(0))
 
 
-def production_daily(fact: DataFrame, since: date | None = None) -> DataFrame:
+def production_daily(fact: DataFrame, since: date | None = None, until: date | None = None) -> DataFrame:
     """Planned and actual quantity and minutes per equipment and day with any production time."""
     minutes = F.greatest(_zero(sum_minutes(F.col("duration_minutes"))), F.lit(0.0))
     return (
-        from_day(fact, "start_date_key", since)
+        from_day(fact, "start_date_key", since, until)
         .groupBy("equipment_id", F.col("start_date_key").alias("date_key"))
         .agg(
             _zero(F.sum("planned_qty")).alias("total_planned"),
@@ -43,19 +58,19 @@ def production_daily(fact: DataFrame, since: date | None = None) -> DataFrame:
     )
 
 
-def downtime_daily(fact: DataFrame, since: date | None = None) -> DataFrame:
+def downtime_daily(fact: DataFrame, since: date | None = None, until: date | None = None) -> DataFrame:
     """Downtime minutes per equipment and day."""
     return (
-        from_day(fact, "start_date_key", since)
+        from_day(fact, "start_date_key", since, until)
         .groupBy("equipment_id", F.col("start_date_key").alias("date_key"))
         .agg(_zero(sum_minutes(F.col("downtime_minutes"))).alias("total_downtime"))
     )
 
 
-def quality_daily(fact: DataFrame, since: date | None = None) -> DataFrame:
+def quality_daily(fact: DataFrame, since: date | None = None, until: date | None = None) -> DataFrame:
     """Inspected and failed quantity per equipment and day."""
     return (
-        from_day(fact, "date_key", since)
+        from_day(fact, "date_key", since, until)
         .groupBy("equipment_id", "date_key")
         .agg(
             _zero(F.sum("total_quantity")).alias("total_inspected"),
@@ -68,9 +83,10 @@ def oee_daily(
     production: DataFrame,
     maintenance: DataFrame,
     quality: DataFrame,
-    dates: DataFrame,
+    dates: DataFrame | None,
     equipment: DataFrame,
     since: date | None = None,
+    until: date | None = None,
 ) -> DataFrame:
     """Availability, performance and quality per equipment and day of production.
 
@@ -94,11 +110,13 @@ def oee_daily(
         F.round(F.try_divide(inspected - _zero(F.col("total_failed")), inspected), 4),
     ).otherwise(1.0)
     keys = ["equipment_id", "date_key"]
+    daily = (
+        production_daily(production, since, until)
+        .join(downtime_daily(maintenance, since, until), keys, "left")
+        .join(quality_daily(quality, since, until), keys, "left")
+    )
     return (
-        production_daily(production, since)
-        .join(downtime_daily(maintenance, since), keys, "left")
-        .join(quality_daily(quality, since), keys, "left")
-        .join(dates.select("date_key", "full_date"), "date_key")
+        dated(daily, dates)
         .join(equipment.select("equipment_id", "equipment_name"), "equipment_id")
         .select(
             "date_key",
@@ -117,10 +135,11 @@ def oee_daily(
 
 def downtime_by_cause(
     maintenance: DataFrame,
-    dates: DataFrame,
+    dates: DataFrame | None,
     equipment: DataFrame,
     types: DataFrame,
     since: date | None = None,
+    until: date | None = None,
 ) -> DataFrame:
     """Downtime, number and mean per day, equipment name and maintenance type.
 
@@ -129,7 +148,7 @@ def downtime_by_cause(
     """
     minutes = F.col("downtime_minutes")
     per_machine = (
-        from_day(maintenance, "start_date_key", since)
+        from_day(maintenance, "start_date_key", since, until)
         .groupBy("equipment_id", F.col("start_date_key").alias("date_key"), "maintenance_type")
         .agg(
             sum_minutes(minutes).alias("minutes"),
@@ -139,7 +158,7 @@ def downtime_by_cause(
     )
     known_types = types.select("maintenance_type", F.col("maintenance_type").alias("known_type"))
     return (
-        per_machine.join(dates.select("date_key", "full_date"), "date_key")
+        dated(per_machine, dates)
         .join(equipment.select("equipment_id", "equipment_name"), "equipment_id")
         .join(known_types, "maintenance_type", "left")
         .groupBy("full_date", "equipment_name", F.col("known_type").alias("maintenance_type"))
@@ -221,7 +240,8 @@ def critical_equipment_fanout(
 
 
 def sensor_trends(
-    hourly: DataFrame, dates: DataFrame, equipment: DataFrame, since: date | None = None
+    hourly: DataFrame, dates: DataFrame | None, equipment: DataFrame,
+    since: date | None = None, until: date | None = None,
 ) -> DataFrame:
     """Sensor statistics per day, equipment name and sensor type.
 
@@ -229,7 +249,7 @@ def sensor_trends(
     over decimals, in two steps with sum and count, so it does not depend on the order of adding.
     """
     per_machine = (
-        from_day(hourly, "date_key", since)
+        from_day(hourly, "date_key", since, until)
         .groupBy("equipment_id", "date_key", "sensor_type")
         .agg(
             F.sum(F.col("avg_value").cast("decimal(22,8)")).alias("sum_of_means"),
@@ -241,7 +261,7 @@ def sensor_trends(
     )
     mean = F.try_divide(F.sum("sum_of_means").cast("decimal(38,8)"), F.sum("hours"))
     return (
-        per_machine.join(dates.select("date_key", "full_date"), "date_key")
+        dated(per_machine, dates)
         .join(equipment.select("equipment_id", "equipment_name"), "equipment_id")
         .groupBy("full_date", "equipment_name", "sensor_type")
         .agg(

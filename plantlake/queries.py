@@ -68,9 +68,11 @@ AS_OF = {
 class Frames:
     """The frames the queries share, each built when first used and never collected."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(
+        self, spark: SparkSession, sf_dir: str, stored: dict[str, DataFrame] | None = None
+    ):
         self.spark = spark
-        self.feed = PlantFeed(spark, sf_dir)
+        self.feed = PlantFeed(spark, sf_dir, stored)
 
     def raw(self, spec: EntitySpec) -> DataFrame:
         return self.feed.raw(spec.raw)
@@ -138,22 +140,22 @@ class Frames:
     def sensor_dates(self) -> DataFrame:
         return self.dates((self.staged(SENSORS), "reading_timestamp"))
 
-    def oee(self, since: date | None = None) -> DataFrame:
+    def oee(self, since: date | None = None, until: date | None = None) -> DataFrame:
         return views.oee_daily(
-            self.production, self.maintenance, self.quality, self.order_dates, self.equipment, since
+            self.production, self.maintenance, self.quality, None, self.equipment, since, until
         )
 
-    def downtime(self, since: date | None = None) -> DataFrame:
+    def downtime(self, since: date | None = None, until: date | None = None) -> DataFrame:
         return views.downtime_by_cause(
-            self.maintenance, self.order_dates, self.equipment, self.types, since
+            self.maintenance, None, self.equipment, self.types, since, until
         )
 
     @cached_property
     def critical(self) -> DataFrame:
         return views.critical_equipment(self.maintenance, self.quality, self.equipment)
 
-    def trends(self, since: date | None = None) -> DataFrame:
-        return views.sensor_trends(self.hourly, self.sensor_dates, self.equipment, since)
+    def trends(self, since: date | None = None, until: date | None = None) -> DataFrame:
+        return views.sensor_trends(self.hourly, None, self.equipment, since, until)
 
     def history(self) -> DataFrame:
         """History after the first run, without a surrogate key."""
@@ -164,7 +166,7 @@ class Frames:
     def next_history(self) -> DataFrame:
         return apply_history(
             self.history(), self.curated(EQUIPMENT_VERSIONS),
-            "equipment_id", "last_update_date", TABLE_HASH, SECOND_RUN,
+            "equipment_id", "last_update_date", TABLE_HASH, SECOND_RUN, EQUIPMENT_VERSIONS.hashed,
         )
 
     def lake(self) -> Lake:
@@ -319,12 +321,15 @@ def curate_full(spec: EntitySpec) -> Callable[[Frames], DataFrame]:
 
 
 def merge_query(spec: EntitySpec) -> Callable[[Frames], DataFrame]:
-    return lambda f: merge_upsert(f.curated_first(spec), f.curated(spec), spec.key, TABLE_HASH)
+    return lambda f: merge_upsert(
+        f.curated_first(spec), f.curated(spec), spec.key, TABLE_HASH, [spec.ts_col]
+    )
 
 
 def merge_unguarded(f: Frames) -> DataFrame:
     target = f.curated_first(QUALITY).drop("row_hash")
-    return merge_upsert(target, f.curated(QUALITY).drop("row_hash"), QUALITY.key)
+    batch = f.curated(QUALITY).drop("row_hash")
+    return merge_upsert(target, batch, QUALITY.key, latest_by=[QUALITY.ts_col])
 
 
 def merge_calendar(f: Frames) -> DataFrame:
@@ -431,8 +436,12 @@ def reconciliation(f: Frames) -> DataFrame:
 
 
 def absent_tables(f: Frames) -> DataFrame:
-    named = row_counts({k: v for k, v in raw_tables(f).items() if k != SENSORS.raw})
-    return missing_tables(f.spark, RAW_TABLES, named.where("row_count > 0"))
+    """What a lake still lacks after all feeds but the sensors' have been loaded, by its catalog."""
+    lake = f.lake()
+    for spec in (EQUIPMENT, PRODUCTION, MAINTENANCE, QUALITY):
+        raw_table(lake, spec.raw).load(as_raw(f.raw(spec), spec.raw))
+    listed = lake.tables(lake.config.raw).select(F.col("tableName").alias("table_name"))
+    return missing_tables(f.spark, RAW_TABLES, listed)
 
 
 # --- stored tables --------------------------------------------------------------------------------
@@ -467,8 +476,8 @@ def stored_history(f: Frames) -> DataFrame:
     batch = f.curated(EQUIPMENT_VERSIONS)
     table = history_table(f.lake(), batch, 16)
     ts = EQUIPMENT_VERSIONS.ts_col
-    table.track(f.curated_first(EQUIPMENT_VERSIONS), ts, TABLE_HASH, FIRST_RUN)
-    table.track(batch, ts, TABLE_HASH, SECOND_RUN)
+    for rows, as_of in ((f.curated_first(EQUIPMENT_VERSIONS), FIRST_RUN), (batch, SECOND_RUN)):
+        table.track(rows, ts, TABLE_HASH, as_of, EQUIPMENT_VERSIONS.hashed)
     return table.read().drop("version_key")
 
 
@@ -637,26 +646,26 @@ QUERIES: dict[str, Callable[[Frames], DataFrame]] = {
         f.maintenance, f.quality, f.equipment
     ),
     "vw4_sensor_trends": lambda f: f.trends(),
-    "q1_mean_oee": lambda f: reports.mean_oee(f.oee(DAYS30), REPORT_DAY),
-    "q2_downtime_of_day": lambda f: reports.downtime_of_day(f.downtime(REPORT_DAY), REPORT_DAY),
+    "q1_mean_oee": lambda f: reports.mean_oee(f.oee(DAYS30, REPORT_DAY), REPORT_DAY),
+    "q2_downtime_of_day": lambda f: reports.downtime_of_day(f.downtime(REPORT_DAY, REPORT_DAY), REPORT_DAY),
     "q3_critical_count": lambda f: reports.critical_count(f.critical),
-    "q4_mean_quality": lambda f: reports.mean_quality(f.oee(DAYS30), REPORT_DAY),
-    "q5_oee_by_equipment": lambda f: reports.oee_by_equipment(f.oee(DAYS7), REPORT_DAY),
-    "q6_oee_by_day": lambda f: reports.oee_by_day(f.oee(DAYS30), REPORT_DAY),
+    "q4_mean_quality": lambda f: reports.mean_quality(f.oee(DAYS30, REPORT_DAY), REPORT_DAY),
+    "q5_oee_by_equipment": lambda f: reports.oee_by_equipment(f.oee(DAYS7, REPORT_DAY), REPORT_DAY),
+    "q6_oee_by_day": lambda f: reports.oee_by_day(f.oee(DAYS30, REPORT_DAY), REPORT_DAY),
     "q7_top_critical": lambda f: reports.top_critical(f.critical),
-    "q8_downtime_causes": lambda f: reports.downtime_causes(f.downtime(DAYS30), REPORT_DAY),
+    "q8_downtime_causes": lambda f: reports.downtime_causes(f.downtime(DAYS30, REPORT_DAY), REPORT_DAY),
     "q9_downtime_by_equipment": lambda f: reports.downtime_by_equipment(
-        f.downtime(DAYS30), REPORT_DAY
+        f.downtime(DAYS30, REPORT_DAY), REPORT_DAY
     ),
-    "q10_sensor_trend": lambda f: reports.sensor_trend(f.trends(SENSOR_DAYS7), SENSOR_DAY),
-    "q11_oee_detail": lambda f: reports.oee_detail(f.oee(DAYS7), REPORT_DAY),
+    "q10_sensor_trend": lambda f: reports.sensor_trend(f.trends(SENSOR_DAYS7, SENSOR_DAY), SENSOR_DAY),
+    "q11_oee_detail": lambda f: reports.oee_detail(f.oee(DAYS7, REPORT_DAY), REPORT_DAY),
     "q12_downtime_trend": lambda f: reports.downtime_trend(f.downtime()),
     "q13_sensor_range": lambda f: reports.sensor_range(f.trends()),
     "q14_star_oee": lambda f: reports.star_oee(
-        f.production, f.maintenance, f.quality, f.order_dates, f.equipment
+        f.production, f.maintenance, f.quality, None, f.equipment, DAYS30, REPORT_DAY
     ),
     "q14_star_oee_fanout": lambda f: reports.star_oee_fanout(
-        f.production, f.maintenance, f.quality, f.order_dates, f.equipment
+        f.production, f.maintenance, f.quality, None, f.equipment, DAYS30, REPORT_DAY
     ),
     "q15_oee_listing": lambda f: reports.oee_listing(f.oee()),
     "q15_downtime_listing": lambda f: reports.downtime_listing(f.downtime()),

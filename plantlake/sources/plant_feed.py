@@ -1,7 +1,6 @@
 """The five raw plant tables, derived from the order, line, supplier and event tables.
 
-The derived text is written once per session and table to the shared folder and read from there,
-as a lake reads its raw layer: parsing then works on stored text columns.
+The text is derived as part of each query, so column pruning and filters reach the files below.
 
 Gives every raw column as text with the irregularities a plant feed has: several date layouts,
 decimal commas, mixed case, stray blanks, several spellings of a boolean and repeated keys.
@@ -10,14 +9,9 @@ See FIXTURES.md for the mapping in words.
 
 from __future__ import annotations
 
-from uuid import NAMESPACE_URL, uuid5
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plantlake.config import shared_folder
-from plantlake.sources.schemas import raw_schema
-
 ID_DIGITS = 12
 
 
@@ -55,22 +49,16 @@ def with_times(df: DataFrame, **times: Column) -> DataFrame:
     return df.withColumns({name: F.left(_text(ts), F.lit(19)) for name, ts in times.items()})
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Enough partitions to occupy all cores. Large inputs have them and are not shuffled."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
-# Where each raw table of a session was written.
-_written: dict[tuple[str, str, str], str] = {}
-
-
 class PlantFeed:
-    """Raw frames over one directory of parquet tables."""
+    """Raw frames over one directory of parquet tables.
+
+    ``stored`` has raw tables that were written as text before; they are used as they are.
+    """
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, stored: dict[str, DataFrame] | None = None):
         self.spark = spark
         self.sf_dir = sf_dir
+        self.stored = stored or {}
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
@@ -217,12 +205,5 @@ class PlantFeed:
         )
 
     def raw(self, table: str) -> DataFrame:
-        """A raw table as stored text."""
-        application = self.spark.sparkContext.applicationId
-        place = (application, self.sf_dir, table)
-        if place not in _written:
-            folder = f"{shared_folder(self.spark)}/plant-feed-{application}"
-            path = f"{folder}/{uuid5(NAMESPACE_URL, self.sf_dir).hex}/{table}"
-            spread(getattr(self, table)()).write.mode("overwrite").parquet(path)
-            _written[place] = path
-        return self.spark.read.schema(raw_schema(table)).parquet(_written[place])
+        """A raw table, all columns text."""
+        return self.stored[table] if table in self.stored else getattr(self, table)()
