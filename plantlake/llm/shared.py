@@ -8,13 +8,15 @@ from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plantlake.config import shared_folder
 
 PACKAGE_ROOT = str(Path(__file__).resolve().parents[2])
 
+#: Rows of an Arrow batch.
+BATCH_ROWS = 1000
 #: Texts are handled in runs of about so many bytes inside a task, whatever the Arrow batch holds.
 CHUNK_BYTES = 4 << 20
 
@@ -26,7 +28,7 @@ def store(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{label}-{uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -36,8 +38,13 @@ def with_row(docs: DataFrame, name: str = "_row") -> DataFrame:
 
 
 def on_executors(function: Callable, *args) -> Callable[[Iterator[pa.RecordBatch]], Iterator]:
-    """A body for ``mapInArrow``: ``function(batches, *args)``, imported where the task runs."""
+    """A body for ``mapInArrow``: ``function(batches, *args)``, imported where the task runs.
+
+    Sets the rows of an Arrow batch for the session: whole texts are long, and a batch is held several
+    times over between Spark and Python.
+    """
     root, module, name = PACKAGE_ROOT, function.__module__, function.__name__
+    SparkSession.active().conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
     def run(batches):
         import importlib

@@ -26,7 +26,7 @@ from plantlake.llm.shared import byte_column, chunks, on_executors
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\p{White_Space}\p{L}\p{N}]+"
 
 #: Pre-tokens whose count is kept per worker; longer ones are counted each time.
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 300_000
 CACHE_CHARS = 64
 
 
