@@ -16,7 +16,7 @@ def merge_roots(roots: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.nd
         apart = a != b
         if not apart.any():
             return roots
-        left, right = np.unique(np.stack([a[apart], b[apart]]), axis=1)
+        left, right = np.divmod(np.unique(a[apart] * len(roots) + b[apart]), len(roots))
         np.minimum.at(roots, np.maximum(left, right), np.minimum(left, right))
         while (roots != roots[roots]).any():
             roots = roots[roots]
