@@ -9,7 +9,9 @@ repeated strings. Suffixes are split by digits, coarse ones first, and a group o
 2. The next digit of a run is the hash of all bytes its windows cover. Runs that agree in it are
    repeated as a whole: the inside of every copied passage ends here.
 3. What is left under a first digit that several different runs have (the ends of passages) is split
-   suffix by suffix by the last digit, 128 bits over the whole window.
+   suffix by suffix by the last digits, two hashes of 64 bits over the whole window. Runs with one first
+   digit are sorted together in a task. If there are more than FEW of them, as at the ends of a passage
+   that a large share of documents hold, their suffixes are counted as rows of their own instead.
 
 Groups are counted with partial sums, so that a passage which most documents hold is never gathered.
 """
@@ -21,6 +23,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame
@@ -29,7 +32,11 @@ from pyspark.sql import functions as F
 from plantlake.llm.shared import byte_column, chunks, on_executors, store, with_row
 
 WINDOW = 200
-GRAM = 48
+GRAM = 32
+#: Runs with one first digit that are sorted in one task, at most.
+FEW = 500
+#: Suffixes sorted together.
+SORTED = 1 << 18
 #: Suffixes of one document looked at together.
 SEGMENT = 1 << 20
 BASE = 0x100000001B3
@@ -143,32 +150,92 @@ def _scan(batches: Iterator[pa.RecordBatch], window: int, gram: int) -> Iterator
             )
 
 
-def _windows(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
-    """Last digits of the suffixes of some runs (_row, packed, runs: at, n, alone), each once per run."""
+def _pieces(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
+    """The bytes that some runs cover, from (_row, packed, runs: key, at, n, alone, hot)."""
     unpack = zstandard.ZstdDecompressor().decompress
-    digest = xxhash.xxh3_128_digest
-    names = ["one", "two", "_row", "at", "alone", "n"]
     for rows in batches:
-        for row, packed, wanted in zip(*(rows.column(c) for c in range(3)), strict=True):
+        lists = rows.column(2)
+        flat, counts = lists.flatten(), lists.value_lengths().to_numpy()
+        at, n = (flat.field(k).to_numpy().tolist() for k in (1, 2))
+        pieces, i = [], 0
+        for packed, many in zip(rows.column(1), counts.tolist(), strict=True):
             data = unpack(packed.as_py())
-            fields = wanted.values
-            for at, n, alone in zip(*(fields.field(k).to_numpy(zero_copy_only=False).tolist() for k in range(3)), strict=True):
-                raw = b"".join([digest(data[i : i + window]) for i in range(at, at + n)])
-                pairs = np.frombuffer(raw, "<i8").reshape(-1, 2)
-                kinds, first, counts = np.unique(pairs, axis=0, return_index=True, return_counts=True)
-                if alone and (counts > 1).any():
-                    # All places of what repeats inside the run.
-                    kinds, first, inverse, counts = np.unique(pairs, axis=0, return_index=True, return_inverse=True, return_counts=True)
-                    counts = np.minimum(counts, 2)[inverse.ravel()]
-                    kinds, first = pairs, np.arange(n)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.ascontiguousarray(kinds[:, 0])), pa.array(np.ascontiguousarray(kinds[:, 1])),
-                        pa.array(np.full(len(kinds), row.as_py())), pa.array((at + first).astype(np.int32)),
-                        pa.array(np.full(len(kinds), alone)), pa.array(np.minimum(counts, 2).astype(np.int32)),
-                    ],
-                    names,
-                )
+            pieces += [data[a : a + m + window - 1] for a, m in zip(at[i : i + many], n[i : i + many], strict=True)]
+            i += many
+        row = np.repeat(rows.column(0).to_numpy(), counts)
+        yield pa.RecordBatch.from_arrays(
+            [flat.field(0), pa.array(row), *(flat.field(k) for k in (1, 2, 3, 4)), pa.array(pieces, pa.binary())],
+            ["key", "_row", "at", "n", "alone", "hot", "piece"],
+        )
+
+
+def last_digits(pieces: list[bytes], n: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Number of the piece, place in it and both digits of every suffix of some pieces."""
+    codes = np.frombuffer(b"".join(pieces), np.uint8)
+    starts = np.cumsum(n + window - 1) - (n + window - 1)
+    piece = np.repeat(np.arange(len(n)), n)
+    place = np.arange(len(piece)) - np.repeat(np.cumsum(n) - n, n)
+    at = starts[piece] + place
+    # The second digit sees each byte through another table.
+    table = np.random.default_rng(1).permutation(256).astype(np.uint8)
+    return piece, place, gram_hashes(codes, window)[at], gram_hashes(table[codes], window)[at]
+
+
+def _sort_pieces(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
+    """Ranges of repeated suffixes among runs with equal keys; rows come sorted by key."""
+    rest: pa.Table | None = None
+
+    def work(table: pa.Table) -> pa.RecordBatch:
+        key, row, at, n, alone = (table.column(k).to_numpy() for k in ("key", "_row", "at", "n", "alone"))
+        piece, place, one, two = last_digits(table.column("piece").to_pylist(), n.astype(np.int64), window)
+        order = np.lexsort((two, one, key[piece]))
+        fresh = np.ones(len(order), bool)
+        fresh[1:] = False
+        for digit in (key[piece], one, two):
+            fresh[1:] |= digit[order[1:]] != digit[order[:-1]]
+        group = np.cumsum(fresh) - 1
+        repeated = np.zeros(len(order), bool)
+        repeated[order] = np.bincount(group)[group] > 1
+        repeated &= alone[piece]
+        # Neighbouring suffixes of a run make one range.
+        found = np.flatnonzero(repeated)
+        edge = np.ones(len(found), bool)
+        edge[1:] = (np.diff(found) > 1) | (piece[found[1:]] != piece[found[:-1]])
+        first = found[edge]
+        last = found[np.append(edge[1:], True)] if len(found) else found
+        return pa.RecordBatch.from_arrays(
+            [pa.array(row[piece[first]]), pa.array((at[piece[first]] + place[first]).astype(np.int32)),
+             pa.array((at[piece[last]] + place[last]).astype(np.int32))],
+            ["_row", "low", "high"],
+        )
+
+    for rows in batches:
+        table = pa.Table.from_batches([rows])
+        rest = table if rest is None else pa.concat_tables([rest, table])
+        if pc.sum(rest.column("n")).as_py() < SORTED:
+            continue
+        key = rest.column("key").to_numpy()
+        # The last key may go on in the next batch.
+        cut = int(np.searchsorted(key, key[-1]))
+        if cut:
+            yield work(rest.slice(0, cut))
+            rest = rest.slice(cut)
+    if rest is not None and rest.num_rows:
+        yield work(rest)
+
+
+def _count_pieces(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
+    """Each suffix of some runs as a row: both digits, its place, and whether its run is the only one."""
+    for rows in batches:
+        if not rows.num_rows:
+            continue
+        row, at, n, alone = (rows.column(k).to_numpy(zero_copy_only=False) for k in (1, 2, 3, 4))
+        piece, place, one, two = last_digits(rows.column(6).to_pylist(), n.astype(np.int64), window)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(one.view(np.int64)), pa.array(two.view(np.int64)), pa.array(row[piece]),
+             pa.array((at[piece] + place).astype(np.int32)), pa.array(alone[piece])],
+            ["one", "two", "_row", "at", "alone"],
+        )
 
 
 def _cut(batches: Iterator[pa.RecordBatch], window: int, as_text: bool) -> Iterator[pa.RecordBatch]:
@@ -200,25 +267,40 @@ def _cut(batches: Iterator[pa.RecordBatch], window: int, as_text: bool) -> Itera
 def repeated_windows(scanned: DataFrame, window: int) -> DataFrame:
     """(_row, low, high): ranges of suffixes whose window occurs more than once."""
     every = scanned.select("_row", F.inline("runs"))
-    spans = every.groupBy("key", "span").agg(
+    # First digit: only runs that share it, or hold a gram twice, go on.
+    shared = every.groupBy("key").agg(F.count("*").alias("runs"), F.max("twice").alias("again"))
+    shared = shared.where((F.col("runs") > 1) | F.col("again")).select("key")
+    going = store(every.join(shared, "key", "left_semi"), "going")
+    # Second digit: equal runs are repeated as a whole.
+    spans = going.groupBy("key", "span").agg(
         F.count("*").alias("times"), F.min(F.struct("_row", "at", "n")).alias("first"), F.max("twice").alias("twice")
     )
     spans = store(spans, "spans")
-    keys = spans.groupBy("key").agg(F.count("*").alias("kinds"), F.max("twice").alias("again"))
-    open_keys = keys.where((F.col("kinds") > 1) | F.col("again")).select("key")
     copied = spans.where("times > 1").select("key", "span")
-    whole = every.join(copied, ["key", "span"]).select("_row", F.col("at").alias("low"), (F.col("at") + F.col("n") - 1).alias("high"))
-    looked_at = spans.join(open_keys, "key").select(
-        "first._row", F.struct("first.at", "first.n", (F.col("times") == 1).alias("alone")).alias("run")
+    whole = going.join(copied, ["key", "span"], "left_semi").select(
+        "_row", F.col("at").alias("low"), (F.col("at") + F.col("n") - 1).alias("high")
     )
-    lists = looked_at.groupBy("_row").agg(F.collect_list("run").alias("looked_at"))
+    # Last digits: one run of each kind under the keys that have several.
+    keys = spans.groupBy("key").agg(F.count("*").alias("kinds"), F.max("twice").alias("again"))
+    keys = keys.where((F.col("kinds") > 1) | F.col("again")).select("key", (F.col("kinds") > FEW).alias("hot"))
+    run = F.struct("key", "first.at", "first.n", (F.col("times") == 1).alias("alone"), "hot").alias("run")
+    lists = spans.join(keys, "key").select("first._row", run).groupBy("_row").agg(F.collect_list("run").alias("runs"))
     texts = scanned.select("_row", "packed").join(lists.hint("shuffle_hash"), "_row")
-    digits = store(
-        texts.mapInArrow(on_executors(_windows, window), "one long, two long, _row long, at int, alone boolean, n int"), "digits"
+    piece_type = "key long, _row long, at int, n int, alone boolean, hot boolean, piece binary"
+    pieces = store(texts.mapInArrow(on_executors(_pieces, window), piece_type), "pieces")
+    few = pieces.where(~F.col("hot")).repartition("key").sortWithinPartitions("key")
+    sorted_ranges = few.mapInArrow(on_executors(_sort_pieces, window), "_row long, low int, high int")
+    digits = pieces.where("hot").mapInArrow(
+        on_executors(_count_pieces, window), "one long, two long, _row long, at int, alone boolean"
+    )
+    digits = store(digits, "digits")
+    # A run that stands for several equal ones counts for more than one.
+    times = F.sum(F.when(F.col("alone"), 1).otherwise(2))
+    equal = digits.groupBy("one", "two").agg(times.alias("times")).where("times > 1").select("one", "two")
+    counted = digits.where("alone").join(equal, ["one", "two"], "left_semi").select(
+        "_row", F.col("at").alias("low"), F.col("at").alias("high")
     )
-    equal = digits.groupBy("one", "two").agg(F.sum("n").alias("times")).where("times > 1").select("one", "two")
-    single = digits.where("alone").join(equal, ["one", "two"]).select("_row", F.col("at").alias("low"), F.col("at").alias("high"))
-    return whole.unionByName(single)
+    return whole.unionByName(sorted_ranges).unionByName(counted)
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, text: str = "text", as_text: bool = False) -> DataFrame:

@@ -41,8 +41,9 @@ def varied(seed):
     return texts
 
 
-@pytest.mark.parametrize("window,gram", [(20, 7), (31, 30), (40, 8), (12, 12)])
-def test_equal_brute_force(spark, window, gram):
+@pytest.mark.parametrize("window,gram,few", [(20, 7, 500), (31, 30, 500), (40, 8, 2), (12, 12, 0)])
+def test_equal_brute_force(spark, monkeypatch, window, gram, few):
+    monkeypatch.setattr(suffix_dedup, "FEW", few)
     check(spark, varied(window), window, gram)
 
 
