@@ -6,6 +6,7 @@ Common table expressions are kept by name; ``sql`` puts those a statement mentio
 from __future__ import annotations
 
 import re
+from functools import partial
 
 ID_DIGITS = 12
 
@@ -124,7 +125,7 @@ CTES["raw_production"] = f"""
       'PROD-' || l_partkey AS product_id,
       {_mix(_RUN_START, 'l_suppkey')} AS planned_start,
       {_mix(_plus(_RUN_START, '480'), 'l_suppkey + l_linenumber')} AS planned_end,
-      {_mix(_RUN_START, 'l_orderkey')} AS actual_start,
+      CASE WHEN l_partkey % 17 <> 4 THEN {_mix(_RUN_START, 'l_orderkey')} END AS actual_start,
       {_mix(_RUN_END, 'l_orderkey + l_linenumber')} AS actual_end,
       CAST(CAST(l_quantity * 10 AS INT) AS VARCHAR) AS planned_quantity,
       CAST(CAST(floor(l_quantity * 10 * (1 - l_discount)) AS INT) AS VARCHAR)
@@ -140,7 +141,7 @@ CTES["raw_maintenance"] = f"""
         ELSE lower(o_orderpriority) || ' ' END AS maintenance_type,
       {_mix(_OPEN, 'o_orderkey')} AS scheduled_start,
       {_mix(_plus(_OPEN, '240'), 'o_custkey')} AS scheduled_end,
-      {_mix(_OPEN, '0')} AS actual_start,
+      CASE WHEN o_custkey % 19 <> 7 THEN {_mix(_OPEN, '0')} END AS actual_start,
       CASE WHEN o_orderkey % 11 <> 0 THEN {_mix(_DONE, '0')} END AS actual_end,
       'TECH-' || lpad(CAST(o_custkey % 20 + 1 AS VARCHAR), 3, '0') AS technician_id,
       o_orderstatus AS status, ' P' || substr(o_orderpriority, 1, 1) AS priority,
@@ -148,7 +149,7 @@ CTES["raw_maintenance"] = f"""
       {_mix('o_orderdate', 'o_custkey')} AS last_update
     FROM orders, machines"""
 CTES["raw_quality"] = f"""
-    SELECT 'INS' || {_LINE_ID} AS inspection_id, 'PO' || {_LINE_ID} AS production_order_id,
+    SELECT CASE WHEN l_partkey % 101 <> 7 THEN 'INS' || {_LINE_ID} END AS inspection_id, 'PO' || {_LINE_ID} AS production_order_id,
       {_id('EQ', 'l_suppkey')} AS equipment_id,
       CASE l_linenumber % 3 WHEN 0 THEN ' Visual' WHEN 1 THEN 'DIMENSIONAL' ELSE 'functional '
         END AS inspection_type,
@@ -158,7 +159,7 @@ CTES["raw_quality"] = f"""
       CAST(CAST(floor(l_quantity * l_discount) AS INT) AS VARCHAR) AS failed_quantity,
       CASE WHEN l_partkey % 50 = 0 THEN '0' ELSE CAST(CAST(l_quantity AS INT) AS VARCHAR) END
         AS total_quantity,
-      CASE WHEN l_discount = 0 THEN NULL
+      CASE WHEN l_discount = 0 THEN NULL WHEN l_partkey % 103 = 9 THEN '  '
         WHEN l_partkey % 3 = 0 THEN 'd00' || (l_partkey % 6 + 1) || ', d00' || (l_suppkey % 6 + 1)
         ELSE 'D00' || (l_partkey % 6 + 1) END AS defect_codes,
       CASE WHEN l_partkey % 4 <> 0 THEN 'lot ' || l_partkey END AS notes,
@@ -274,6 +275,25 @@ ENTITIES = {
     "equipment": EQUIPMENT, "versions": VERSIONS, "sensor": SENSOR, "production": PRODUCTION,
     "maintenance": MAINTENANCE, "quality": QUALITY,
 }
+_NARROW = {
+    "equipment": {"": P9, "installation_date": P11}, "sensor": {"": P8}, "production": {"": P5},
+    "maintenance": {"": P5}, "quality": {"": P5},
+}
+
+
+def _narrow(name: str) -> Entity:
+    """The entity with its times read in few layouts."""
+    entity, layouts = ENTITIES[name], _NARROW[name]
+    columns = {
+        c: partial(fn, formats=layouts.get(c, layouts[""])) if fn in (_ts, _day) else fn
+        for c, fn in entity.columns.items()
+    }
+    return Entity(
+        entity.raw, entity.key, entity.ts, columns, entity.required, entity.identity, entity.order,
+        entity.hashed, entity.dropped,
+    )
+
+
 BEFORE = {
     "equipment": "v = 0",
     "versions": "v = 0",
@@ -291,6 +311,8 @@ for _name, _entity in ENTITIES.items():
     CTES[f"staged_{_name}"] = _entity.staged()
     CTES[f"ranked_{_name}"] = _entity.ranked(f"SELECT * FROM staged_{_name}")
     CTES[f"clean_{_name}"] = _entity.curated(f"SELECT * FROM staged_{_name}")
+    if _name in _NARROW:
+        CTES[f"narrow_{_name}"] = _narrow(_name).curated(_narrow(_name).staged())
     CTES[f"clean_before_{_name}"] = _entity.curated(_entity.staged(f"before_{_name}"))
 
 WINDOWS = {
@@ -299,7 +321,7 @@ WINDOWS = {
                 " >= DATE '2001-12-15' - 90",
     "sensor": "reading_timestamp >= DATE '2024-03-15' - 60",
     "production": "last_update >= DATE '2001-11-04' - 60",
-    "maintenance": "last_update >= DATE '2001-11-04' - 60",
+    "maintenance": "last_update >= DATE '2001-08-01' - 60",
     "quality": "last_update >= DATE '2001-11-04' - 60",
 }
 
@@ -671,7 +693,7 @@ STATEMENTS: dict[str, str] = {
         "raw_maintenance", "maintenance_order_id", "scheduled_end", ALL
     ),
     "flt1_required": "SELECT inspection_id, defect_codes FROM raw_quality"
-                     " WHERE inspection_id IS NOT NULL AND defect_codes IS NOT NULL",
+                     " WHERE inspection_id IS NOT NULL",
     "flt2_window_null_kept": "SELECT equipment_id, last_update_date FROM staged_equipment WHERE "
                              + WINDOWS["equipment"],
     "flt2b_window_null_is_now": "SELECT equipment_id, last_update_date FROM staged_versions WHERE "
@@ -679,7 +701,7 @@ STATEMENTS: dict[str, str] = {
     "flt3_window_null_dropped": "SELECT reading_id, reading_timestamp FROM staged_sensor WHERE "
                                 + WINDOWS["sensor"],
     "flt4_started": "SELECT maintenance_order_id, actual_start, actual_end FROM staged_maintenance"
-                    " WHERE actual_start IS NOT NULL AND actual_end IS NOT NULL",
+                    " WHERE actual_start IS NOT NULL",
     "flt5_not_blank": "SELECT inspection_id, defect_codes FROM staged_quality"
                       " WHERE defect_codes IS NOT NULL AND defect_codes <> ''",
     "flt6_last_days": "SELECT date_key, full_date FROM order_dates"
@@ -832,6 +854,13 @@ STATEMENTS: dict[str, str] = {
                                   ("iot_sensor_readings", "sensor"))
     ),
     "snk1_first_load": _raw_columns(PRODUCTION),
+    "snk11_file_sizes": "SELECT CAST(count(*) AS BIGINT) AS row_count, true AS within_limit"
+                        " FROM fact_sensor_hourly",
+    "curate_equipment_reference_layouts": "SELECT * FROM narrow_equipment",
+    "curate_sensor_readings_reference_layouts": "SELECT * FROM narrow_sensor",
+    "curate_production_orders_reference_layouts": "SELECT * FROM narrow_production",
+    "curate_maintenance_orders_reference_layouts": "SELECT * FROM narrow_maintenance",
+    "curate_quality_inspections_reference_layouts": "SELECT * FROM narrow_quality",
     "snk2_upsert_unguarded": _merged(
         "(SELECT * EXCLUDE (row_hash) FROM clean_before_quality)",
         "(SELECT * EXCLUDE (row_hash) FROM clean_quality)", "inspection_id", guarded=False,

@@ -31,10 +31,12 @@ from plantlake.plans.entities import (
     EQUIPMENT,
     EQUIPMENT_VERSIONS,
     MAINTENANCE,
+    NARROW_LAYOUTS,
     PRODUCTION,
     QUALITY,
     SENSORS,
     TABLE_HASH,
+    narrowed,
 )
 from plantlake.plans.ingest import ingest_all, raw_table
 from plantlake.sources.audit import missing_tables, reconcile, row_counts
@@ -46,6 +48,7 @@ from plantlake.sources.store import Lake, register_view
 # Reference times that lie inside the data.
 EQUIPMENT_AS_OF = datetime(2001, 12, 15, 10, 30)
 ORDERS_AS_OF = datetime(2001, 11, 4, 10, 30)
+MAINTENANCE_AS_OF = datetime(2001, 8, 1, 10, 30)
 SENSORS_AS_OF = datetime(2024, 3, 15, 10, 30)
 REPORT_DAY = date(2001, 7, 15)
 SENSOR_DAY = date(2024, 1, 25)
@@ -60,7 +63,7 @@ AS_OF = {
     EQUIPMENT_VERSIONS.name: EQUIPMENT_AS_OF,
     SENSORS.name: SENSORS_AS_OF,
     PRODUCTION.name: ORDERS_AS_OF,
-    MAINTENANCE.name: ORDERS_AS_OF,
+    MAINTENANCE.name: MAINTENANCE_AS_OF,
     QUALITY.name: ORDERS_AS_OF,
 }
 
@@ -259,10 +262,7 @@ def lower_texts(f: Frames) -> DataFrame:
 
 
 def required_ids(f: Frames) -> DataFrame:
-    """Inspections that name their defects: the same check, on a column that does have gaps."""
-    return require(f.raw(QUALITY), ["inspection_id", "defect_codes"]).select(
-        "inspection_id", "defect_codes"
-    )
+    return require(f.raw(QUALITY), ["inspection_id"]).select("inspection_id", "defect_codes")
 
 
 def window_query(spec: EntitySpec, nulls: str) -> Callable[[Frames], DataFrame]:
@@ -275,7 +275,7 @@ def window_query(spec: EntitySpec, nulls: str) -> Callable[[Frames], DataFrame]:
 
 def started(f: Frames) -> DataFrame:
     columns = ["maintenance_order_id", "actual_start", "actual_end"]
-    return require(f.staged(MAINTENANCE), ["actual_start", "actual_end"]).select(columns)
+    return require(f.staged(MAINTENANCE), ["actual_start"]).select(columns)
 
 
 def coded(f: Frames) -> DataFrame:
@@ -313,6 +313,11 @@ def curate_window(spec: EntitySpec) -> Callable[[Frames], DataFrame]:
     return lambda f: curate(f.raw(spec), spec, AS_OF[spec.name], spec.window_days)
 
 
+def curate_narrow(spec: EntitySpec) -> Callable[[Frames], DataFrame]:
+    """Curation with the narrow layouts of each column."""
+    return lambda f: curate(f.raw(spec), narrowed(spec, NARROW_LAYOUTS[spec.name]))
+
+
 def curate_full(spec: EntitySpec) -> Callable[[Frames], DataFrame]:
     return lambda f: f.curated(spec)
 
@@ -488,6 +493,16 @@ def stored_fact(f: Frames) -> DataFrame:
     return lake.read(lake.config.gold, "fact_quality")
 
 
+def stored_file_sizes(f: Frames) -> DataFrame:
+    """Rows of the files of a stored fact: in all, and whether none holds more than was asked for."""
+    lake, most = f.lake(), 5_000
+    by = facts.PARTITION_BY["fact_sensor_hourly"]
+    lake.overwrite(f.hourly, lake.config.gold, "fact_sensor_hourly", by, most)
+    stored = lake.read(lake.config.gold, "fact_sensor_hourly")
+    files = stored.groupBy(F.col("_metadata.file_path")).agg(F.count("*").alias("n"))
+    return files.agg(F.sum("n").alias("row_count"), (F.max("n") <= most).alias("within_limit"))
+
+
 def stored_fact_days(f: Frames) -> DataFrame:
     lake = f.lake()
     by = facts.PARTITION_BY["fact_sensor_hourly"]
@@ -610,6 +625,11 @@ QUERIES: dict[str, Callable[[Frames], DataFrame]] = {
     "curate_quality_inspections": curate_window(QUALITY),
     "curate_production_orders_full": curate_full(PRODUCTION),
     "curate_sensor_readings_full": curate_full(SENSORS),
+    "curate_equipment_reference_layouts": curate_narrow(EQUIPMENT),
+    "curate_sensor_readings_reference_layouts": curate_narrow(SENSORS),
+    "curate_production_orders_reference_layouts": curate_narrow(PRODUCTION),
+    "curate_maintenance_orders_reference_layouts": curate_narrow(MAINTENANCE),
+    "curate_quality_inspections_reference_layouts": curate_narrow(QUALITY),
     "mrg1_equipment": merge_query(EQUIPMENT),
     "mrg2_sensor_readings": merge_query(SENSORS),
     "mrg3_production_orders": merge_query(PRODUCTION),
@@ -686,6 +706,7 @@ QUERIES: dict[str, Callable[[Frames], DataFrame]] = {
     "snk7_session_view": session_view,
     "snk8_partitioned_fact": stored_fact_days,
     "snk10_reset": stored_reset,
+    "snk11_file_sizes": stored_file_sizes,
     "mrg3_stored_upsert": stored_guarded_upsert,
     "scd2_stored_history": stored_history,
     "aud1_row_counts": lambda f: row_counts(raw_tables(f)),

@@ -141,7 +141,8 @@ class PlantFeed:
             F.concat(F.lit("PROD-"), _text(part)).alias("product_id"),
             mixed_time("run_start", "l_suppkey").alias("planned_start"),
             mixed_time("due", "l_suppkey + l_linenumber").alias("planned_end"),
-            mixed_time("run_start", "l_orderkey").alias("actual_start"),
+            # A planned run has not started.
+            F.when(part % 17 != 4, mixed_time("run_start", "l_orderkey")).alias("actual_start"),
             mixed_time("run_end", "l_orderkey + l_linenumber").alias("actual_end"),
             _text(planned).alias("planned_quantity"),
             F.when(part % 7 == 0, F.concat(_text(actual), F.lit(",0")))
@@ -167,7 +168,7 @@ class PlantFeed:
             .alias("maintenance_type"),
             mixed_time("run_start", "o_orderkey").alias("scheduled_start"),
             mixed_time("due", "o_custkey").alias("scheduled_end"),
-            F.col("run_start").alias("actual_start"),
+            F.when(customer % 19 != 7, F.col("run_start")).alias("actual_start"),
             F.when(order % 11 != 0, F.col("run_end")).alias("actual_end"),
             F.concat(F.lit("TECH-"), F.lpad(_text(customer % 20 + 1), 3, "0")).alias(
                 "technician_id"
@@ -185,7 +186,7 @@ class PlantFeed:
         kinds = F.array(F.lit(" Visual"), F.lit("DIMENSIONAL"), F.lit("functional "))
         lines = with_times(self.table("lineitem"), run_start=self._run_start(), run_end=self._run_end())
         return lines.select(
-            self._line_id("INS").alias("inspection_id"),
+            F.when(part % 101 != 7, self._line_id("INS")).alias("inspection_id"),
             self._line_id("PO").alias("production_order_id"),
             _id("EQ", supplier).alias("equipment_id"),
             F.element_at(kinds, F.col("l_linenumber") % 3 + 1).alias("inspection_type"),
@@ -197,6 +198,7 @@ class PlantFeed:
                 "total_quantity"
             ),
             F.when(discount == 0, None)
+            .when(part % 103 == 9, F.lit("  "))
             .when(part % 3 == 0, F.concat(F.lit("d00"), first, F.lit(", d00"), second))
             .otherwise(F.concat(F.lit("D00"), first))
             .alias("defect_codes"),
