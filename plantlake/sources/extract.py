@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from plantlake.functions.parsing import FORMATS_P10, parse_timestamp
 from plantlake.functions.times import AsOf, days_before, ntz
-from plantlake.sources.schemas import RAW_TABLES, raw_schema
+from plantlake.sources.schemas import RAW_TABLES
 
 FALLBACK_DAYS = 90
 
