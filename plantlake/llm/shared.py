@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable, Iterator
 from pathlib import Path
 from uuid import uuid4
@@ -52,11 +54,23 @@ def on_executors(function: Callable, *args) -> Callable[[Iterator[pa.RecordBatch
 
         if root not in sys.path:
             sys.path.append(root)
-        yield from getattr(importlib.import_module(module), name)(batches, *args)
+        try:
+            yield from getattr(importlib.import_module(module), name)(batches, *args)
+        finally:
+            importlib.import_module("plantlake.llm.shared").release()
 
     return run
 
 
+def release() -> None:
+    """Give memory back at the end of a task: Spark keeps its Python workers for later tasks."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def on_group(function: Callable, *args) -> Callable[[pa.Table], pa.Table]:
     """A body for ``applyInArrow``: ``function(table, *args)``, imported where the task runs."""
     root, module, name = PACKAGE_ROOT, function.__module__, function.__name__
@@ -72,6 +86,21 @@ def on_group(function: Callable, *args) -> Callable[[pa.Table], pa.Table]:
     return run
 
 
+def on_cogroup(function: Callable, *args) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    """A body for ``applyInArrow`` on two grouped frames: ``function(left, right, *args)``."""
+    root, module, name = PACKAGE_ROOT, function.__module__, function.__name__
+
+    def run(left, right):
+        import importlib
+        import sys
+
+        if root not in sys.path:
+            sys.path.append(root)
+        return getattr(importlib.import_module(module), name)(left, right, *args)
+
+    return run
+
+
 def remainder(doc_id: str | Column, by: int) -> Column:
     """crc32 of the id as text, modulo ``by``; null for a null id."""
     column = F.col(doc_id) if isinstance(doc_id, str) else doc_id

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plantlake.llm.components import connected, merge_roots
-from plantlake.llm.shared import byte_column, on_executors, store, with_row
+from plantlake.llm.shared import on_executors, store, with_row
 
 SEED = 42
 BITS = 64

@@ -11,7 +11,9 @@ repeated strings. Suffixes are split by digits, coarse ones first, and a group o
 3. What is left under a first digit that several different runs have (the ends of passages) is split
    suffix by suffix by the last digits, two hashes of 64 bits over the whole window. Runs with one first
    digit are sorted together in a task. If there are more than FEW of them, as at the ends of a passage
-   that a large share of documents hold, their suffixes are counted as rows of their own instead.
+   that a large share of documents hold, they are dealt over several tasks. What repeats within one is
+   decided there; digits that are single in a task are counted over all, and those that are not single
+   go back to the tasks that have them.
 
 Groups are counted with partial sums, so that a passage which most documents hold is never gathered.
 """
@@ -29,11 +31,11 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plantlake.llm.shared import byte_column, chunks, on_executors, store, with_row
+from plantlake.llm.shared import byte_column, chunks, on_cogroup, on_executors, on_group, store, with_row
 
 WINDOW = 200
 GRAM = 32
-#: Runs with one first digit that are sorted in one task, at most.
+#: Runs with one first digit that are sorted in one task, about, at most.
 FEW = 500
 #: Suffixes sorted together.
 SORTED = 1 << 18
@@ -151,7 +153,7 @@ def _scan(batches: Iterator[pa.RecordBatch], window: int, gram: int) -> Iterator
 
 
 def _pieces(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
-    """The bytes that some runs cover, from (_row, packed, runs: key, at, n, alone, hot)."""
+    """The bytes that some runs cover, from (_row, packed, runs: key, at, n, alone, parts)."""
     unpack = zstandard.ZstdDecompressor().decompress
     for rows in batches:
         lists = rows.column(2)
@@ -165,7 +167,7 @@ def _pieces(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.Recor
         row = np.repeat(rows.column(0).to_numpy(), counts)
         yield pa.RecordBatch.from_arrays(
             [flat.field(0), pa.array(row), *(flat.field(k) for k in (1, 2, 3, 4)), pa.array(pieces, pa.binary())],
-            ["key", "_row", "at", "n", "alone", "hot", "piece"],
+            ["key", "_row", "at", "n", "alone", "parts", "piece"],
         )
 
 
@@ -181,38 +183,48 @@ def last_digits(pieces: list[bytes], n: np.ndarray, window: int) -> tuple[np.nda
     return piece, place, gram_hashes(codes, window)[at], gram_hashes(table[codes], window)[at]
 
 
+def groups_of(*digits: np.ndarray) -> np.ndarray:
+    """Number of the group of each suffix: those equal in all digits, the most significant given first."""
+    order = np.lexsort(digits[::-1])
+    fresh = np.zeros(len(order), bool)
+    fresh[:1] = True
+    for digit in digits:
+        fresh[1:] |= digit[order[1:]] != digit[order[:-1]]
+    out = np.empty(len(order), np.int64)
+    out[order] = np.cumsum(fresh) - 1
+    return out
+
+
+def ranges(table: pa.Table, piece: np.ndarray, place: np.ndarray, repeated: np.ndarray) -> dict:
+    """Neighbouring repeated suffixes of a run as one range; only runs that stand for themselves."""
+    row, at, alone = (table.column(k).to_numpy() for k in ("_row", "at", "alone"))
+    found = np.flatnonzero(repeated & alone[piece])
+    edge = np.ones(len(found), bool)
+    edge[1:] = (np.diff(found) > 1) | (piece[found[1:]] != piece[found[:-1]])
+    first = found[edge]
+    last = found[np.append(edge[1:], True)] if len(found) else found
+    low, high = (at[piece[x]] + place[x] for x in (first, last))
+    return {"_row": row[piece[first]], "low": low.astype(np.int32), "high": high.astype(np.int32)}
+
+
+def _digits(table: pa.Table, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    return last_digits(table.column("piece").to_pylist(), table.column("n").to_numpy().astype(np.int64), window)
+
+
 def _sort_pieces(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
     """Ranges of repeated suffixes among runs with equal keys; rows come sorted by key."""
     rest: pa.Table | None = None
 
     def work(table: pa.Table) -> pa.RecordBatch:
-        key, row, at, n, alone = (table.column(k).to_numpy() for k in ("key", "_row", "at", "n", "alone"))
-        piece, place, one, two = last_digits(table.column("piece").to_pylist(), n.astype(np.int64), window)
-        order = np.lexsort((two, one, key[piece]))
-        fresh = np.ones(len(order), bool)
-        fresh[1:] = False
-        for digit in (key[piece], one, two):
-            fresh[1:] |= digit[order[1:]] != digit[order[:-1]]
-        group = np.cumsum(fresh) - 1
-        repeated = np.zeros(len(order), bool)
-        repeated[order] = np.bincount(group)[group] > 1
-        repeated &= alone[piece]
-        # Neighbouring suffixes of a run make one range.
-        found = np.flatnonzero(repeated)
-        edge = np.ones(len(found), bool)
-        edge[1:] = (np.diff(found) > 1) | (piece[found[1:]] != piece[found[:-1]])
-        first = found[edge]
-        last = found[np.append(edge[1:], True)] if len(found) else found
-        return pa.RecordBatch.from_arrays(
-            [pa.array(row[piece[first]]), pa.array((at[piece[first]] + place[first]).astype(np.int32)),
-             pa.array((at[piece[last]] + place[last]).astype(np.int32))],
-            ["_row", "low", "high"],
-        )
+        piece, place, one, two = _digits(table, window)
+        group = groups_of(table.column("key").to_numpy()[piece], one, two)
+        made = ranges(table, piece, place, np.bincount(group)[group] > 1)
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in made.values()], names=list(made))
 
     for rows in batches:
         table = pa.Table.from_batches([rows])
         rest = table if rest is None else pa.concat_tables([rest, table])
-        if pc.sum(rest.column("n")).as_py() < SORTED:
+        if not rest.num_rows or pc.sum(rest.column("n")).as_py() < SORTED:
             continue
         key = rest.column("key").to_numpy()
         # The last key may go on in the next batch.
@@ -224,18 +236,29 @@ def _sort_pieces(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.
         yield work(rest)
 
 
-def _count_pieces(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
-    """Each suffix of some runs as a row: both digits, its place, and whether its run is the only one."""
-    for rows in batches:
-        if not rows.num_rows:
-            continue
-        row, at, n, alone = (rows.column(k).to_numpy(zero_copy_only=False) for k in (1, 2, 3, 4))
-        piece, place, one, two = last_digits(rows.column(6).to_pylist(), n.astype(np.int64), window)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(one.view(np.int64)), pa.array(two.view(np.int64)), pa.array(row[piece]),
-             pa.array((at[piece] + place).astype(np.int32)), pa.array(alone[piece])],
-            ["one", "two", "_row", "at", "alone"],
-        )
+def _single_digits(table: pa.Table, window: int) -> pa.Table:
+    """Each last digit of some runs once, with its number there, two at most."""
+    piece, _, one, two = _digits(table, window)
+    # A run that stands for several equal ones counts for more than one.
+    weight = np.where(table.column("alone").to_numpy(), 1, 2)[piece]
+    group = groups_of(one, two)
+    count = np.minimum(np.bincount(group, weight), 2).astype(np.int32)
+    first = np.zeros(len(count), np.int64)
+    first[group] = np.arange(len(group))
+    ends = {k: pa.array(np.full(len(count), table.column(k)[0].as_py())) for k in ("key", "part")}
+    return pa.table(ends | {"one": one[first].view(np.int64), "two": two[first].view(np.int64), "n": count})
+
+
+def _part_ranges(table: pa.Table, known: pa.Table, window: int) -> pa.Table:
+    """Ranges of suffixes of some runs that repeat there or whose last digits are known to repeat."""
+    if not table.num_rows:
+        return pa.table({"_row": pa.array([], pa.int64()), "low": pa.array([], pa.int32()), "high": pa.array([], pa.int32())})
+    piece, place, one, two = _digits(table, window)
+    weight = np.where(table.column("alone").to_numpy(), 1, 2)[piece]
+    more = [known.column(k).to_numpy().view(np.uint64) for k in ("one", "two")]
+    group = groups_of(np.append(one, more[0]), np.append(two, more[1]))
+    count = np.bincount(group, np.append(weight, np.full(len(more[0]), 2)))
+    return pa.table(ranges(table, piece, place, count[group[: len(piece)]] > 1))
 
 
 def _cut(batches: Iterator[pa.RecordBatch], window: int, as_text: bool) -> Iterator[pa.RecordBatch]:
@@ -282,25 +305,27 @@ def repeated_windows(scanned: DataFrame, window: int) -> DataFrame:
     )
     # Last digits: one run of each kind under the keys that have several.
     keys = spans.groupBy("key").agg(F.count("*").alias("kinds"), F.max("twice").alias("again"))
-    keys = keys.where((F.col("kinds") > 1) | F.col("again")).select("key", (F.col("kinds") > FEW).alias("hot"))
-    run = F.struct("key", "first.at", "first.n", (F.col("times") == 1).alias("alone"), "hot").alias("run")
+    parts = F.ceil(F.col("kinds") / max(1, FEW)).cast("int").alias("parts")
+    keys = keys.where((F.col("kinds") > 1) | F.col("again")).select("key", parts)
+    run = F.struct("key", "first.at", "first.n", (F.col("times") == 1).alias("alone"), "parts").alias("run")
     lists = spans.join(keys, "key").select("first._row", run).groupBy("_row").agg(F.collect_list("run").alias("runs"))
     texts = scanned.select("_row", "packed").join(lists.hint("shuffle_hash"), "_row")
-    piece_type = "key long, _row long, at int, n int, alone boolean, hot boolean, piece binary"
+    piece_type = "key long, _row long, at int, n int, alone boolean, parts int, piece binary"
     pieces = store(texts.mapInArrow(on_executors(_pieces, window), piece_type), "pieces")
-    few = pieces.where(~F.col("hot")).repartition("key").sortWithinPartitions("key")
-    sorted_ranges = few.mapInArrow(on_executors(_sort_pieces, window), "_row long, low int, high int")
-    digits = pieces.where("hot").mapInArrow(
-        on_executors(_count_pieces, window), "one long, two long, _row long, at int, alone boolean"
+    range_type = "_row long, low int, high int"
+    few = pieces.where("parts = 1").repartition("key").sortWithinPartitions("key")
+    sorted_ranges = few.mapInArrow(on_executors(_sort_pieces, window), range_type)
+    many = pieces.where("parts > 1").withColumn("part", F.pmod(F.xxhash64("_row", "at"), F.col("parts")))
+    digits = many.groupBy("key", "part").applyInArrow(
+        on_group(_single_digits, window), "key long, part long, one long, two long, n int"
     )
     digits = store(digits, "digits")
-    # A run that stands for several equal ones counts for more than one.
-    times = F.sum(F.when(F.col("alone"), 1).otherwise(2))
-    equal = digits.groupBy("one", "two").agg(times.alias("times")).where("times > 1").select("one", "two")
-    counted = digits.where("alone").join(equal, ["one", "two"], "left_semi").select(
-        "_row", F.col("at").alias("low"), F.col("at").alias("high")
+    equal = digits.groupBy("one", "two").agg(F.sum("n").alias("n")).where("n > 1").select("one", "two")
+    back = digits.where("n = 1").join(equal, ["one", "two"], "left_semi").select("key", "part", "one", "two")
+    dealt = many.groupBy("key", "part").cogroup(back.groupBy("key", "part")).applyInArrow(
+        on_cogroup(_part_ranges, window), range_type
     )
-    return whole.unionByName(sorted_ranges).unionByName(counted)
+    return whole.unionByName(sorted_ranges).unionByName(dealt)
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, text: str = "text", as_text: bool = False) -> DataFrame:

@@ -41,7 +41,7 @@ def varied(seed):
     return texts
 
 
-@pytest.mark.parametrize("window,gram,few", [(20, 7, 500), (31, 30, 500), (40, 8, 2), (12, 12, 0)])
+@pytest.mark.parametrize("window,gram,few", [(20, 7, 500), (31, 30, 500), (40, 8, 2), (12, 12, 1)])
 def test_equal_brute_force(spark, monkeypatch, window, gram, few):
     monkeypatch.setattr(suffix_dedup, "FEW", few)
     check(spark, varied(window), window, gram)
