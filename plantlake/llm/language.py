@@ -22,6 +22,10 @@ from plantlake.llm.shared import byte_column, chunks, on_executors
 ORDER = 3
 #: Documents per language that are learned from, whole, at most; the lowest hashes of ids are taken.
 SAMPLE_DOCS = 400
+#: Languages looked at, at most, by name.
+MAX_SEEN = 10_000
+#: Hashes of ids are taken in 2**(64 - RANK_SHIFT) steps.
+RANK_SHIFT = 48
 #: Languages learned, at most: the most frequent in the sample. Bounds the model that is sent out.
 MAX_LANGUAGES = 200
 #: Counted strings of ORDER + 1 bytes kept, at most: the most frequent.
@@ -145,14 +149,23 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def train(docs: DataFrame, usable: Column, limit: int = SAMPLE_DOCS) -> dict:
     """Counts learned from at most ``limit`` whole documents of each language.
 
-    Takes rows with a language and text that meet ``usable``. Only ids and languages are ordered to
-    choose the sample, and each task keeps ``limit`` ids per language before anything moves.
+    Takes rows with a language and text that meet ``usable``; the sample is chosen from ids and
+    languages alone, without their texts.
     """
+    rank = F.xxhash64("doc_id")
     ids = docs.where(F.col("lang").isNotNull() & usable).select(
-        "doc_id", "lang", F.xxhash64("doc_id").alias("_rank")
+        "doc_id", "lang", rank.alias("_rank"), F.shiftrightunsigned(rank, RANK_SHIFT).alias("_step")
     )
-    first = Window.partitionBy("lang").orderBy("_rank", "doc_id")
-    chosen = ids.withColumn("_n", F.row_number().over(first)).where(F.col("_n") <= limit)
+    # Ids are counted per language and step of the hash, and only the steps that hold the first
+    # ``limit`` of a language are put in order: a language with most of all rows meets in no task.
+    steps = ids.groupBy("lang", "_step").agg(F.count("*").alias("n"))
+    before = F.sum("n").over(Window.partitionBy("lang").orderBy("_step")) - F.col("n")
+    ends = steps.withColumn("before", before).where(F.col("before") < limit).groupBy("lang").agg(F.max("_step").alias("_end"))
+    ends = ends.orderBy("lang").limit(MAX_SEEN)
+    # At most MAX_SEEN languages.
+    near = ids.join(F.broadcast(ends), "lang").where(F.col("_step") <= F.col("_end"))
+    first = Window.partitionBy("lang").orderBy("_step", "_rank", "doc_id")
+    chosen = near.withColumn("_n", F.row_number().over(first)).where(F.col("_n") <= limit)
     chosen = chosen.orderBy("_n", "lang").limit(limit * MAX_LANGUAGES).select("doc_id", "lang").distinct()
     # At most limit * MAX_LANGUAGES pairs of id and language.
     sample = docs.select("doc_id", "lang", "text").join(F.broadcast(chosen), ["doc_id", "lang"])
@@ -169,7 +182,7 @@ def train(docs: DataFrame, usable: Column, limit: int = SAMPLE_DOCS) -> dict:
     }
 
 
-def _identify(batches: Iterator[pa.RecordBatch], sent) -> Iterator[pa.RecordBatch]:
+def _identify(batches: Iterator[pa.RecordBatch], sent, keep_text: bool) -> Iterator[pa.RecordBatch]:
     model = sent.value
     if model["key"] not in _models:
         _models.clear()
@@ -184,11 +197,17 @@ def _identify(batches: Iterator[pa.RecordBatch], sent) -> Iterator[pa.RecordBatc
             best[a:b] = bits.argmin(1)
             scores[a:b] = 1 / np.exp2(bits.min(1, keepdims=True) - bits).sum(1)
         names = pa.array(coder.languages).take(pa.array(best))
-        yield pa.RecordBatch.from_arrays([*rows.columns[:-1], names, pa.array(scores)], rows.schema.names[:-1] + ["_lang", "_score"])
+        kept = rows.num_columns if keep_text else rows.num_columns - 1
+        yield pa.RecordBatch.from_arrays(
+            [*rows.columns[:kept], names, pa.array(scores)], [*rows.schema.names[:kept], "_lang", "_score"]
+        )
 
 
-def identify(docs: DataFrame, model: dict, text: str = "text", out: str = "lang_pred", score: str = "score") -> DataFrame:
-    """``docs`` with the predicted language and its posterior (equal priors), in place of the text.
+def identify(
+    docs: DataFrame, model: dict, text: str = "text", out: str = "lang_pred", score: str = "score", keep_text: bool = False
+) -> DataFrame:
+    """``docs`` with the predicted language and its posterior (equal priors), in place of the text unless
+    ``keep_text`` is set.
 
     One row for each row, in one narrow pass. Null text, text without a letter and any text under a
     model without languages give ``und`` with score 0; of equal code lengths the first language by
@@ -201,11 +220,14 @@ def identify(docs: DataFrame, model: dict, text: str = "text", out: str = "lang_
         *[docs[c].alias(f"c{i}") for i, c in enumerate(keep)], lettered.alias("_lettered"), docs[text].alias("_text")
     )
     named = [F.col(f"c{i}").alias(c) for i, c in enumerate(keep)]
+    if keep_text:
+        named.append(F.col("_text").alias(text))
     if not model["languages"]:
         return inner.select(*named, F.lit(UNKNOWN).alias(out), F.lit(0.0).alias(score))
     fields = "".join(f"c{i} {inner.schema[i].dataType.simpleString()}, " for i in range(len(keep)))
     sent = docs.sparkSession.sparkContext.broadcast(model)
-    made = inner.mapInArrow(on_executors(_identify, sent), f"{fields}_lettered boolean, _lang string, _score double")
+    fields += "_lettered boolean, " + ("_text string, " if keep_text else "")
+    made = inner.mapInArrow(on_executors(_identify, sent, keep_text), f"{fields}_lang string, _score double")
     known = F.col("_lettered")
     return made.select(
         *named,
