@@ -16,6 +16,9 @@ from pyspark.sql import functions as F
 
 from plantlake.llm.shared import store
 
+#: One-row-per-source tables of up to so many rows are sent to every task; longer ones are joined by
+#: a shuffle, in which adaptive execution splits a hot source.
+SENT_SOURCES = 100_000
 #: The rank order of a source is cut into so many steps, of which one is looked at row by row.
 STEPS = 1 << 16
 WORD = r"[^\x20\x09-\x0D]+"
@@ -88,15 +91,16 @@ def cuts(sized: DataFrame, rule: MixRule) -> DataFrame:
     ``sized`` has id, source, size and u. Sizes are summed per source and step, so that a source with
     most of all rows meets in no task; rows are put in order only in the one step the target falls in.
     """
-    totals = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
+    totals = store(sized.groupBy("source").agg(F.sum("size").alias("source_size")), "sources")
     targets = source_targets(totals, rule)
+    sent = totals.count() <= SENT_SOURCES
     copies = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     whole = F.floor(copies)
     targets = targets.select(
         "source", "source_size", "target", whole.alias("whole"), (copies - whole).alias("part"),
         (F.col("target") - whole * F.col("source_size")).alias("rest"),
     )
-    ranked = with_rank(join_source(sized, targets)).where(F.col("part") > 0)
+    ranked = with_rank(join_source(sized, targets, sent)).where(F.col("part") > 0)
     steps = ranked.groupBy("source", "step", "rest").agg(F.sum("size").alias("words"))
     reached = F.sum("words").over(
         Window.partitionBy("source").orderBy("step").rowsBetween(Window.unboundedPreceding, 0)
@@ -104,17 +108,19 @@ def cuts(sized: DataFrame, rule: MixRule) -> DataFrame:
     beyond = steps.withColumn("reached", reached).where(F.col("reached") > F.col("rest"))
     edge = beyond.groupBy("source").agg(F.min(F.struct("step", (F.col("reached") - F.col("words")).alias("before"))).alias("e"))
     edge = edge.select("source", F.col("e.step").alias("edge"), F.col("e.before").alias("before"))
-    inside = join_source(ranked, edge).where(F.col("step") == F.col("edge"))
+    inside = join_source(ranked, edge, sent).where(F.col("step") == F.col("edge"))
     order = Window.partitionBy("source").orderBy("rank", "id", "size").rowsBetween(Window.unboundedPreceding, 0)
     middle = F.col("before") + F.sum("size").over(order) - F.col("size") / 2
     taken = inside.withColumn("middle", middle).where(F.col("middle") <= F.col("rest"))
     last = taken.groupBy("source").agg(F.max(F.struct("rank", "id", "size")).alias("last"))
-    return join_source(join_source(targets, edge.drop("before"), "left"), last, "left")
+    found = join_source(join_source(targets, edge.drop("before"), sent, "left"), last, sent, "left")
+    return store(found, "cuts")
 
 
-def join_source(left: DataFrame, right: DataFrame, how: str = "inner") -> DataFrame:
+def join_source(left: DataFrame, right: DataFrame, sent: bool, how: str = "inner") -> DataFrame:
     """Join one-row-per-source columns; a null source is a source."""
     right = right.withColumnRenamed("source", "_source")
+    right = F.broadcast(right) if sent else right
     return left.join(right, left["source"].eqNullSafe(right["_source"]), how).drop("_source")
 
 
@@ -142,7 +148,8 @@ def mix_counts(docs: DataFrame, rule: MixRule = MixRule(), **names: str) -> Data
     size are taken or left alike. The same rows give the same result on every run.
     """
     sized = store(size_rows(docs, **names), "mix")
-    ranked = with_rank(join_source(sized, cuts(sized, rule)))
+    found = cuts(sized, rule)
+    ranked = with_rank(join_source(sized, found, found.count() <= SENT_SOURCES))
     return ranked.select("id", "source", "size", "source_size", "target", copies().alias("copies"))
 
 
@@ -153,7 +160,8 @@ def mix(docs: DataFrame, rule: MixRule = MixRule(), **names: str) -> DataFrame:
     """
     sized = store(size_rows(docs, **names), "mix")
     own = [docs[c].alias(f"c{i}") for i, c in enumerate(docs.columns)]
-    ranked = with_rank(join_source(size_rows(docs, *own, **names), cuts(sized, rule)))
+    found = cuts(sized, rule)
+    ranked = with_rank(join_source(size_rows(docs, *own, **names), found, found.count() <= SENT_SOURCES))
     repeated = ranked.withColumn("copies", copies()).where("copies > 0")
     repeated = repeated.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
     return repeated.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)])
