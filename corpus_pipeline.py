@@ -13,8 +13,7 @@ from plantlake.llm.shared import remainder, store
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a recognised language: those without a letter go, and a missing lang is filled."""
     model = language.train(docs, remainder("doc_id", 5) != 0)
-    kept = docs.withColumn("_text", F.col("text"))
-    found = language.identify(kept, model, text="_text", out="_lang", score="_score")
+    found = language.identify(docs, model, out="_lang", score="_score", keep_text=True)
     found = found.where(F.col("_lang") != language.UNKNOWN).withColumn("lang", F.coalesce("lang", "_lang"))
     return found.select(docs.columns)
 

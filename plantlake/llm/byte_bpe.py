@@ -28,7 +28,7 @@ WORDS = (
 )
 
 #: Words kept with their ids per worker; longer ones are encoded each time.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 200_000
 CACHE_CHARS = 64
 
 
