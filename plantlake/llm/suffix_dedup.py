@@ -35,8 +35,9 @@ from plantlake.llm.shared import byte_column, chunks, on_cogroup, on_executors,
 
 WINDOW = 200
 GRAM = 32
-#: Runs with one first digit that are sorted in one task, about, at most.
-FEW = 500
+#: Runs with one first digit that are sorted in one task, about, at most: some MB of bytes, under 100 MB of
+#: digits.
+FEW = 10_000
 #: Suffixes sorted together.
 SORTED = 1 << 18
 #: Suffixes of one document looked at together.
