@@ -3,8 +3,8 @@
 Each language has a tree of byte contexts up to three bytes long with the counts of what follows. A
 byte costs minus log2 of its share under escape method C: where it never followed the context, the
 escape is paid and the next shorter context decides; below the empty context all bytes cost the same.
-The language whose tree gives a text the shortest code is predicted. As the counts are frozen, the
-cost of each byte in each context is worked out once, for all languages side by side.
+The language whose tree gives a text the shortest code is predicted. As the counts are frozen, what
+each context and byte adds to the cost is worked out once, for the languages that have seen it.
 """
 
 from __future__ import annotations
@@ -17,19 +17,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from plantlake.llm.shared import byte_column, chunks, on_executors
+from plantlake.llm.shared import byte_column, chunks, on_executors, store
 
 ORDER = 3
 #: Documents per language that are learned from, whole, at most; the lowest hashes of ids are taken.
 SAMPLE_DOCS = 400
-#: Languages looked at, at most, by name.
-MAX_SEEN = 10_000
 #: Hashes of ids are taken in 2**(64 - RANK_SHIFT) steps.
 RANK_SHIFT = 48
-#: Languages learned, at most: the most frequent in the sample. Bounds the model that is sent out.
-MAX_LANGUAGES = 200
-#: Counted strings of ORDER + 1 bytes kept, at most: the most frequent.
-MAX_STRINGS = 400_000
+#: Costs (place in the text and language) held at once, about.
+CELLS = 1 << 22
 #: Occurrences from which a context of each length is held.
 LEAST = (0, 1, 2, 4)
 UNKNOWN = "und"
@@ -46,85 +42,110 @@ def padded(codes: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return text, offsets[:-1] + ORDER * np.arange(1, docs + 1)
 
 
+def pack(text: np.ndarray) -> np.ndarray:
+    """The ORDER + 1 bytes that end at each place, big-endian."""
+    packed = np.zeros(len(text), np.int64)
+    for back in range(ORDER + 1):
+        packed[back:] |= text[: len(text) - back].astype(np.int64) << (8 * back)
+    return packed
+
+
+class Rows:
+    """Sparse rows of numbers by language: sorted keys, and language and value of each entry."""
+
+    def __init__(self, keys: np.ndarray, of: np.ndarray, values: np.ndarray):
+        """Entries come sorted by key and language."""
+        first = np.ones(len(keys), bool)
+        first[1:] = keys[1:] != keys[:-1]
+        self.keys = keys[first]
+        self.bounds = np.append(np.flatnonzero(first), len(keys))
+        self.of, self.values = of, values
+
+    def entries(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For each entry in the rows of ``keys``: which of these it belongs to, and its place."""
+        place = np.searchsorted(self.keys, keys)
+        there = np.flatnonzero(place < len(self.keys))
+        there = there[self.keys[place[there]] == keys[there]]
+        first, last = self.bounds[place[there]], self.bounds[place[there] + 1]
+        many = last - first
+        at = np.arange(many.sum()) + np.repeat(first - (np.cumsum(many) - many), many)
+        return np.repeat(there, many), at
+
+    def add_to(self, out: np.ndarray, keys: np.ndarray) -> None:
+        row, at = self.entries(keys)
+        out[row, self.of[at]] += self.values[at]
+
+
 class Coder:
-    """Costs in bits of every byte in every held context, for all languages."""
+    """Costs in bits of every byte in every held context, for all languages.
+
+    Only what a language has seen is held: beside the costs below the empty context, what the escape from
+    a context adds per (context, language), and what a byte saves per (context, byte, language).
+    """
 
     def __init__(self, languages: list[str], of: np.ndarray, strings: np.ndarray, counts: np.ndarray):
         """``strings``: ORDER + 1 bytes each, packed big-endian, with language number and count."""
         self.languages, k = languages, len(languages)
-        shifts = np.arange(ORDER, -1, -1) * 8
-        codes = (strings[:, None] >> shifts & 255).astype(np.int64)
-        seen = np.unique(codes)
-        self.symbol = np.zeros(256, np.int64)
-        self.symbol[seen] = np.arange(1, len(seen) + 1)
-        self.width = width = len(seen) + 1
-        symbols = self.symbol[codes]
-        self.child, self.cost = [np.zeros(1, np.int64)], []
-        base = np.full((1, width, k), 8.0)
-        node = np.zeros(len(strings), np.int64)
-        contexts = np.zeros(1, np.int64)
-        suffix = np.zeros(1, np.int64)
+        self.escapes, self.savings = [], []
+        strings, of, counts = (np.asarray(x, np.int64) for x in (strings, of, counts))
+        held = None
         for order in range(ORDER + 1):
-            # node: which context of this length each string ends its prefix with; -1: not held.
-            held = np.flatnonzero(node >= 0)
-            table = np.zeros((len(contexts), width, k))
-            np.add.at(table, (node[held], symbols[held, ORDER], of[held]), counts[held])
-            totals, kinds = table.sum(1, keepdims=True), (table > 0).sum(1, keepdims=True)
-            with np.errstate(divide="ignore", invalid="ignore"):
-                whole = np.log2(totals + kinds)
-                escape = np.where(totals > 0, whole - np.log2(kinds), 0)
-                cost = np.where(table > 0, whole - np.log2(table), escape + base[suffix])
-            self.cost.append(cost.astype(np.float32).reshape(-1, k))
-            if order == ORDER:
-                break
-            # The next longer contexts: the string's last order + 1 bytes before the coded one.
-            keys = np.zeros(len(strings), np.int64)
-            for j in range(ORDER - order - 1, ORDER):
-                keys = keys * width + symbols[:, j]
-            found, inverse = np.unique(keys, return_inverse=True)
-            enough = np.bincount(inverse, counts, len(found)) >= LEAST[order + 1]
-            # A context is held only if the shorter one behind it is, as costs fall back on that.
-            shorter = np.full(len(found), -1)
-            shorter[inverse] = node
-            enough &= shorter >= 0
-            number = np.where(enough, np.cumsum(enough) - 1, -1)
-            contexts, suffix, base = found[enough], shorter[enough], cost
-            node = number[inverse]
-            self.child.append(contexts)
-        self.index = [self._index(order) for order in range(1, ORDER + 1)]
-
-    def _index(self, order: int) -> np.ndarray:
-        """Number of each context of a length by (context without its last byte, last byte)."""
-        contexts = self.child[order]
-        parents = np.zeros(1, np.int64) if order == 1 else self.child[order - 1]
-        place = np.searchsorted(parents, contexts // self.width)
-        there = (place < len(parents)) & (parents[np.minimum(place, len(parents) - 1)] == contexts // self.width)
-        table = np.full((len(parents) + 1) * self.width, -1, np.int32)
-        table[place[there] * self.width + contexts[there] % self.width] = np.flatnonzero(there)
-        return table
+            # The strings' last order + 1 bytes by language, and their contexts.
+            if held is not None:
+                strings, of, counts = strings[held], of[held], counts[held]
+            key = (strings & ((1 << 8 * (order + 1)) - 1)) * k + of
+            found, inverse = np.unique(key, return_inverse=True)
+            n = np.bincount(inverse, counts, len(found))
+            coded, lang = found // k, found % k
+            pair, inverse = np.unique((coded >> 8) * k + lang, return_inverse=True)
+            totals, kinds = np.bincount(inverse, n, len(pair)), np.bincount(inverse, minlength=len(pair))
+            whole = np.log2(totals + kinds)
+            escape, cost = whole - np.log2(kinds), whole[inverse] - np.log2(n)
+            if order == 0:
+                # A language without any byte has no cost but the last.
+                self.base = np.full((256, k), 8.0)
+                self.base[:, pair] += escape
+                self.base[coded, lang] = cost
+            else:
+                # As the byte is known to a language in this context, it is in the shorter ones too.
+                shorter = self._seen(coded & ((1 << 8 * order) - 1), lang, order - 1)
+                self.escapes.append(Rows(pair // k, pair % k, escape))
+                self.savings.append(Rows(coded, lang, cost - shorter - escape[inverse]))
+            self.last_cost = (found, cost)
+            if order < ORDER:
+                # The next longer contexts, of strings whose shorter one is held, if seen often enough.
+                context = strings >> 8 & ((1 << 8 * (order + 1)) - 1)
+                _, inverse = np.unique(context, return_inverse=True)
+                held = np.bincount(inverse, counts)[inverse] >= LEAST[order + 1] if len(inverse) else np.zeros(0, bool)
+        del self.last_cost
+
+    def _seen(self, coded: np.ndarray, lang: np.ndarray, order: int) -> np.ndarray:
+        """Costs of strings one byte longer than a context of ``order`` bytes, as found just before."""
+        found, cost = self.last_cost
+        return cost[np.searchsorted(found, coded * len(self.languages) + lang)]
+
+    def costs(self, strings: np.ndarray) -> np.ndarray:
+        """Cost of the last byte of each string of ORDER + 1 bytes under each language."""
+        out = self.base[strings & 255]
+        for order in range(1, ORDER + 1):
+            self.escapes[order - 1].add_to(out, strings >> 8 & ((1 << 8 * order) - 1))
+            self.savings[order - 1].add_to(out, strings & ((1 << 8 * (order + 1)) - 1))
+        return out
 
     def lengths(self, codes: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Code length in bits of each document under each language."""
-        out = np.zeros((len(offsets) - 1, len(self.languages)))
-        full = np.flatnonzero(np.diff(offsets) > 0)
-        if not len(full):
-            return out
+        k = len(self.languages)
+        out = np.zeros((len(offsets) - 1, k))
         text, starts = padded(codes, offsets)
-        symbols = self.symbol[text]
-        held = np.full(len(text), -1, np.int64)
-        costs = self.cost[0][symbols]
-        before = np.zeros(len(text), np.int64)
-        for order in range(1, ORDER + 1):
-            # Numbers of the contexts of this length that end at each byte.
-            parent = np.where(before < 0, len(self.index[order - 1]) // self.width - 1, before)
-            at = self.index[order - 1][parent * self.width + symbols]
-            held = np.full(len(text), -1, np.int64)
-            held[1:] = at[:-1]
-            use = np.flatnonzero(held >= 0)
-            costs[use] = self.cost[order][held[use] * self.width + symbols[use]]
-            before = held
-        sums = np.add.reduceat(np.vstack([costs, np.zeros((1, costs.shape[1]), np.float32)]), np.ravel(np.column_stack([starts, starts + np.diff(offsets)]))[: 2 * len(starts)], axis=0, dtype=np.float64)[::2]
-        out[full] = sums[full]
+        strings = pack(text)[np.arange(len(codes)) + ORDER * np.repeat(np.arange(1, len(offsets)), np.diff(offsets))]
+        # Costs of as many places at once as fit, of each string once.
+        step = max(1, CELLS // max(k, 1))
+        for s in range(0, len(strings), step):
+            part = pa.array(strings[s : s + step]).dictionary_encode()
+            costs = self.costs(part.dictionary.to_numpy())[part.indices.to_numpy()]
+            inside = np.clip(offsets - s, 0, len(costs))
+            full = np.flatnonzero(np.diff(inside) > 0)
+            out[full] += np.add.reduceat(costs, inside[full], axis=0)
         return out
 
 
@@ -135,9 +156,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for first, last in chunks(offsets):
             part = offsets[first : last + 1]
             text, starts = padded(codes[part[0] : part[-1]], part - part[0])
-            packed = np.zeros(len(text), np.int64)
-            for back in range(ORDER + 1):
-                packed[back:] |= text[: len(text) - back].astype(np.int64) << (8 * back)
+            packed = pack(text)
             for lang in sorted(set(names[first:last])):
                 own = [packed[s : s + n] for s, n, x in zip(starts, np.diff(part), names[first:last], strict=True) if x == lang]
                 found, counts = np.unique(np.concatenate(own), return_counts=True)
@@ -161,24 +180,23 @@ def train(docs: DataFrame, usable: Column, limit: int = SAMPLE_DOCS) -> dict:
     steps = ids.groupBy("lang", "_step").agg(F.count("*").alias("n"))
     before = F.sum("n").over(Window.partitionBy("lang").orderBy("_step")) - F.col("n")
     ends = steps.withColumn("before", before).where(F.col("before") < limit).groupBy("lang").agg(F.max("_step").alias("_end"))
-    ends = ends.orderBy("lang").limit(MAX_SEEN)
-    # At most MAX_SEEN languages.
-    near = ids.join(F.broadcast(ends), "lang").where(F.col("_step") <= F.col("_end"))
+    # One row per language, stored so that Spark knows its size and sends it to all tasks unless it is large.
+    near = ids.join(store(ends, "languages"), "lang").where(F.col("_step") <= F.col("_end"))
     first = Window.partitionBy("lang").orderBy("_step", "_rank", "doc_id")
-    chosen = near.withColumn("_n", F.row_number().over(first)).where(F.col("_n") <= limit)
-    chosen = chosen.orderBy("_n", "lang").limit(limit * MAX_LANGUAGES).select("doc_id", "lang").distinct()
-    # At most limit * MAX_LANGUAGES pairs of id and language.
-    sample = docs.select("doc_id", "lang", "text").join(F.broadcast(chosen), ["doc_id", "lang"])
+    chosen = near.withColumn("_n", F.row_number().over(first)).where(F.col("_n") <= limit).select("doc_id", "lang").distinct()
+    # At most limit pairs of id and language for each language.
+    sample = docs.select("doc_id", "lang", "text").join(store(chosen, "sample"), ["doc_id", "lang"])
     counted = sample.select("lang", "text").mapInArrow(on_executors(_count), "lang string, string long, n long")
     totals = counted.groupBy("lang", "string").agg(F.sum("n").alias("n"))
-    found = totals.orderBy(F.desc("n"), "lang", "string").limit(MAX_STRINGS).toArrow()
-    names = found.column("lang").to_pylist()
-    languages = sorted(set(names))
+    found = totals.toArrow()
+    names = found.column("lang").combine_chunks().dictionary_encode()
+    known = names.dictionary.to_pylist()
+    languages = sorted(known)
     number = {x: i for i, x in enumerate(languages)}
     return {
         "key": uuid4().hex, "languages": languages,
-        "of": np.array([number[x] for x in names], np.int64),
-        "strings": found.column("string").to_numpy(), "counts": found.column("n").to_numpy(),
+        "of": np.array([number[x] for x in known], np.int32)[names.indices.to_numpy()],
+        "strings": found.column("string").to_numpy().astype(np.uint32), "counts": found.column("n").to_numpy(),
     }
 
 
@@ -212,7 +230,8 @@ def identify(
     One row for each row, in one narrow pass. Null text, text without a letter and any text under a
     model without languages give ``und`` with score 0; of equal code lengths the first language by
     name wins. Repeated rows get the same. Other columns stay, whatever their names; columns called
-    like the new ones are replaced. The model's size is bounded by MAX_STRINGS.
+    like the new ones are replaced. The model has all counted
+    strings of the sample, so its size follows from the sampled documents of all languages.
     """
     keep = [c for c in docs.columns if c not in (text, out, score)]
     lettered = F.coalesce(docs[text].rlike(r"\p{L}"), F.lit(False))

@@ -117,3 +117,27 @@ def test_language_odd_rows(spark):
     nothing = language.train(empty, F.lit(True))
     assert language.identify(docs, nothing).where("lang_pred != 'und'").count() == 0
     assert language.identify(empty, model).count() == 0
+
+
+def test_small_language_beside_a_large_one(spark):
+    rng = np.random.default_rng(5)
+    letters = np.array(list("ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789abcdefghijklmnopqrstuvwxyz"))
+    large = [(i, "".join(rng.choice(letters, 15_000)), "aa") for i in range(30)]
+    small = [(100, "жук щёл эхо", "zz")]
+    docs = documents(spark, large + small)
+    model = language.train(docs, F.lit(True))
+    assert model["languages"] == ["aa", "zz"]
+    # Every counted string is kept: three zero bytes stand before each text.
+    assert len(set(model["strings"][model["of"] == 1].tolist())) == len({("\0\0\0" + small[0][1]).encode()[i : i + 4] for i in range(len(small[0][1].encode()))})
+    assert len(model["strings"]) > 400_000
+    found = {r.doc_id: r.lang_pred for r in language.identify(documents(spark, small + [(200, "хэй щука", None)] + large[:2]), model).collect()}
+    assert found == {100: "zz", 200: "zz", 0: "aa", 1: "aa"}
+
+
+def test_stripes_give_the_same_lengths(monkeypatch):
+    strings = np.array([0x61, 0x6162, 0x616263, 0x61626364, 0x62636465], np.int64)
+    coder = language.Coder(["aa", "bb"], np.array([0, 0, 0, 1, 1]), strings, np.array([5, 4, 4, 6, 7]))
+    codes, offsets = byte_column(pa.array(["abcde", "", None, "x", "abcdabcdabcd"]))
+    whole = coder.lengths(codes, offsets)
+    monkeypatch.setattr(language, "CELLS", 6)
+    assert np.allclose(coder.lengths(codes, offsets), whole) and not whole[1:3].any()
