@@ -10,10 +10,10 @@ repeated strings. Suffixes are split by digits, coarse ones first, and a group o
    repeated as a whole: the inside of every copied passage ends here.
 3. What is left under a first digit that several different runs have (the ends of passages) is split
    suffix by suffix by the last digits, two hashes of 64 bits over the whole window. Runs with one first
-   digit are sorted together in a task. If there are more than FEW of them, as at the ends of a passage
-   that a large share of documents hold, they are dealt over several tasks. What repeats within one is
-   decided there; digits that are single in a task are counted over all, and those that are not single
-   go back to the tasks that have them.
+   digit are sorted together in a task. If they have more than FEW suffixes, as at the ends of a passage
+   that a large share of documents hold, they are dealt over several tasks, long runs in pieces. What
+   repeats within one is decided there; digits that are single in a task are dealt by their value and
+   counted, and those that are not single go back to the tasks that have them.
 
 Groups are counted with partial sums, so that a passage which most documents hold is never gathered.
 """
@@ -31,13 +31,15 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plantlake.llm.shared import byte_column, chunks, on_cogroup, on_executors, on_group, store, with_row
+from plantlake.llm.shared import CHUNK_BYTES, byte_column, chunks, on_cogroup, on_executors, on_group, store, with_row
 
 WINDOW = 200
 GRAM = 32
-#: Runs with one first digit that are sorted in one task, about, at most: some MB of bytes, under 100 MB of
-#: digits.
-FEW = 10_000
+#: Suffixes with one first digit that are sorted in one task, about, at most. A suffix takes about 75 bytes of
+#: digits and sort, so about 80 MB, beside the bytes of the pieces.
+FEW = 1 << 20
+#: A piece has at most this part of FEW, so that pieces dealt by hash come out even.
+PIECES = 16
 #: Suffixes sorted together.
 SORTED = 1 << 18
 #: Suffixes of one document looked at together.
@@ -153,23 +155,45 @@ def _scan(batches: Iterator[pa.RecordBatch], window: int, gram: int) -> Iterator
             )
 
 
-def _pieces(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
-    """The bytes that some runs cover, from (_row, packed, runs: key, at, n, alone, parts)."""
+def _pieces(batches: Iterator[pa.RecordBatch], window: int, most: int) -> Iterator[pa.RecordBatch]:
+    """The bytes that some runs cover, from (_row, packed, runs: key, at, n, alone, parts).
+
+    A run of more than ``most`` suffixes comes in several pieces, whose bytes overlap by window - 1.
+    """
     unpack = zstandard.ZstdDecompressor().decompress
     for rows in batches:
         lists = rows.column(2)
         flat, counts = lists.flatten(), lists.value_lengths().to_numpy()
-        at, n = (flat.field(k).to_numpy().tolist() for k in (1, 2))
-        pieces, i = [], 0
-        for packed, many in zip(rows.column(1), counts.tolist(), strict=True):
-            data = unpack(packed.as_py())
-            pieces += [data[a : a + m + window - 1] for a, m in zip(at[i : i + many], n[i : i + many], strict=True)]
-            i += many
         row = np.repeat(rows.column(0).to_numpy(), counts)
-        yield pa.RecordBatch.from_arrays(
-            [flat.field(0), pa.array(row), *(flat.field(k) for k in (1, 2, 3, 4)), pa.array(pieces, pa.binary())],
-            ["key", "_row", "at", "n", "alone", "parts", "piece"],
-        )
+        at, n = (flat.field(k).to_numpy().astype(np.int64) for k in (1, 2))
+        made = -(-n // most)
+        of = np.repeat(np.arange(len(n)), made)
+        skip = (np.arange(len(of)) - np.repeat(np.cumsum(made) - made, made)) * most
+        at, n = at[of] + skip, np.minimum(n[of] - skip, most)
+        ends = np.cumsum(np.append(0, made))[np.cumsum(np.append(0, counts))]
+        pieces, first, held = [], 0, 0
+
+        def out(last: int) -> pa.RecordBatch:
+            own = pa.array(of[first:last])
+            key, alone, parts = (flat.field(k).take(own) for k in (0, 3, 4))
+            return pa.RecordBatch.from_arrays(
+                [
+                    key, pa.array(row[of[first:last]]), pa.array(at[first:last].astype(np.int32)),
+                    pa.array(n[first:last].astype(np.int32)), alone, parts, pa.array(pieces, pa.binary()),
+                ],
+                ["key", "_row", "at", "n", "alone", "parts", "piece"],
+            )
+
+        for packed, begin, end in zip(rows.column(1), ends[:-1].tolist(), ends[1:].tolist(), strict=True):
+            data = unpack(packed.as_py())
+            for i in range(begin, end):
+                pieces.append(data[at[i] : at[i] + n[i] + window - 1])
+                held += len(pieces[-1])
+                if held >= CHUNK_BYTES:
+                    yield out(i + 1)
+                    pieces, first, held = [], i + 1, 0
+        if pieces:
+            yield out(len(of))
 
 
 def last_digits(pieces: list[bytes], n: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -227,27 +251,63 @@ def _sort_pieces(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.
         rest = table if rest is None else pa.concat_tables([rest, table])
         if not rest.num_rows or pc.sum(rest.column("n")).as_py() < SORTED:
             continue
-        key = rest.column("key").to_numpy()
         # The last key may go on in the next batch.
-        cut = int(np.searchsorted(key, key[-1]))
-        if cut:
-            yield work(rest.slice(0, cut))
-            rest = rest.slice(cut)
+        *whole, last = by_keys(rest)
+        for first, end in whole:
+            yield work(rest.slice(first, end - first))
+        rest = rest.slice(last[0])
     if rest is not None and rest.num_rows:
-        yield work(rest)
+        for first, end in by_keys(rest):
+            yield work(rest.slice(first, end - first))
+
+
+def by_keys(table: pa.Table) -> list[tuple[int, int]]:
+    """Ranges of rows with about SORTED suffixes, whole keys each; the last range has the last key only."""
+    key = table.column("key").to_numpy()
+    starts = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+    before = np.append(0, np.cumsum(table.column("n").to_numpy().astype(np.int64)))[starts]
+    out = [(int(starts[a]), int(starts[b])) for a, b in chunks(before, SORTED)] if len(starts) > 1 else []
+    return [*out, (int(starts[-1]), table.num_rows)]
+
+
+DIGITS = np.dtype([("one", "<u8"), ("two", "<u8"), ("twice", "u1")])
 
 
 def _single_digits(table: pa.Table, window: int) -> pa.Table:
-    """Each last digit of some runs once, with its number there, two at most."""
+    """Each last digit of some runs once and whether it repeats there, packed by the bucket that counts it."""
     piece, _, one, two = _digits(table, window)
     # A run that stands for several equal ones counts for more than one.
     weight = np.where(table.column("alone").to_numpy(), 1, 2)[piece]
     group = groups_of(one, two)
-    count = np.minimum(np.bincount(group, weight), 2).astype(np.int32)
-    first = np.zeros(len(count), np.int64)
+    twice = np.bincount(group, weight) > 1
+    first = np.zeros(len(twice), np.int64)
     first[group] = np.arange(len(group))
-    ends = {k: pa.array(np.full(len(count), table.column(k)[0].as_py())) for k in ("key", "part")}
-    return pa.table(ends | {"one": one[first].view(np.int64), "two": two[first].view(np.int64), "n": count})
+    found = np.empty(len(twice), DIGITS)
+    found["one"], found["two"], found["twice"] = one[first], two[first], twice
+    bucket = (found["one"] % np.uint64(table.column("parts")[0].as_py())).astype(np.int64)
+    order = np.argsort(bucket, kind="stable")
+    found, bucket = found[order], bucket[order]
+    ends = np.append(np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])), len(bucket))
+    same = {k: pa.array(np.full(len(ends) - 1, table.column(k)[0].as_py(), np.int64)) for k in ("key", "part")}
+    packed = [found[a:b].tobytes() for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
+    return pa.table(same | {"bucket": bucket[ends[:-1]], "digits": pa.array(packed, pa.binary())})
+
+
+def _repeated_digits(table: pa.Table) -> pa.Table:
+    """Of the digits of a bucket those that are single in a part and not over all, by part."""
+    lists = [np.frombuffer(x, DIGITS) for x in table.column("digits").to_pylist()]
+    found, owner = np.concatenate(lists), np.repeat(np.arange(len(lists)), [len(x) for x in lists])
+    group = groups_of(found["one"], found["two"])
+    back = (np.bincount(group, 1 + found["twice"])[group] > 1) & (found["twice"] == 0)
+    packed = [found[(back[a:b]).nonzero()[0] + a].tobytes() for a, b in _spans(owner, len(lists))]
+    return pa.table(
+        {"key": table.column("key"), "part": table.column("part"), "digits": pa.array(packed, pa.binary())}
+    ).filter(pa.array([len(x) > 0 for x in packed], pa.bool_()))
+
+
+def _spans(owner: np.ndarray, n: int) -> list[tuple[int, int]]:
+    ends = np.searchsorted(owner, np.arange(n + 1)).tolist()
+    return list(zip(ends[:-1], ends[1:], strict=True))
 
 
 def _part_ranges(table: pa.Table, known: pa.Table, window: int) -> pa.Table:
@@ -256,9 +316,9 @@ def _part_ranges(table: pa.Table, known: pa.Table, window: int) -> pa.Table:
         return pa.table({"_row": pa.array([], pa.int64()), "low": pa.array([], pa.int32()), "high": pa.array([], pa.int32())})
     piece, place, one, two = _digits(table, window)
     weight = np.where(table.column("alone").to_numpy(), 1, 2)[piece]
-    more = [known.column(k).to_numpy().view(np.uint64) for k in ("one", "two")]
-    group = groups_of(np.append(one, more[0]), np.append(two, more[1]))
-    count = np.bincount(group, np.append(weight, np.full(len(more[0]), 2)))
+    more = np.frombuffer(b"".join(known.column("digits").to_pylist()), DIGITS)
+    group = groups_of(np.append(one, more["one"]), np.append(two, more["two"]))
+    count = np.bincount(group, np.append(weight, np.full(len(more), 2)))
     return pa.table(ranges(table, piece, place, count[group[: len(piece)]] > 1))
 
 
@@ -305,24 +365,24 @@ def repeated_windows(scanned: DataFrame, window: int) -> DataFrame:
         "_row", F.col("at").alias("low"), (F.col("at") + F.col("n") - 1).alias("high")
     )
     # Last digits: one run of each kind under the keys that have several.
-    keys = spans.groupBy("key").agg(F.count("*").alias("kinds"), F.max("twice").alias("again"))
-    parts = F.ceil(F.col("kinds") / max(1, FEW)).cast("int").alias("parts")
+    keys = spans.groupBy("key").agg(
+        F.count("*").alias("kinds"), F.sum(F.col("first.n").cast("long")).alias("suffixes"), F.max("twice").alias("again")
+    )
+    parts = F.ceil(F.col("suffixes") / max(1, FEW)).cast("int").alias("parts")
     keys = keys.where((F.col("kinds") > 1) | F.col("again")).select("key", parts)
     run = F.struct("key", "first.at", "first.n", (F.col("times") == 1).alias("alone"), "parts").alias("run")
     lists = spans.join(keys, "key").select("first._row", run).groupBy("_row").agg(F.collect_list("run").alias("runs"))
     texts = scanned.select("_row", "packed").join(lists.hint("shuffle_hash"), "_row")
     piece_type = "key long, _row long, at int, n int, alone boolean, parts int, piece binary"
-    pieces = store(texts.mapInArrow(on_executors(_pieces, window), piece_type), "pieces")
+    pieces = store(texts.mapInArrow(on_executors(_pieces, window, max(1, FEW // PIECES)), piece_type), "pieces")
     range_type = "_row long, low int, high int"
     few = pieces.where("parts = 1").repartition("key").sortWithinPartitions("key")
     sorted_ranges = few.mapInArrow(on_executors(_sort_pieces, window), range_type)
     many = pieces.where("parts > 1").withColumn("part", F.pmod(F.xxhash64("_row", "at"), F.col("parts")))
     digits = many.groupBy("key", "part").applyInArrow(
-        on_group(_single_digits, window), "key long, part long, one long, two long, n int"
+        on_group(_single_digits, window), "key long, part long, bucket long, digits binary"
     )
-    digits = store(digits, "digits")
-    equal = digits.groupBy("one", "two").agg(F.sum("n").alias("n")).where("n > 1").select("one", "two")
-    back = digits.where("n = 1").join(equal, ["one", "two"], "left_semi").select("key", "part", "one", "two")
+    back = digits.groupBy("key", "bucket").applyInArrow(on_group(_repeated_digits), "key long, part long, digits binary")
     dealt = many.groupBy("key", "part").cogroup(back.groupBy("key", "part")).applyInArrow(
         on_cogroup(_part_ranges, window), range_type
     )

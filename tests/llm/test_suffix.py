@@ -78,3 +78,25 @@ def test_cut_characters_are_dropped(spark):
     docs = documents(spark, [(1, "ã" + tail), (2, "x" + tail)])
     rows = suffix_dedup.remove_repeats(docs, 20, 8, as_text=True).orderBy("doc_id").collect()
     assert [r.kept for r in rows] == ["ã", "x"]
+
+
+def test_keys_are_dealt_by_suffixes(spark, monkeypatch):
+    # Few runs, but long: blanks between ends that differ, and one longer than a task takes.
+    texts = [prose(i, 6) + " " * (150 + i) + prose(100 + i, 6) for i in range(12)] + [" " * 900 + "x", "ab" * 400 + "c", "y" + "ab" * 30]
+    stored, store = {}, suffix_dedup.store
+    monkeypatch.setattr(suffix_dedup, "store", lambda df, label: stored.setdefault(label, store(df, label)))
+    monkeypatch.setattr(suffix_dedup, "FEW", 320)
+    check(spark, texts, 20, 7)
+    pieces = stored["pieces"].groupBy("key").agg({"n": "sum", "parts": "max"}).collect()
+    assert max(r["sum(n)"] for r in pieces) > 2000
+    assert all(r["max(parts)"] == -(-r["sum(n)"] // 320) for r in pieces)
+    assert stored["pieces"].agg({"n": "max"}).first()[0] <= 320 // suffix_dedup.PIECES
+
+
+def test_sorted_ranges_hold_whole_keys(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(suffix_dedup, "SORTED", 10)
+    table = pa.table({"key": [1, 1, 2, 3, 3, 4, 5, 5], "n": [4, 4, 1, 30, 1, 5, 2, 2]})
+    assert suffix_dedup.by_keys(table) == [(0, 3), (3, 5), (5, 6), (6, 8)]
+    assert suffix_dedup.by_keys(table.slice(0, 2)) == [(0, 2)]
