@@ -48,8 +48,8 @@ def ingest(
 
     A missing target takes all rows. Otherwise, unless the source has nothing later than the target,
     rows after the target's latest time are upserted by key, overwriting what is there. Only the two
-    latest times reach the driver; the target's is kept with the table when it is written, so the
-    target is not read for it. Of several batch rows with one key the latest is taken.
+    latest times reach the driver; the target's is kept with the table when it is written, and read from
+    its rows only where it is missing. Of several batch rows with one key the latest is taken.
     """
     target = raw_table(lake, table, key_groups)
     source = as_raw(source, table)
@@ -61,7 +61,8 @@ def ingest(
         return "full", seen.get["rows_read"], written
     source_max = watermark_value(source, table)
     noted = target.noted(LATEST)
-    target_max = datetime.fromisoformat(noted) if noted else None
+    # A target filled by other means than this function, or by a run that was lost, has no note.
+    target_max = datetime.fromisoformat(noted) if noted else watermark_value(target.read(), table)
     if not has_new_data(source_max, target_max):
         return "skipped", 0, 0
     batch = extract(source, table, target_max, as_of, days_back).observe(seen, *facts)

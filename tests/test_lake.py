@@ -81,6 +81,17 @@ def test_ingest_modes_and_failures(spark, lake):
     assert stored == {"r0": "2024-01-01", "r1": "2024-01-05", "r2": "2024-01-06", "r3": None}
 
 
+def test_ingest_into_a_target_without_a_noted_time(spark, lake):
+    # Filled without ingest; what follows its latest time is older than the fallback.
+    raw_table(lake, TABLE).load(readings(spark, "2023-01-01", "2023-01-05"))
+    source = readings(spark, "2023-01-01", "2023-01-05", "2023-01-06", "2024-01-31")
+    out = ingest_all(lake, {TABLE: source}.__getitem__, datetime(2024, 2, 1), [TABLE]).first()
+    assert (out["mode"], out["rows_read"], out["rows_written"]) == ("incremental", 2, 2)
+    assert raw_table(lake, TABLE).read().count() == 4
+    again = ingest_all(lake, {TABLE: source}.__getitem__, datetime(2024, 2, 1), [TABLE]).first()
+    assert again["mode"] == "skipped"
+
+
 def test_audits(spark):
     two, one = spark.range(2), spark.range(1)
     assert [tuple(r) for r in row_counts({"b": two, "a": one}).collect()] == [("a", 1), ("b", 2)]
