@@ -164,14 +164,16 @@ def top_k(
     The score is the inner product of the vectors after floor(factor * x); ties go to the smaller id.
     Rows with a null id, and vectors that are null or hold null or non-finite numbers take no part, and
     only vectors of one length are compared; components beyond 2**23 saturate. Rows that share a
-    query's id are not its candidates; a repeated query counts once, with its least vector, and a
+    query's id are not its candidates; a repeated query counts once, with its least usable vector, and a
     repeated candidate each time. Fewer than ``k`` candidates are all returned.
 
     Queries go out in blocks of about BLOCK, each scored against all rows in a few narrow passes; only
     counts per query and the rows kept are shuffled. What the driver holds is bounded by the block.
     """
     rows = vectors.where(vectors[vec_id].isNotNull()).select(vectors[vec_id].cast("long").alias("vec_id"), vectors[vector].alias("vector"))
-    chosen = vectors.where(is_query & vectors[vec_id].isNotNull() & vectors[vector].isNotNull())
+    finite = F.forall(vectors[vector], lambda x: F.coalesce(F.abs(x.cast("double")) < F.lit(float("inf")), F.lit(False)))
+    # Before the least vector is taken, as nulls and minus infinity come first.
+    chosen = vectors.where(is_query & vectors[vec_id].isNotNull() & finite)
     chosen = chosen.select(vectors[vec_id].cast("long").alias("vec_id"), vectors[vector].alias("vector"))
     chosen = store(chosen.groupBy("vec_id").agg(F.min("vector").alias("vector")), "queries")
     blocks = -(-chosen.count() // BLOCK)

@@ -63,6 +63,14 @@ def test_top_k_repeats_and_empty(spark):
     assert topk.top_k(table(spark, [(1, [1.0], 1)]), F.col("vec_id") == 7).count() == 0
 
 
+def test_bad_row_of_a_query_does_not_hide_a_good_one(spark):
+    nan, inf = float("nan"), float("inf")
+    good = [(50, [2.0], 1), (100, [1.0], 1), (150, [1.0], 1), (1, [1.0], 1)]
+    bad = [(50, [None], 1), (50, None, 1), (100, [-inf], 1), (150, [nan], 1), (150, [inf], 1), (200, [-inf], 1)]
+    found = topk.top_k(table(spark, bad + good), F.col("vec_id") % 50 == 0, k=1).collect()
+    assert sorted(map(tuple, found)) == [(50, 1, 1, 131072), (100, 1, 50, 131072), (150, 1, 50, 131072)]
+
+
 def brute_links(rows, threshold):
     def linked(a, b):
         if a[0] is None or b[0] is None or a[2] is None or a[2] != b[2] or not good(a[1]) or not good(b[1]) or len(a[1]) != len(b[1]):
