@@ -1,7 +1,8 @@
-"""Remove byte strings that occur more than once, by a depth-limited radix sort of suffixes.
+"""Remove byte strings that occur more than once, by grouping suffixes by hashes.
 
-A suffix matters through its first ``window`` bytes only, and equal groups at that depth are exactly the
-repeated strings. Suffixes are split by digits, coarse ones first, and a group of one leaves at once:
+A suffix matters through its first ``window`` bytes only, and equal groups at that depth are the repeated
+strings. This takes the place of a radix sort by bytes: the digits are hashes, so suffixes are not ordered by
+their bytes and equality is never checked on these. Coarse digits come first, and a group of one leaves at once:
 
 1. The most significant digit of a suffix is the least hash of any ``gram`` bytes inside its window.
    Equal windows have equal digits, and neighbouring suffixes share theirs, so a run of suffixes with
