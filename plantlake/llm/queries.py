@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plantlake.llm import (
-    byte_bpe, chat_preference, embedding_dedup, language, mixing, quality, simhash, suffix_dedup, token_counts, topk,
+    byte_bpe, chat_preference, clusters, embedding_dedup, language, lexical, mixing, pii, quality, simhash, suffix_dedup,
+    token_counts, topk,
 )
 from plantlake.llm.shared import remainder
+from plantlake.llm.twins import NEW_SQL
 
 LIMIT_TOKENS = 2048
 GOOD = 0.7
@@ -91,11 +93,36 @@ def op10_forced_boundary_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_anchor_expansion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_spans(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+    def joined(spans):
+        return F.concat_ws(",", F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])))
+
+    def of_kind(*kinds):
+        return F.filter("spans", lambda s: s["kind"].isin(*kinds))
+
+    counts = [F.size(of_kind(kind)).cast("long").alias(f"n_{kind}") for kind in pii.BASE_KINDS]
+    base = of_kind(*pii.BASE_KINDS)
+    return found.select("doc_id", *counts, F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
+
+
+def op12_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found, centroids = clusters.cluster(table(spark, sf_dir, "embeddings"), k=16, rounds=3, dims=64, scale=64.0, seed="1")
+    digests = F.array(*[F.lit(clusters.fingerprint(c)) for c in centroids]) if centroids else F.array(F.lit(""))
+    return found.withColumn("centroid_sha256", digests[F.col("cluster")])
+
+
+def op13_document_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.rank(table(spark, sf_dir, "benchmark"), table(spark, sf_dir, "documents"), k=10)
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_preference_format, op2_subword_quality, op3_gray_simhash, op4_ppm_language, op5_ranked_token_counts,
         op6_pareto_mix, op7_histogram_top_k, op8_int8_near_vectors, op9_suffix_repeats, op10_forced_boundary_bpe,
+        op11_anchor_expansion, op12_centroid_clusters, op13_document_scan,
     )
 }
 
@@ -186,4 +213,4 @@ FROM embeddings e JOIN component c ON c.start = e.vec_id LEFT JOIN degree d ON d
 
 LLM_SQL = {
     "op1_preference_format": OP1_SQL, "op6_pareto_mix": OP6_SQL, "op7_histogram_top_k": OP7_SQL, "op8_int8_near_vectors": OP8_SQL,
-}
+} | NEW_SQL
