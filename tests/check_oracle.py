@@ -16,7 +16,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
 import __spark_entry__ as entry  # noqa: E402
 
-TABLES = ("supplier", "orders", "lineitem", "events", "documents", "embeddings", "labels", "conversations")
+TABLES = ("supplier", "orders", "lineitem", "events", "documents", "embeddings", "benchmark", "labels", "conversations")
 
 
 def connect(sf_dir: str):
