@@ -68,10 +68,6 @@ def fingerprint(centroid: list[int]) -> str:
     return hashlib.sha256(",".join(map(str, centroid)).encode()).hexdigest()
 
 
-def _sum_as_long(distances: Column) -> Column:
-    return F.least(F.sum(distances.cast("decimal(38,0)")), F.lit(LARGEST).cast("decimal(38,0)")).cast("long")
-
-
 def cluster(
     vectors: DataFrame, k: int = 16, rounds: int = 3, dims: int = 64, scale: float = 64.0, seed: str = "1",
     vec_id: str = "vec_id", vector: str = "embedding",
@@ -100,8 +96,12 @@ def cluster(
         centroids = moved(kept, centroids, wide=rows * (largest + 1) > LARGEST)
     assigned = kept.select("vec_id", nearest("v", centroids).alias("_n"))
     assigned = store(assigned.select("vec_id", "_n.cluster", "_n.distance"), "assigned")
-    # One row per cluster: at most k.
-    totals = assigned.groupBy("cluster").agg(_sum_as_long(F.col("distance")).alias("cluster_inertia"))
-    whole = assigned.agg(_sum_as_long(F.col("distance")).alias("inertia"))
-    joined = assigned.join(F.broadcast(totals), "cluster").crossJoin(F.broadcast(whole))
-    return joined.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia"), centroids
+    # One row per cluster: at most k come to the driver and go out as literals.
+    sums = assigned.groupBy("cluster").agg(F.sum(F.col("distance").cast("decimal(38,0)")).alias("n")).collect()
+    by_cluster = {row["cluster"]: int(row["n"]) for row in sums}
+    own = ", ".join(f"{min(by_cluster.get(i, 0), LARGEST)}L" for i in range(len(centroids)))
+    assigned = assigned.withColumns({
+        "cluster_inertia": F.expr(f"array({own})[cluster]"),
+        "inertia": F.lit(min(sum(by_cluster.values()), LARGEST)).cast("long"),
+    })
+    return assigned.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia"), centroids
