@@ -24,8 +24,11 @@ BINS = 256
 #: Vectors scored at once inside a task.
 STRIPE = 2048
 QUERY_STRIPE = 512
-#: Components saturate here, so that all products and sums are exact in doubles.
-LARGEST = 1 << 23
+#: Sums of products up to here are exact in doubles.
+EXACT = float(1 << 53)
+#: Scores beyond a long stand as these; below both is what a query's own row gets.
+HIGHEST, LOWEST = (1 << 63) - 1, 1 - (1 << 63)
+NONE = -(1 << 63)
 
 RESULT = "query_id long, vec_id long, score long"
 
@@ -39,7 +42,48 @@ def scaled(vectors: pa.Array, factor: float) -> dict[int, tuple[np.ndarray, np.n
         flat = vectors.take(pa.array(rows)).flatten().cast(pa.float64())
         values = flat.to_numpy(zero_copy_only=False).reshape(len(rows), n)
         good = np.isfinite(values).all(1)
-        out[int(n)] = rows[good], np.clip(np.floor(factor * values[good]), -LARGEST, LARGEST)
+        with np.errstate(over="ignore"):
+            # What no double can hold is far beyond a long.
+            out[int(n)] = rows[good], np.clip(np.floor(factor * values[good]), -1e300, 1e300)
+    return out
+
+
+def as_longs(values: np.ndarray) -> np.ndarray:
+    """Whole numbers modulo 2**64."""
+    large = np.abs(values) >= 2.0**63
+    out = np.where(large, 0, values).astype(np.int64)
+    if large.any():
+        wrapped = [int(x) & 0xFFFFFFFFFFFFFFFF for x in values[large]]
+        out[large] = np.array(wrapped, np.uint64).view(np.int64)
+    return out
+
+
+def products(queries: np.ndarray, candidates: np.ndarray) -> np.ndarray:
+    """Inner products of whole numbers as longs, exact wherever they fit.
+
+    Doubles hold them where the numbers are small. Elsewhere long arithmetic gives them modulo 2**64, and
+    doubles tell which are beyond a long; where they cannot tell, Python's whole numbers do.
+    """
+    most = np.abs(queries).max(initial=0.0)
+    # A vector of zeros only is small whatever it meets.
+    with np.errstate(over="ignore"):
+        small = np.abs(candidates).max(1, initial=0.0) * most * max(queries.shape[1], 1) < EXACT
+    out = np.empty((len(queries), len(candidates)), np.int64)
+    if small.any():
+        out[:, small] = (queries @ candidates[small].T).astype(np.int64)
+    if not small.all():
+        large = candidates[~small]
+        exact = as_longs(queries) @ as_longs(large).T
+        with np.errstate(over="ignore", invalid="ignore"):
+            near = queries @ large.T
+            error = np.abs(queries) @ np.abs(large).T * ((queries.shape[1] + 2) * 2.0**-52)
+            beyond = np.abs(near) - error >= 2.0**63
+            unsure = ~(beyond | (np.abs(near) + error < 2.0**63))
+            exact[beyond] = np.where(near > 0, HIGHEST, LOWEST)[beyond]
+        for q, c in np.argwhere(unsure):
+            true = sum(int(x) * int(y) for x, y in zip(queries[q], large[c], strict=True))
+            exact[q, c] = min(max(true, LOWEST), HIGHEST)
+        out[:, ~small] = np.maximum(exact, LOWEST)
     return out
 
 
@@ -55,7 +99,7 @@ class Queries:
     def scores(self, batches: Iterator[pa.RecordBatch], factor: float):
         """(length, first query, candidate ids, scores: queries by candidates) of every stripe.
 
-        A query's own row scores minus infinity.
+        A query's own row scores NONE, below all others.
         """
         for rows in batches:
             ids = rows.column(0).to_numpy()
@@ -67,16 +111,17 @@ class Queries:
                     own, block = ids[at[a : a + STRIPE]], values[a : a + STRIPE]
                     for q in range(0, len(query_ids), QUERY_STRIPE):
                         some = query_ids[q : q + QUERY_STRIPE]
-                        found = query_values[q : q + QUERY_STRIPE] @ block.T
+                        found = products(query_values[q : q + QUERY_STRIPE], block)
                         place = np.minimum(np.searchsorted(some, own), len(some) - 1)
                         same = np.flatnonzero(some[place] == own)
-                        found[place[same], same] = -np.inf
+                        found[place[same], same] = NONE
                         yield n, q, own, found
 
 
 def _norms(batches: Iterator[pa.RecordBatch], factor: float) -> Iterator[pa.RecordBatch]:
     for rows in batches:
-        largest = [np.sqrt((v * v).sum(1).max()) for _, v in scaled(rows.column(1), factor).values() if len(v)]
+        with np.errstate(over="ignore"):
+            largest = [np.sqrt((v * v).sum(1).max()) for _, v in scaled(rows.column(1), factor).values() if len(v)]
         yield pa.RecordBatch.from_arrays([pa.array([max(largest, default=0.0)])], ["norm"])
 
 
@@ -86,10 +131,11 @@ def _histogram(batches: Iterator[pa.RecordBatch], sent, factor: float, k: int) -
     queries, state = sent.value
     counts = {n: np.zeros((len(ids), BINS), np.int64) for n, (ids, _) in queries.groups.items()}
     for n, q, _, found in queries.scores(batches, factor):
-        low, width, high = (x[q : q + len(found), None] for x in state[n])
-        step = np.floor((found - low) / width)
-        inside = (found >= low) & (found < high)
-        flat = (np.arange(len(found))[:, None] * BINS + np.where(inside, step, 0).astype(np.int64))[inside]
+        low, width, top = (x[q : q + len(found), None] for x in state[n])
+        inside = (found >= low) & (found <= top)
+        # Unsigned, as the whole range of longs is one step too wide for a long.
+        step = ((found.view(np.uint64) - low.view(np.uint64)) // width).astype(np.int64)
+        flat = (np.arange(len(found))[:, None] * BINS + step)[inside]
         counts[n][q : q + len(found)] += np.bincount(flat, minlength=len(found) * BINS).reshape(-1, BINS)
     for n, table in counts.items():
         above = np.cumsum(table[:, ::-1], 1)[:, ::-1] - table
@@ -106,10 +152,10 @@ def _select(batches: Iterator[pa.RecordBatch], sent, factor: float, k: int) -> I
         bar = kth[n][q : q + len(found), None]
         order = np.argsort(own, kind="stable")
         found, own = found[:, order], own[order]
-        tied = (found == bar) & np.isfinite(found)
+        tied = (found == bar) & (bar > NONE)
         query, at = np.nonzero((found > bar) | (tied & (np.cumsum(tied, 1) <= k)))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(queries.groups[n][0][q + query]), pa.array(own[at]), pa.array(found[query, at].astype(np.int64))],
+            [pa.array(queries.groups[n][0][q + query]), pa.array(own[at]), pa.array(found[query, at])],
             ["query_id", "vec_id", "score"],
         )
 
@@ -118,15 +164,17 @@ def _search_block(candidates: DataFrame, block: pa.Table, factor: float, k: int,
     context = candidates.sparkSession.sparkContext
     queries = Queries(block.column(0).to_numpy(), block.column(1).combine_chunks(), factor)
     place = {n: {int(x): i for i, x in enumerate(ids)} for n, (ids, _) in queries.groups.items()}
-    low, width, high, need, open_ = {}, {}, {}, {}, {}
+    low, width, top, need, open_ = {}, {}, {}, {}, {}
     for n, (ids, values) in queries.groups.items():
-        reach = np.floor(np.sqrt((values * values).sum(1)) * norm) + 1
-        low[n] = -reach
-        high[n] = reach + 1
-        width[n] = np.ceil((2 * reach + 1) / BINS)
+        with np.errstate(over="ignore", invalid="ignore"):
+            reach = np.nan_to_num(np.sqrt((values * values).sum(1)) * norm * (1 + 1e-9), nan=np.inf) + 1
+        reach = [HIGHEST if r >= 2.0**63 else int(r) for r in reach]
+        low[n] = np.array([-r for r in reach], np.int64)
+        top[n] = np.array(reach, np.int64)
+        width[n] = np.array([-(-(2 * r + 1) // BINS) for r in reach], np.uint64)
         need[n], open_[n] = np.full(len(ids), k), np.ones(len(ids), bool)
     while any(o.any() for o in open_.values()):
-        sent = context.broadcast((queries, {n: (low[n], width[n], high[n]) for n in low}))
+        sent = context.broadcast((queries, {n: (low[n], width[n], top[n]) for n in low}))
         counted = candidates.mapInArrow(on_executors(_histogram, sent, factor, k), "query_id long, step long, n long")
         steps = counted.groupBy("query_id", "step").agg(F.sum("n").alias("n"))
         # Per query: the highest step down to which k scores lie, and how many lie above it.
@@ -141,16 +189,17 @@ def _search_block(candidates: DataFrame, block: pa.Table, factor: float, k: int,
                 hit = rows[rows.reached >= need[n][i]] if rows is not None else None
                 if hit is None or hit.empty:
                     # Fewer than k candidates: all are results.
-                    low[n][i], high[n][i], open_[n][i] = -np.inf, -np.inf, False
+                    low[n][i], top[n][i], open_[n][i] = NONE, NONE, False
                     continue
                 best = hit.loc[hit.step.idxmax()]
                 need[n][i] -= int(best.reached - best.n)
-                low[n][i] += best.step * width[n][i]
-                high[n][i] = min(high[n][i], low[n][i] + width[n][i])
-                open_[n][i] = width[n][i] > 1
+                step, wide = int(best.step), int(width[n][i])
+                low[n][i] = int(low[n][i]) + step * wide
+                top[n][i] = min(int(top[n][i]), int(low[n][i]) + wide - 1)
+                open_[n][i] = wide > 1
                 if not open_[n][i]:
-                    high[n][i] = -np.inf  # known: nothing more is counted
-                width[n][i] = np.ceil(width[n][i] / BINS)
+                    top[n][i] = NONE  # known: nothing more is counted
+                width[n][i] = -(-wide // BINS)
     sent = context.broadcast((queries, low))
     return candidates.mapInArrow(on_executors(_select, sent, factor, k), RESULT)
 
@@ -163,7 +212,8 @@ def top_k(
 
     The score is the inner product of the vectors after floor(factor * x); ties go to the smaller id.
     Rows with a null id, and vectors that are null or hold null or non-finite numbers take no part, and
-    only vectors of one length are compared; components beyond 2**23 saturate. Rows that share a
+    only vectors of one length are compared. Scores are exact wherever they fit a long; beyond it they
+    stand as the largest or least one. Rows that share a
     query's id are not its candidates; a repeated query counts once, with its least usable vector, and a
     repeated candidate each time. Fewer than ``k`` candidates are all returned.
 

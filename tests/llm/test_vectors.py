@@ -37,7 +37,12 @@ def some(seed, n, dims=6, labels=3):
 
 
 def ints(v):
-    return np.clip(np.floor(256.0 * np.array(v, np.float32).astype(float)), -topk.LARGEST, topk.LARGEST)
+    return [int(x) for x in np.floor(256.0 * np.array(v, np.float32).astype(float))]
+
+
+def dot(a, b):
+    """In Python's whole numbers; what no long can hold stands as the nearest one."""
+    return min(max(sum(x * y for x, y in zip(a, b)), -(2**63) + 1), 2**63 - 1)
 
 
 @pytest.mark.parametrize("k,block", [(5, 8192), (3, 4), (1000, 8192)])
@@ -49,12 +54,36 @@ def test_top_k(spark, monkeypatch, k, block):
     wanted = []
     for q, a in usable:
         if q % 50 == 0:
-            scored = sorted((-int(a @ b), i) for i, b in usable if i != q and len(b) == len(a))
+            scored = sorted((-dot(a, b), i) for i, b in usable if i != q and len(b) == len(a))
             wanted += [(q, n + 1, i, -s) for n, (s, i) in enumerate(scored[:k])]
     assert sorted(map(tuple, found.collect())) == sorted(wanted)
     assert found.columns == ["query_id", "rank", "vec_id", "score"]
 
 
+@pytest.mark.parametrize("size", [1e4, 1e6, 3e8, 1e13, 1e30])
+def test_top_k_of_large_components(spark, size):
+    rng = np.random.default_rng(int(np.log10(size)))
+    scale = lambda: size ** rng.uniform(0, 1.05)
+    rows = [(i, (rng.normal(size=4) * scale()).astype(np.float32).tolist(), 1) for i in range(160)]
+    rows += [(200, [70000.5, 1.0], 1), (201, [70000.0, 2.0], 1), (202, [40000.0, 0.0], 1), (250, [size, -size], 1)]
+    found = topk.top_k(table(spark, rows), F.col("vec_id") % 50 == 0, k=7)
+    wanted = []
+    for q, v, _ in rows:
+        if q % 50 == 0:
+            scored = sorted((-dot(ints(v), ints(w)), i) for i, w, _ in rows if i != q and len(v) == len(w))
+            wanted += [(q, n + 1, i, -s) for n, (s, i) in enumerate(scored[:7])]
+    assert sorted(map(tuple, found.collect())) == sorted(wanted)
+
+
+def test_products_beside_the_bounds_of_a_long():
+    edge = 3037000500.0  # its square is just above 2**63
+    queries = np.array([[edge, 0.0, 1.0], [edge - 1, 2.0, 0.0], [-edge, 1.0, 1.0], [2.0**62, 2.0**62, -1.0], [0.0, 0.0, 0.0]])
+    others = np.vstack([queries, [[1.0, 1.0, 1.0], [2.0, 0.0, 1.0], [1e300, -1e300, 0.0], [2.0**64, 1.0, 5.0]]])
+    whole = lambda v: [int(x) for x in v]
+    wanted = [[dot(whole(a), whole(b)) for b in others] for a in queries]
+    assert topk.products(queries, others).tolist() == wanted
+
+
 def test_top_k_repeats_and_empty(spark):
     rows = [(50, [1.0], 1), (50, [2.0], 1), (1, [1.0], 1), (1, [1.0], 1)]
     found = topk.top_k(table(spark, rows), F.col("vec_id") % 50 == 0)
