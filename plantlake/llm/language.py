@@ -26,8 +26,6 @@ SAMPLE_DOCS = 400
 RANK_SHIFT = 48
 #: Costs (place in the text and language) held at once, about.
 CELLS = 1 << 22
-#: Occurrences from which a context of each length is held.
-LEAST = (0, 1, 2, 4)
 UNKNOWN = "und"
 
 _models: dict = {}
@@ -77,9 +75,9 @@ class Rows:
 
 
 class Coder:
-    """Costs in bits of every byte in every held context, for all languages.
+    """Costs in bits of every byte in every context, for all languages.
 
-    Only what a language has seen is held: beside the costs below the empty context, what the escape from
+    All contexts are held, each for the languages that have seen it and no other: beside the costs below the empty context, what the escape from
     a context adds per (context, language), and what a byte saves per (context, byte, language).
     """
 
@@ -88,11 +86,8 @@ class Coder:
         self.languages, k = languages, len(languages)
         self.escapes, self.savings = [], []
         strings, of, counts = (np.asarray(x, np.int64) for x in (strings, of, counts))
-        held = None
         for order in range(ORDER + 1):
             # The strings' last order + 1 bytes by language, and their contexts.
-            if held is not None:
-                strings, of, counts = strings[held], of[held], counts[held]
             key = (strings & ((1 << 8 * (order + 1)) - 1)) * k + of
             found, inverse = np.unique(key, return_inverse=True)
             n = np.bincount(inverse, counts, len(found))
@@ -112,11 +107,6 @@ class Coder:
                 self.escapes.append(Rows(pair // k, pair % k, escape))
                 self.savings.append(Rows(coded, lang, cost - shorter - escape[inverse]))
             self.last_cost = (found, cost)
-            if order < ORDER:
-                # The next longer contexts, of strings whose shorter one is held, if seen often enough.
-                context = strings >> 8 & ((1 << 8 * (order + 1)) - 1)
-                _, inverse = np.unique(context, return_inverse=True)
-                held = np.bincount(inverse, counts)[inverse] >= LEAST[order + 1] if len(inverse) else np.zeros(0, bool)
         del self.last_cost
 
     def _seen(self, coded: np.ndarray, lang: np.ndarray, order: int) -> np.ndarray:

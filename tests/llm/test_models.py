@@ -64,7 +64,7 @@ def test_language_held_out(spark):
 
 def test_code_lengths_equal_brute_force():
     texts = {"aa": [prose(1, 60, "abcde"), "abc abc abd"], "bb": [prose(2, 60, "cdefg"), "äö cde"]}
-    counts, total = {x: defaultdict(Counter) for x in texts}, Counter()
+    counts = {x: defaultdict(Counter) for x in texts}
     grams = Counter()
     for lang, parts in texts.items():
         for part in parts:
@@ -73,19 +73,15 @@ def test_code_lengths_equal_brute_force():
                 grams[lang, int.from_bytes(data[i - language.ORDER : i + 1], "big")] += 1
                 for o in range(language.ORDER + 1):
                     counts[lang][data[i - o : i]][data[i]] += 1
-                    total[data[i - o : i]] += 1
     names = sorted(texts)
     coder = language.Coder(
         names, np.array([names.index(x) for x, _ in grams]), np.array([g for _, g in grams]), np.array(list(grams.values()))
     )
 
-    def held(context):
-        return not context or (total[context] >= language.LEAST[len(context)] and held(context[1:]))
-
     def bits(data, lang):
         data, out = b"\0" * language.ORDER + data, 0.0
         for i in range(language.ORDER, len(data)):
-            order = max(o for o in range(language.ORDER + 1) if held(data[i - o : i]))
+            order = language.ORDER
             while True:
                 seen = counts[lang][data[i - order : i]]
                 if seen:
@@ -134,6 +130,23 @@ def test_small_language_beside_a_large_one(spark):
     assert found == {100: "zz", 200: "zz", 0: "aa", 1: "aa"}
 
 
+def test_contexts_seen_once_are_held():
+    """Of one short text in a language beside a large one, all contexts."""
+    text = b"\0" * language.ORDER + "der Fluss fließt durch das ganze Tal".encode()
+    own = Counter(int.from_bytes(text[i - 3 : i + 1], "big") for i in range(3, len(text)))
+    rng = np.random.default_rng(1)
+    other = Counter(rng.integers(0x61616161, 0x7A7A7A7A, 50_000).tolist())
+    strings, counts = [*own, *other], [*own.values(), *other.values()]
+    coder = language.Coder(["de", "xx"], np.array([0] * len(own) + [1] * len(other)), np.array(strings), np.array(counts))
+    for order in range(1, language.ORDER + 1):
+        rows = coder.escapes[order - 1]
+        of = np.repeat(rows.keys, np.diff(rows.bounds))[rows.of == 0]
+        assert set(of.tolist()) == {int.from_bytes(text[i - order : i], "big") for i in range(language.ORDER, len(text))}
+    alone = language.Coder(["de"], np.zeros(len(own)), np.array(list(own)), np.array(list(own.values())))
+    phrase = byte_column(pa.array(["das ganze Tal"]))
+    assert isclose(coder.lengths(*phrase)[0, 0], alone.lengths(*phrase)[0, 0])
+
+
 def test_stripes_give_the_same_lengths(monkeypatch):
     strings = np.array([0x61, 0x6162, 0x616263, 0x61626364, 0x62636465], np.int64)
     coder = language.Coder(["aa", "bb"], np.array([0, 0, 0, 1, 1]), strings, np.array([5, 4, 4, 6, 7]))
