@@ -61,8 +61,11 @@ def with_swapped_ends(turns: DataFrame) -> DataFrame:
     """A rejected side for conversations (pair_id, turn, role, text) that have only one.
 
     The last turn gets the text of the last turn of the conversation numbered one higher; where there is
-    none, it is left out. Other turns stay, so the pair shares them as its prompt.
+    none, it is left out. Other turns stay, so the pair shares them as its prompt. Other columns are left
+    out, whatever their names. Rows that tie for the last turn all get the other's text; nulls in role or
+    text stay; a null pair id has no other conversation; an empty table gives none.
     """
+    turns = turns.select("pair_id", "turn", "role", "text")
     last = turns.groupBy("pair_id").agg(F.max(F.struct("turn", "role", "text")).alias("last"))
     ends = last.select(F.col("pair_id").alias("_pair"), F.col("last.turn").alias("_turn"))
     other = last.select((F.col("pair_id") - 1).alias("_other"), F.col("last.text").alias("_text"), F.lit(True).alias("_found"))

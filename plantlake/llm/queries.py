@@ -28,7 +28,8 @@ def held_out(by: int, which: int):
 
 
 def op1_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
-    chosen = table(spark, sf_dir, "conversations").withColumnRenamed("conv_id", "pair_id")
+    turns = table(spark, sf_dir, "conversations")
+    chosen = turns.select(turns["conv_id"].alias("pair_id"), "turn", "role", "text")
     return chat_preference.preference_segments(chosen, chat_preference.with_swapped_ends(chosen))
 
 
@@ -143,8 +144,8 @@ prefix AS (
 placed AS (
   SELECT s.*, coalesce(s.turn < p.cut, true) AS shared FROM sided s LEFT JOIN prefix p USING (conv_id))
 SELECT DISTINCT conv_id AS pair_id, CASE WHEN shared THEN 'prompt' ELSE part END AS part, turn, role,
-  '<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10) AS segment,
-  NOT shared AND role = 'assistant' AS trained
+  '<|im_start|>' || coalesce(role, '') || chr(10) || coalesce(text, '') || '<|im_end|>' || chr(10) AS segment,
+  NOT shared AND coalesce(role, '') = 'assistant' AS trained
 FROM placed
 """
 

@@ -1,5 +1,6 @@
 """Preference pairs by hand."""
 
+from plantlake.llm import queries
 from plantlake.llm.chat_preference import preference_segments, with_swapped_ends
 
 SCHEMA = "pair_id long, turn long, role string, text string, part string, side int"
@@ -52,3 +53,16 @@ def test_swapped_ends(spark):
     found = with_swapped_ends(side(spark, rows)).collect()
     got = sorted((r.pair_id, r.turn, r.text) for r in found if r.pair_id is not None)
     assert got == [(1, 0, "q"), (1, 1, "a2"), (2, 0, "r")]
+
+
+def test_columns_of_any_name(spark, tmp_path):
+    names = ("pair_id", "_pair", "_turn", "_text", "_other", "_found", "part", "end", "sides")
+    schema = "conv_id long, turn long, role string, text string, " + ", ".join(f"{n} string" for n in names)
+    rows = [(1, 0, "user", "q"), (1, 1, "assistant", "a"), (2, 0, "user", None), (2, 1, None, "b")]
+    table = spark.createDataFrame([(*r, *names) for r in rows], schema)
+    table.write.parquet(f"{tmp_path}/conversations.parquet")
+    found = queries.op1_preference_format(spark, str(tmp_path)).collect()
+    assert sorted((r.pair_id, r.part, r.turn, r.trained) for r in found) == [
+        (1, "chosen", 1, True), (1, "prompt", 0, False), (1, "rejected", 1, True), (2, "chosen", 1, False), (2, "prompt", 0, False),
+    ]
+    assert with_swapped_ends(side(spark, [])).collect() == []
