@@ -34,6 +34,8 @@ from pyspark.sql import functions as F
 
 from plantlake.llm.shared import CHUNK_BYTES, byte_column, chunks, on_cogroup, on_executors, on_group, store, with_row
 
+#: Columns of the result.
+ADDED = ("kept", "n_bytes", "n_removed", "n_spans")
 WINDOW = 200
 GRAM = 32
 #: Suffixes with one first digit that are sorted in one task, about, at most. A suffix takes about 75 bytes of
@@ -402,8 +404,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, text
     Texts are scanned once and stored packed with their runs; all later steps work on digits and places,
     and the packed texts are joined twice by row number to the places that concern them.
     """
-    added = ("kept", "n_bytes", "n_removed", "n_spans")
-    names = {c: f"c{i}" for i, c in enumerate(c for c in docs.columns if c != text and c not in added)}
+    names = {c: f"c{i}" for i, c in enumerate(c for c in docs.columns if c != text and c not in ADDED)}
     inner = with_row(docs.select(*[docs[c].alias(n) for c, n in names.items()], docs[text].alias("_text")))
     fields = ", ".join(f"{n} {inner.schema[n].dataType.simpleString()}" for n in ["_row", *names.values()])
     scanned = inner.mapInArrow(on_executors(_scan, window, gram), f"{fields}, packed binary, n_bytes long, runs {RUNS}")
@@ -412,4 +413,4 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, text
     rest = scanned.select("_row", *names.values(), "n_bytes", "packed").join(found.hint("shuffle_hash"), "_row", "left")
     schema = f"{fields}, n_bytes long, kept {'string' if as_text else 'binary'}, n_removed long, n_spans long"
     made = rest.mapInArrow(on_executors(_cut, window, as_text), schema)
-    return made.select(*[F.col(n).alias(c) for c, n in names.items()], *added)
+    return made.select(*[F.col(n).alias(c) for c, n in names.items()], *ADDED)

@@ -5,6 +5,7 @@ from collections import Counter
 
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -68,3 +69,16 @@ def test_empty(spark, docs):
     for _, stage in corpus_pipeline.STAGES:
         kept = corpus_pipeline.store(stage(spark, kept, ""), "empty")
     assert kept.count() == 0
+
+
+def test_columns_with_the_names_of_inner_ones_keep_their_values(spark):
+    names = ("_lang", "_lang_", "_score", "_SCORE_2", "kept", "n_bytes", "n_removed", "n_spans", "_text", "_row", "fingerprint")
+    docs = documents(spark, [(i, prose(i, 40), None if i % 5 else "en", "s") for i in range(30)]).drop("_row", "size")
+    for name in names:
+        docs = docs.withColumn(name, F.concat(F.lit(name), "doc_id"))
+    kept = docs
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        kept = corpus_pipeline.store(stage(spark, kept, ""), name)
+        assert kept.columns == docs.columns, name
+        rows = kept.collect()
+        assert rows and all(r[n] == f"{n}{r.doc_id}" for r in rows for n in names), name
