@@ -3,6 +3,10 @@
 ``python tests/check_oracle.py [dir]`` compares all of them.
 """
 
+import subprocess
+import sys
+from pathlib import Path
+
 import pytest
 
 import __spark_entry__ as entry
@@ -23,6 +27,15 @@ def test_registry():
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
+@pytest.mark.parametrize("missing", ["public_tokenizers", "regex", "xxhash", "ahocorasick", "plantlake.llm", "corpus_pipeline"])
+def test_entry_without_optional_packages(missing):
+    code = f"import sys; sys.modules[{missing!r}] = None; import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()))"
+    root = Path(__file__).resolve().parent.parent
+    out = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, check=True).stdout
+    queries, twins = map(int, out.split())
+    assert queries >= len(QUERIES) and twins >= len(ORACLE_SQL)
+
+
 def test_entry(spark):
     assert "quality_rate" in entry.entry(spark).columns
 
