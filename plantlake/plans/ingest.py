@@ -28,7 +28,7 @@ SUMMARY_SCHEMA = (
 
 def raw_table(lake: Lake, table: str, key_groups: int = 16) -> KeyedTable:
     spec = RAW_TABLES[table]
-    return lake.keyed(lake.config.raw, table, raw_schema(table), spec.key, key_groups)
+    return lake.keyed(lake.config.raw, table, raw_schema(table), spec.key, key_groups, logged=True)
 
 
 def _keep_latest(target: KeyedTable, latest: datetime | None) -> None:
@@ -48,27 +48,32 @@ def ingest(
 
     A missing target takes all rows. Otherwise, unless the source has nothing later than the target,
     rows after the target's latest time are upserted by key, overwriting what is there. Only the two
-    latest times reach the driver; the target's is kept with the table when it is written, and read from
-    its rows only where it is missing. Of several batch rows with one key the latest is taken.
+    latest times reach the driver; the source's is observed while the batch is written, so the source
+    is read once, and the target's is kept with the table, and read from its rows only where it is missing.
+    Of several batch rows with one key the latest is taken.
     """
     target = raw_table(lake, table, key_groups)
     source = as_raw(source, table)
-    seen = Observation(f"{table}-{uuid4().hex}")
-    facts = F.count(F.lit(1)).alias("rows_read"), F.max(event_time(table)).alias("latest")
+    whole, seen = (Observation(f"{table}-{uuid4().hex}") for _ in range(2))
+    latest = F.max(event_time(table)).alias("latest")
+    facts = F.count(F.lit(1)).alias("rows_read"), latest
     if not target.exists():
         written = target.load(source.observe(seen, *facts))
         _keep_latest(target, seen.get["latest"])
         return "full", seen.get["rows_read"], written
-    source_max = watermark_value(source, table)
     noted = target.noted(LATEST)
     # A target filled by other means than this function, or by a run that was lost, has no note.
     target_max = datetime.fromisoformat(noted) if noted else watermark_value(target.read(), table)
-    if not has_new_data(source_max, target_max):
+    batch = extract(source.observe(whole, latest), table, target_max, as_of, days_back).observe(seen, *facts)
+    is_new: list[bool] = []
+
+    def newer() -> bool:
+        is_new.append(has_new_data(whole.get["latest"], target_max))
+        return is_new[0]
+
+    written = target.upsert(batch.withColumn("_time", event_time(table)), latest_by=["_time"], when=newer)
+    if not is_new[0]:
         return "skipped", 0, 0
-    batch = extract(source, table, target_max, as_of, days_back).observe(seen, *facts)
-    written = target.upsert(
-        batch.withColumn("_time", event_time(table)), latest_by=["_time"]
-    )
     _keep_latest(target, seen.get["latest"])
     return "incremental", seen.get["rows_read"], written
 

@@ -7,12 +7,13 @@ that hold the changed keys, and no other.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from plantlake.config import LakeConfig
 from plantlake.operators.dedupe import dedupe
@@ -28,6 +29,8 @@ from plantlake.operators.history import (
 from plantlake.operators.merge import compared_rows, replace_rows
 
 GROUP = "key_group"
+BATCH, CHANGE = "batch", "change"
+BEFORE, INSERTED, UPDATED = "before", "inserted", "updated"
 OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 
 
@@ -35,8 +38,12 @@ class KeyedTable:
     """A catalog table that takes upserts by ``key``. One writer at a time.
 
     ``key_groups`` is chosen once, about table size / 10 GB for large tables. A partition is replaced by
-    Spark's dynamic overwrite, which moves complete files into place when the job has ended; a run that
-    fails is repeated and finds what is still missing.
+    Spark's dynamic overwrite, which moves complete files into place when the job has ended.
+
+    With ``logged`` an upsert first writes what it will change to a table beside this one, as a batch with a
+    number: rows as they were before, updated rows and inserted ones. Then it changes the table, then it
+    notes the batch as done. A run that is lost in between is finished by the next one from the log. Who
+    derives tables from this one reads ``changes`` since the last batch they saw, not the table.
     """
 
     def __init__(
@@ -47,30 +54,35 @@ class KeyedTable:
         columns: StructType,
         key: str,
         key_groups: int = 16,
+        logged: bool = False,
     ):
         self.lake = lake
         self.spark = lake.spark
         self.schema = schema
         self.table = table
         self.name = lake.config.qualify(schema, table)
+        self.log_name = lake.config.qualify(schema, f"{table}_changes")
         self.columns = columns
         self.key = key
         self.key_groups = key_groups
+        self.logged = logged
 
     def exists(self) -> bool:
-        return self.spark.catalog.tableExists(self.name)
+        """False also for a table whose first load was lost: it is then loaded again."""
+        if not self.spark.catalog.tableExists(self.name):
+            return False
+        noted = self.all_noted()
+        return "key_groups" in noted and noted.get("loading") != "true"
 
     def note(self, **properties: str) -> None:
         """Keep small facts about the table in the catalog."""
-        listed = ", ".join(f"'plantlake.{k}' = '{v}'" for k, v in properties.items())
-        self.spark.sql(f"ALTER TABLE {self.name} SET TBLPROPERTIES ({listed})")
+        self.lake.note(self.name, **properties)
 
     def noted(self, name: str) -> str | None:
-        rows = self.spark.sql(f"SHOW TBLPROPERTIES {self.name}").where(
-            F.col("key") == f"plantlake.{name}"
-        )
-        found = rows.first()
-        return found["value"] if found else None
+        return self.all_noted().get(name)
+
+    def all_noted(self) -> dict[str, str]:
+        return self.lake.noted(self.name)
 
     def _stored(self) -> DataFrame:
         groups = self.noted("key_groups")
@@ -96,13 +108,22 @@ class KeyedTable:
     def load(self, df: DataFrame) -> int:
         """First load: all rows as they are, also those that share a key. Returns their number.
 
-        One write; rebalancing puts a group into few files and still splits one that is too large.
+        The table is created empty, with its notes, and filled by one write; rebalancing puts a group into
+        few files and still splits one that is too large. A load that is lost leaves a table that is
+        still marked as loading, and is repeated from the start.
         """
         if self.exists():
             raise ValueError(f"{self.name} already has data")
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.log_name}")
+        listed = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self.columns)
+        self.spark.sql(
+            f"CREATE TABLE {self.name} ({listed}, {GROUP} int) USING parquet PARTITIONED BY ({GROUP})"
+            f" TBLPROPERTIES ('plantlake.key_groups' = '{self.key_groups}', 'plantlake.loading' = 'true')"
+        )
         counted, seen = self._counted(self._grouped(df))
-        counted.hint("rebalance", GROUP).write.partitionBy(GROUP).saveAsTable(self.name)
-        self.note(key_groups=str(self.key_groups))
+        self._append(counted)
+        self.note(loading="false", done="0")
         return seen.get["rows"]
 
     def _stage(self, df: DataFrame, what: str = "compared") -> DataFrame:
@@ -116,41 +137,123 @@ class KeyedTable:
 
     def _overwrite(self, rows: DataFrame) -> None:
         """Replace the partitions that occur in ``rows``."""
-        mode = self.spark.conf.get(OVERWRITE_MODE)
-        # Inserts into a catalog table take the mode from the session alone.
-        self.spark.conf.set(OVERWRITE_MODE, "dynamic")
-        try:
-            rows.hint("rebalance", GROUP).write.mode("overwrite").insertInto(self.name)
-        finally:
-            self.spark.conf.set(OVERWRITE_MODE, mode)
+        self.lake.overwrite_partitions(rows.hint("rebalance", GROUP), self.name)
 
     def _groups_of(self, df: DataFrame) -> list[int]:
         """Groups that occur in ``df``: at most ``key_groups`` numbers."""
         return sorted(row[GROUP] for row in df.select(GROUP).distinct().collect())
 
+    def _in_groups_of(self, changed: DataFrame) -> tuple[list[int], DataFrame]:
+        groups = self._groups_of(changed)
+        return groups, self._stored().where(F.col(GROUP).isin(groups))
+
     def upsert(
-        self, source: DataFrame, hash_col: str | None = None, latest_by: Sequence[str] = ()
+        self,
+        source: DataFrame,
+        hash_col: str | None = None,
+        latest_by: Sequence[str] = (),
+        when: Callable[[], bool] | None = None,
     ) -> int:
         """Insert new keys and update present ones (with ``hash_col``: only changed ones).
 
         The batch is first reduced to one row per key, the one with the highest ``latest_by``
-        columns. New keys go to new files; a batch that changes nothing writes nothing. Returns the
-        number of batch rows.
+        columns, and written once, as it is read more than once. New keys go to new files; a batch that
+        changes nothing writes nothing. Returns the number of batch rows. ``when`` is asked once the batch
+        is written, so that what was observed of its source can decide; if it says no, nothing happens.
         """
         batch = dedupe(require(source, [self.key]), [self.key], latest_by)
         if not self.exists():
             return self.load(batch)
+        self.finish()
         counted, seen = self._counted(self._grouped(batch))
-        compared = compared_rows(self._stored().drop(GROUP), counted, self.key, hash_col)
-        staged = self._stage(compared)
-        changed, new = (staged.where(F.col("is_new") == flag).drop("is_new") for flag in (False, True))
-        groups = self._groups_of(changed)
+        staged = self._stage(counted, "batch")
+        if when is not None and not when():
+            return 0
+        compared = self._stage(compared_rows(self._stored().drop(GROUP), staged, self.key, hash_col))
+        changed, new = (compared.where(F.col("is_new") == flag).drop("is_new") for flag in (False, True))
+        if self.logged:
+            if not compared.isEmpty():
+                self._apply(self._log(changed, new))
+        else:
+            self._update(changed)
+            if not new.isEmpty():
+                self._append(new)
+        return seen.get["rows"]
+
+    def _update(self, changed: DataFrame) -> None:
+        groups, old = self._in_groups_of(changed)
         if groups:
-            old = self._stored().where(F.col(GROUP).isin(groups))
             self._overwrite(replace_rows(old, changed, self.key))
+
+    # --- the log of changes ---
+
+    def done(self) -> int:
+        """Number of the last batch that is wholly in the table; 0 after the first load."""
+        return int(self.noted("done") or 0)
+
+    def _log(self, changed: DataFrame, new: DataFrame) -> int:
+        """Write the next batch to the log. Noted when complete; one that is not is written again."""
+        number = self.done() + 1
+        groups, old = self._in_groups_of(changed)
+        before = old.join(changed.select(self.key), self.key, "left_semi").select(changed.columns)
+        rows = [(before, BEFORE), (changed, UPDATED), (new, INSERTED)] if groups else [(new, INSERTED)]
+        parts = [
+            df.select(*self.columns.names, GROUP, F.lit(kind).alias(CHANGE), F.lit(number).alias(BATCH))
+            for df, kind in rows
+        ]
+        logged = parts[0]
+        for part in parts[1:]:
+            logged = logged.unionByName(part)
+        if not self.spark.catalog.tableExists(self.log_name):
+            logged.limit(0).write.partitionBy(BATCH).saveAsTable(self.log_name)
+        self.lake.overwrite_partitions(logged, self.log_name)
+        self.note(logged=str(number))
+        return number
+
+    def finish(self) -> None:
+        """Finish a batch that a lost run has logged; nothing to do if there is none."""
+        number = int(self.noted("logged") or 0)
+        if number > self.done():
+            self._apply(number, again=True)
+
+    def _apply(self, number: int, again: bool = False) -> None:
+        """Bring a logged batch into the table.
+
+        May be repeated: updated rows are put in place ``again``, and only keys still missing are inserted.
+        """
+        rows = self.spark.table(self.log_name).where(F.col(BATCH) == number)
+        kinds = {kind: rows.where(F.col(CHANGE) == kind).drop(CHANGE, BATCH) for kind in (UPDATED, INSERTED)}
+        self._update(kinds[UPDATED])
+        new = kinds[INSERTED]
+        if again:
+            present = self._stored().select(self.key)
+            new = new.join(present, self.key, "left_anti").select(*self.columns.names, GROUP)
         if not new.isEmpty():
             self._append(new)
-        return seen.get["rows"]
+        self.note(done=str(number))
+
+    def changes(self, since: int) -> DataFrame:
+        """Log rows of the batches after ``since`` that are in the table, with ``change`` and ``batch``."""
+        if not self.spark.catalog.tableExists(self.log_name):
+            marks = [StructField(CHANGE, StringType()), StructField(BATCH, IntegerType())]
+            return self.spark.createDataFrame([], StructType([*self.columns.fields, *marks]))
+        done = self.done()
+        rows = self.spark.table(self.log_name).where((F.col(BATCH) > since) & (F.col(BATCH) <= done))
+        return rows.drop(GROUP)
+
+    def forget(self, up_to: int) -> None:
+        """Drop batches of the log that all who read it have seen."""
+        if self.spark.catalog.tableExists(self.log_name):
+            for row in self.spark.sql(f"SHOW PARTITIONS {self.log_name}").collect():
+                number = int(row["partition"].split("=")[1])
+                if number <= up_to:
+                    self.spark.sql(f"ALTER TABLE {self.log_name} DROP IF EXISTS PARTITION ({BATCH} = {number})")
+
+
+def latest_images(changes: DataFrame, key: str) -> DataFrame:
+    """Of logged changes, the last state of every changed key."""
+    after = changes.where(F.col(CHANGE) != BEFORE)
+    return dedupe(after, [key], [BATCH]).drop(CHANGE, BATCH)
 
 
 class HistoryTable(KeyedTable):
@@ -227,6 +330,35 @@ class Lake:
     def exists(self, schema: str, table: str) -> bool:
         return self.spark.catalog.tableExists(self.config.qualify(schema, table))
 
+    def note(self, name: str, **properties: str) -> None:
+        """Keep small facts about a table (qualified name) in the catalog."""
+        listed = ", ".join(f"'plantlake.{k}' = '{v}'" for k, v in properties.items())
+        self.spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ({listed})")
+
+    def noted(self, name: str) -> dict[str, str]:
+        rows = self.spark.sql(f"SHOW TBLPROPERTIES {name}").collect()
+        prefix = "plantlake."
+        return {r["key"].removeprefix(prefix): r["value"] for r in rows if r["key"].startswith(prefix)}
+
+    def overwrite_partitions(self, rows: DataFrame, name: str) -> None:
+        """Replace those partitions of a table (qualified name) that occur in ``rows``; columns by position.
+
+        Complete files are moved into place when the job has ended; what a lost job leaves is replaced by
+        the next one.
+        """
+        with self._overwriting("dynamic"):
+            rows.write.mode("overwrite").insertInto(name)
+
+    @contextmanager
+    def _overwriting(self, mode: str) -> Iterator[None]:
+        """Inserts into a catalog table take the mode from the session alone."""
+        before = self.spark.conf.get(OVERWRITE_MODE)
+        self.spark.conf.set(OVERWRITE_MODE, mode)
+        try:
+            yield
+        finally:
+            self.spark.conf.set(OVERWRITE_MODE, before)
+
     # --- ordinary tables ---
 
     def read(self, schema: str, table: str) -> DataFrame:
@@ -256,9 +388,9 @@ class Lake:
             writer = writer.option("maxRecordsPerFile", max_records_per_file)
         if partition_by:
             writer = writer.partitionBy(*partition_by)
-        writer.mode("overwrite").option("partitionOverwriteMode", "static").saveAsTable(
-            self.config.qualify(schema, table)
-        )
+        # Not as an option, which would stay with the table.
+        with self._overwriting("static"):
+            writer.mode("overwrite").saveAsTable(self.config.qualify(schema, table))
 
     def replace(self, df: DataFrame, schema: str, table: str) -> None:
         """Replace a dimension by the result of a query."""
@@ -272,9 +404,10 @@ class Lake:
         return True
 
     def keyed(
-        self, schema: str, table: str, columns: StructType, key: str, key_groups: int = 16
+        self, schema: str, table: str, columns: StructType, key: str, key_groups: int = 16,
+        logged: bool = False,
     ) -> KeyedTable:
-        return KeyedTable(self, schema, table, columns, key, key_groups)
+        return KeyedTable(self, schema, table, columns, key, key_groups, logged)
 
     def history(
         self, schema: str, table: str, columns: StructType, key: str, key_groups: int = 16
