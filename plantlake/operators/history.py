@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plantlake.functions.hashing import backfill_hash
@@ -132,3 +132,51 @@ def as_of_join(
     )
     added = [F.col(f"h.{c}").alias(c) for c in history.columns if c not in events.columns]
     return matched.select(*[F.col(f"e.{c}").alias(c) for c in events.columns], *added)
+
+
+def as_of_lookup(
+    events: DataFrame, history: DataFrame, key: str, ts: str, bucket_days: int | None = None
+) -> DataFrame:
+    """The rows of ``as_of_join`` (left), in one sorted pass over versions and events of each key.
+
+    The last version that has started is carried forward to the events behind it, so that no event meets
+    more than one version however many a key has. Events without key or time have none. With
+    ``bucket_days`` a key is split into spans of so many days, each of which starts with the version carried
+    into it; that reads key and time of the events once more, and spreads a key with many events.
+    """
+    added = [c for c in history.columns if c not in events.columns]
+    start, end = F.col("effective_start"), F.col("effective_end")
+    version = F.struct(start.alias("_start"), end.alias("_end"), *[F.col(c).alias(c) for c in added])
+    event = F.struct(*[F.col(c).alias(c) for c in events.columns])
+    stream = [F.col(key).alias("_key"), F.col("_at")]
+    # Of versions with one start, all but the last have ended there.
+    versions = history.withColumn("_at", start).select(*stream, version.alias("_version"))
+    found = events.withColumn("_at", F.col(ts))
+    known = F.col(key).isNotNull() & F.col(ts).isNotNull()
+    by = ["_key"]
+    if bucket_days is not None:
+        by = ["_key", "_bucket"]
+        bucket = F.floor(F.unix_date(F.col("_at").cast("date")) / bucket_days).alias("_bucket")
+        spans = versions.select("_key", bucket, "_version").unionByName(
+            found.where(known).select(*stream).select("_key", bucket, F.lit(None).cast(versions.schema["_version"].dataType).alias("_version"))
+        )
+        last = spans.groupBy(*by).agg(F.max("_version").alias("_last"))
+        earlier = Window.partitionBy("_key").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+        carried = last.withColumn("_version", F.last("_last", ignorenulls=True).over(earlier)).where("_version IS NOT NULL")
+        versions = versions.withColumn("_bucket", bucket).unionByName(
+            carried.select("_key", F.col("_version._start").alias("_at"), "_version", "_bucket")
+        )
+        found = found.withColumn("_bucket", bucket)
+    rows = versions.withColumn("_event", F.lit(None).cast(events.select(event.alias("e")).schema["e"].dataType)).unionByName(
+        found.where(known).select(*stream, *by[1:], F.lit(None).cast(versions.schema["_version"].dataType).alias("_version"), event.alias("_event"))
+    )
+    before = Window.partitionBy(*by).orderBy(
+        F.col("_at"), F.col("_event").isNotNull(), F.col("_version._end")
+    ).rowsBetween(Window.unboundedPreceding, 0)
+    seen = rows.withColumn("_seen", F.last("_version", ignorenulls=True).over(before)).where("_event IS NOT NULL")
+    valid = F.col("_at") < F.col("_seen._end")
+    matched = seen.select("_event.*", *[F.when(valid, F.col(f"_seen.{c}")).alias(c) for c in added])
+    unknown = events.where(~known).select(
+        *events.columns, *[F.lit(None).cast(history.schema[c].dataType).alias(c) for c in added]
+    )
+    return matched.unionByName(unknown)

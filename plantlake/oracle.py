@@ -849,9 +849,11 @@ STATEMENTS: dict[str, str] = {
         for table, (raw, ts) in _WATERMARK_TABLES.items()
     ),
     "src7_new_data": " UNION ALL ".join(
-        _newer(t, n) for t, n in (("production_orders", "production"),
+        _newer(t, n) for t, n in (("equipment_master", "equipment"),
+                                  ("production_orders", "production"),
                                   ("maintenance_orders", "maintenance"),
-                                  ("iot_sensor_readings", "sensor"))
+                                  ("iot_sensor_readings", "sensor"),
+                                  ("quality_inspections", "quality"))
     ),
     "snk1_first_load": _raw_columns(PRODUCTION),
     "snk11_file_sizes": "SELECT CAST(count(*) AS BIGINT) AS row_count, true AS within_limit"
@@ -913,6 +915,18 @@ STATEMENTS["snk2_stored_upsert"] = STATEMENTS["snk2_upsert_unguarded"]
 STATEMENTS["mrg3_stored_upsert"] = STATEMENTS["mrg3_production_orders"]
 STATEMENTS["scd2_stored_history"] = STATEMENTS["scd2_history"]
 
+STATEMENTS["snk8_pruned_by_calendar"] = (
+    "SELECT full_date, equipment_id, count(*) AS orders, CAST(sum(actual_qty) AS BIGINT) AS pieces"
+    " FROM fact_production JOIN order_dates ON date_key = start_date_key"
+    " WHERE full_date BETWEEN DATE '2001-06-15' AND DATE '2001-07-15' AND NOT is_weekend GROUP BY ALL"
+)
+STATEMENTS["snk7_catalog_view"] = "SELECT * FROM oee"
+STATEMENTS["snk11_merged_files"] = "SELECT * FROM fact_sensor_hourly"
+STATEMENTS["scd3_identity_keys"] = (
+    "SELECT count(*) AS versions, count(*) AS keys, CAST(1 AS BIGINT) AS lowest, count(*) AS highest,"
+    " (SELECT count(*) FROM history_first) AS unchanged FROM history"
+)
+
 ORACLE_SQL = {name: sql(statement) for name, statement in STATEMENTS.items()}
 ORACLE_SQL["built_lake_oee"] = sql(
     "SELECT * FROM oee",
@@ -923,3 +937,24 @@ ORACLE_SQL["built_lake_oee"] = sql(
         for e in ("production", "maintenance", "quality")
     },
 )
+
+# After two runs a fact stands as one built from the merged table.
+for _query, _fact, _name in (
+    ("snk3_touched_days", "fact_production", "production"),
+    ("snk3_moved_days", "fact_maintenance", "maintenance"),
+    ("fct4_merged_readings", "fact_sensor_hourly", "sensor"),
+):
+    _made = re.sub(rf"\bclean_{_name}\b", "merged", CTES[_fact])
+    _both = _merged(f"clean_before_{_name}", f"clean_{_name}", ENTITIES[_name].key)
+    ORACLE_SQL[_query] = sql(f"SELECT * FROM {_fact}", {"merged": _both, _fact: _made})
+_both = _merged("first_window", "second_window", "production_order_id")
+ORACLE_SQL["flt3_new_rows_only"] = sql(
+    "SELECT * FROM merged",
+    {
+        "first_window": PRODUCTION.curated(
+            PRODUCTION.staged("before_production"), "last_update >= DATE '2000-01-01' - 60"
+        ),
+        "second_window": PRODUCTION.curated("SELECT * FROM staged_production", WINDOWS["production"]),
+        "merged": _both,
+    },
+)

@@ -13,7 +13,7 @@ from plantlake.plans.entities import ENTITIES, EQUIPMENT_VERSIONS, TABLE_HASH
 from plantlake.plans.incremental import HOURLY, ROW_FACTS, SEEN, curated_batch, refresh_hourly, refresh_row_fact
 from plantlake.plans.ingest import raw_table
 from plantlake.sources.schemas import RAW_TABLES
-from plantlake.sources.store import HistoryTable, KeyedTable, Lake, register_view
+from plantlake.sources.store import VERSION_ID, HistoryTable, KeyedTable, Lake, register_view
 
 
 # Curated tables by their stored names.
@@ -26,12 +26,15 @@ def curated_table(lake: Lake, spec: EntitySpec, batch: DataFrame, key_groups: in
     return lake.keyed(lake.config.curated, spec.name, batch.schema, spec.key, key_groups, logged=True)
 
 
-def history_table(lake: Lake, batch: DataFrame, key_groups: int) -> HistoryTable:
+def history_table(lake: Lake, batch: DataFrame, key_groups: int, numbered: bool = False) -> HistoryTable:
+    """The equipment history; ``numbered`` gives its versions a dense ``version_id`` as well."""
     spec = EQUIPMENT_VERSIONS
     types = dict(zip(VALIDITY, (TimestampNTZType(), TimestampNTZType(), BooleanType())))
     columns = [f for f in batch.schema.fields if f.name != spec.ts_col]
     columns += [StructField(name, kind) for name, kind in types.items()]
     columns.append(StructField("version_key", LongType()))
+    if numbered:
+        columns.append(StructField(VERSION_ID, LongType()))
     return lake.history(
         lake.config.curated, "equipment_history", StructType(columns), spec.key, key_groups
     )

@@ -283,3 +283,17 @@ def star_oee_fanout(
         "inspected": p * m, "failed": p * m,
     }
     return _star_report(cells, weights, dates, equipment)
+
+
+def production_by_calendar(production: DataFrame, dates: DataFrame, first: date, last: date) -> DataFrame:
+    """Orders and pieces per calendar day and machine, for days chosen by the calendar.
+
+    The calendar joins before aggregation: over a stored fact its days prune the fact's directories when
+    the query runs, which no filter written beforehand has to name.
+    """
+    day = F.col("full_date")
+    chosen = dates.where((day >= F.lit(first)) & (day <= F.lit(last)) & ~F.col("is_weekend"))
+    joined = production.join(chosen.select("date_key", "full_date"), production["start_date_key"] == chosen["date_key"])
+    return joined.groupBy("full_date", "equipment_id").agg(
+        F.count("*").alias("orders"), F.sum("actual_qty").alias("pieces")
+    )

@@ -18,7 +18,7 @@ from plantlake.operators.curate import EntitySpec, curate, latest, stage, window
 from plantlake.operators.filters import recent, require
 from plantlake.operators.history import (
     apply_history,
-    as_of_join,
+    as_of_lookup,
     first_versions,
     with_version_key,
 )
@@ -26,7 +26,7 @@ from plantlake.operators.merge import merge_insert_only, merge_upsert
 from plantlake.plans import calendar as cal
 from plantlake.plans import dimensions as dim
 from plantlake.plans import facts, reports, views
-from plantlake.plans.build import build_lake, history_table
+from plantlake.plans.build import build_lake, curated_table, history_table
 from plantlake.plans.entities import (
     EQUIPMENT,
     EQUIPMENT_VERSIONS,
@@ -38,12 +38,16 @@ from plantlake.plans.entities import (
     TABLE_HASH,
     narrowed,
 )
+from plantlake.plans.incremental import (
+    HOURLY, MERGED, ROW_FACTS, SEEN, curated_batch, refresh_hourly, refresh_row_fact,
+)
 from plantlake.plans.ingest import ingest_all, raw_table
+from plantlake.plans.view_text import publish_views
 from plantlake.sources.audit import missing_tables, reconcile, row_counts
 from plantlake.sources.extract import event_time, extract, high_watermark
 from plantlake.sources.plant_feed import PlantFeed
 from plantlake.sources.schemas import RAW_TABLES, as_raw
-from plantlake.sources.store import Lake, register_view
+from plantlake.sources.store import VERSION_ID, KeyedTable, Lake, register_view
 
 # Reference times that lie inside the data.
 EQUIPMENT_AS_OF = datetime(2001, 12, 15, 10, 30)
@@ -367,7 +371,7 @@ def version_at(f: Frames) -> DataFrame:
         "equipment_id", F.col("status").alias("equipment_status"), "location",
         "effective_start", "effective_end",
     )
-    return as_of_join(events, versions, "equipment_id", "actual_start")
+    return as_of_lookup(events, versions, "equipment_id", "actual_start")
 
 
 # --- calendar -------------------------------------------------------------------------------------
@@ -426,7 +430,10 @@ def new_data(f: Frames) -> DataFrame:
             (F.col("high_watermark") > before).alias("has_new_data"),
         )
 
-    return row(PRODUCTION).unionByName(row(MAINTENANCE)).unionByName(row(SENSORS))
+    rows = row(EQUIPMENT)
+    for spec in (PRODUCTION, MAINTENANCE, SENSORS, QUALITY):
+        rows = rows.unionByName(row(spec))
+    return rows
 
 
 def raw_tables(f: Frames) -> dict[str, DataFrame]:
@@ -571,6 +578,111 @@ def ingested_orders(f: Frames) -> DataFrame:
     )
 
 
+def stored_twice(f: Frames, spec: EntitySpec, after_first: Callable[[Lake, KeyedTable], object]) -> tuple[Lake, KeyedTable]:
+    """The curated table of a lake after two runs; ``after_first`` is called between them."""
+    lake, batch = f.lake(), f.curated(spec)
+    table = curated_table(lake, spec, batch, 16)
+    table.load(f.curated_first(spec))
+    after_first(lake, table)
+    table.upsert(batch, TABLE_HASH, latest_by=[spec.ts_col])
+    return lake, table
+
+
+def touched_days(f: Frames) -> DataFrame:
+    """A stored fact after a second run has replaced the days that its batch touched."""
+    spec = next(s for s in ROW_FACTS if s.name == "fact_production")
+    lake, table = stored_twice(f, PRODUCTION, lambda lake, table: refresh_row_fact(lake, spec, table))
+    refresh_row_fact(lake, spec, table)
+    return lake.read(lake.config.gold, spec.name)
+
+
+def moved_days(f: Frames) -> DataFrame:
+    """The same for maintenance, of which the batch corrects orders that were still open."""
+    spec = next(s for s in ROW_FACTS if s.name == "fact_maintenance")
+    lake, table = stored_twice(f, MAINTENANCE, lambda lake, table: refresh_row_fact(lake, spec, table))
+    refresh_row_fact(lake, spec, table)
+    return lake.read(lake.config.gold, spec.name)
+
+
+def merged_readings(f: Frames) -> DataFrame:
+    """The hourly fact after late readings have been merged into it."""
+    lake, table = stored_twice(f, SENSORS, refresh_hourly)
+    refresh_hourly(lake, table)
+    return lake.read(lake.config.gold, HOURLY).drop("value_sum", "value_count", MERGED)
+
+
+def curated_in_two_runs(f: Frames) -> DataFrame:
+    """Orders in their time window after two runs, of which the second curates newly ingested rows only."""
+    lake = f.lake()
+    raw = raw_table(lake, PRODUCTION.raw)
+    table = curated_table(lake, PRODUCTION, f.curated(PRODUCTION), 16)
+    for rows, as_of in ((f.first_extract(PRODUCTION), FIRST_EXTRACT), (f.raw(PRODUCTION), ORDERS_AS_OF)):
+        ingest_all(lake, lambda _, rows=rows: rows, as_of, [PRODUCTION.raw])
+        batch, done = curated_batch(raw, table, PRODUCTION, as_of, PRODUCTION.window_days)
+        table.upsert(batch, TABLE_HASH, latest_by=[PRODUCTION.ts_col])
+        table.note(**{SEEN: str(done)})
+    return table.read()
+
+
+def numbered_history(f: Frames) -> DataFrame:
+    """Versions after two runs and whether their keys are dense and those of the first run unchanged."""
+    lake, batch = f.lake(), f.curated(EQUIPMENT_VERSIONS)
+    table = history_table(lake, batch, 16, numbered=True)
+    ts = EQUIPMENT_VERSIONS.ts_col
+    table.track(f.curated_first(EQUIPMENT_VERSIONS), ts, TABLE_HASH, FIRST_RUN, EQUIPMENT_VERSIONS.hashed)
+    lake.replace(table.read().select(VERSION_ID, "equipment_id", "effective_start"), lake.config.curated, "first_ids")
+    for _ in range(2):
+        table.track(batch, ts, TABLE_HASH, SECOND_RUN, EQUIPMENT_VERSIONS.hashed)
+    ids = [VERSION_ID, "equipment_id", "effective_start"]
+    first = lake.read(lake.config.curated, "first_ids").withColumn("was", F.lit(1))
+    return table.read().join(first, ids, "left").agg(
+        F.count("*").alias("versions"), F.count_distinct(VERSION_ID).alias("keys"),
+        F.min(VERSION_ID).alias("lowest"), F.max(VERSION_ID).alias("highest"), F.count("was").alias("unchanged"),
+    )
+
+
+def compacted_fact(f: Frames) -> DataFrame:
+    """A fact that came in by many appends, after its small files were merged: same rows, fewer files."""
+    lake, by = f.lake(), facts.PARTITION_BY["fact_sensor_hourly"]
+    gold, parts = lake.config.gold, 4
+    name = lake.config.qualify(gold, "fact_sensor_hourly")
+    lake.replace(f.hourly, lake.config.curated, "hourly")
+    stored = lake.read(lake.config.curated, "hourly")
+    for part in range(parts):
+        rows = stored.where(F.pmod(F.xxhash64("equipment_id", "hour_bucket"), F.lit(parts)) == part)
+        rows.write.mode("append").partitionBy(*by).saveAsTable(name)
+    lake.compact(gold, "fact_sensor_hourly", by, min_files=2)
+    if lake.compact(gold, "fact_sensor_hourly", by, min_files=2):
+        raise RuntimeError("a second call found something to merge")
+    return lake.read(gold, "fact_sensor_hourly")
+
+
+def pruned_by_calendar(f: Frames) -> DataFrame:
+    """Production of some calendar days from a stored fact, of which only those days are read."""
+    lake, by = f.lake(), facts.PARTITION_BY["fact_production"]
+    gold = lake.config.gold
+    lake.overwrite(f.production, gold, "fact_production", by)
+    lake.replace(f.order_dates, gold, "dim_date")
+    return reports.production_by_calendar(
+        lake.read(gold, "fact_production"), lake.read(gold, "dim_date"), DAYS30, REPORT_DAY
+    )
+
+
+def catalog_view(f: Frames) -> DataFrame:
+    """A view of the catalog over stored tables, read in another session, after it was replaced."""
+    lake = f.lake()
+    gold = lake.config.gold
+    stored = {
+        "fact_production": f.production, "fact_maintenance": f.maintenance, "fact_quality": f.quality,
+        "dim_equipment": f.equipment, "dim_date": f.dates((f.production, "actual_start")),
+    }
+    for name, frame in stored.items():
+        lake.replace(frame, gold, name)
+    lake.publish_view(gold, "oee_daily_view", "SELECT 1 AS earlier_definition")
+    publish_views(lake)
+    return f.spark.newSession().table(lake.config.qualify(gold, "oee_daily_view"))
+
+
 def built_lake(f: Frames) -> DataFrame:
     lake = f.lake()
     failed = ingest_all(lake, f.feed.raw, BUILD_AS_OF).where("status = 'failed'")
@@ -708,6 +820,14 @@ QUERIES: dict[str, Callable[[Frames], DataFrame]] = {
     "snk10_reset": stored_reset,
     "snk11_file_sizes": stored_file_sizes,
     "mrg3_stored_upsert": stored_guarded_upsert,
+    "snk3_touched_days": touched_days,
+    "snk3_moved_days": moved_days,
+    "snk7_catalog_view": catalog_view,
+    "snk8_pruned_by_calendar": pruned_by_calendar,
+    "snk11_merged_files": compacted_fact,
+    "fct4_merged_readings": merged_readings,
+    "flt3_new_rows_only": curated_in_two_runs,
+    "scd3_identity_keys": numbered_history,
     "scd2_stored_history": stored_history,
     "aud1_row_counts": lambda f: row_counts(raw_tables(f)),
     "aud2_reconcile": reconciliation,

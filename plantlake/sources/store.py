@@ -26,8 +26,10 @@ from plantlake.operators.history import (
     placed_versions,
     with_version_key,
 )
+from plantlake.operators.identity import identity, with_place
 from plantlake.operators.merge import compared_rows, replace_rows
 
+VERSION_ID = "version_id"
 GROUP = "key_group"
 BATCH, CHANGE = "batch", "change"
 BEFORE, INSERTED, UPDATED = "before", "inserted", "updated"
@@ -257,7 +259,19 @@ def latest_images(changes: DataFrame, key: str) -> DataFrame:
 
 
 class HistoryTable(KeyedTable):
-    """A ``KeyedTable`` of validity intervals."""
+    """A ``KeyedTable`` of validity intervals.
+
+    Where its columns have ``version_id``, every new version gets a number that follows the highest
+    stored one. Numbers are dense and never change; only a run that is lost between two of its writes
+    leaves out those it did not get to store.
+    """
+
+    def _numbered(self, placed: DataFrame) -> DataFrame:
+        """Stored rows with a place, with their ``version_id``."""
+        if VERSION_ID not in self.columns.names:
+            return placed
+        highest = self._stored().agg(F.max(VERSION_ID)).first()[0] if self.exists() else None
+        return placed.withColumn(VERSION_ID, identity(placed, highest or 0))
 
     def track(
         self,
@@ -275,14 +289,19 @@ class HistoryTable(KeyedTable):
         batch = dedupe(require(source, [self.key]), [self.key], [ts])
         counted, seen = self._counted(first_versions(batch, self.key, ts, as_of))
         if not self.exists():
-            return self.load(with_version_key(counted, self.key, hash_col))
+            first = with_version_key(counted, self.key, hash_col)
+            if VERSION_ID in self.columns.names:
+                first = self._numbered(self._stage(with_place(first), "first"))
+            return self.load(first)
         known = self.read().drop("version_key")
         known = backfill_hash(known, hashed, hash_col) if hashed else known
         opened = self._stage(counted, "batch")
-        changes = self._stage(changes_of(known, opened, self.key, hash_col), "changes")
-        placed = self._grouped(
-            with_version_key(placed_versions(opened, changes, self.key), self.key, hash_col)
-        )
+        # One row per changed key, and so per new version.
+        changes = self._stage(with_place(changes_of(known, opened, self.key, hash_col)), "changes")
+        new_versions = placed_versions(opened, changes, self.key)
+        if VERSION_ID in self.columns.names:
+            new_versions = new_versions.join(self._numbered(changes).select(self.key, VERSION_ID), self.key)
+        placed = self._grouped(with_version_key(new_versions, self.key, hash_col))
         seen_before = changes.where(~F.col("is_new"))
         groups = self._groups_of(seen_before.select(self._group()))
         if groups:
@@ -392,6 +411,43 @@ class Lake:
         with self._overwriting("static"):
             writer.mode("overwrite").saveAsTable(self.config.qualify(schema, table))
 
+    def compact(
+        self, schema: str, table: str, partition_by: Sequence[str], file_bytes: int = 128 << 20, min_files: int = 8
+    ) -> int:
+        """Merge small files of a partitioned table; returns how many partitions were rewritten.
+
+        A partition is rewritten if it has at least ``min_files`` files below half of ``file_bytes`` and
+        would end with fewer files. Its files are dealt to new ones of about that size. Other partitions are
+        neither read, but for the footers of their files, nor written; a second call finds nothing to do.
+        """
+        name, by = self.config.qualify(schema, table), list(partition_by)
+        path, size = F.col("_metadata.file_path"), F.col("_metadata.file_size")
+        files = self.spark.table(name).select(*by, path.alias("_path"), size.alias("_size")).distinct()
+        small = F.count(F.when(F.col("_size") < file_bytes // 2, True))
+        wanted = F.ceil(F.sum("_size") / file_bytes).cast("int")
+        crowded = files.groupBy(*by).agg(small.alias("_small"), F.count("*").alias("_n"), wanted.alias("_files"))
+        crowded = crowded.where((F.col("_small") >= min_files) & (F.col("_files") < F.col("_n")))
+        found = crowded.select(*by, "_files").collect()
+        if not found:
+            return 0
+        chosen = self.spark.createDataFrame(found, crowded.select(*by, "_files").schema).alias("c")
+        rows = self.spark.table(name).withColumn("_path", path).alias("r")
+        met = F.lit(True)
+        for c in by:
+            met = met & F.col(f"r.{c}").eqNullSafe(F.col(f"c.{c}"))
+        dealt = F.pmod(F.xxhash64("_path"), F.col("_files")).alias("_deal")
+        columns = self.spark.table(name).columns
+        packed = rows.join(F.broadcast(chosen), met).select(*[F.col(f"r.{c}").alias(c) for c in columns], dealt)
+        packed = packed.repartition(sum(r["_files"] for r in found), *by, "_deal").drop("_deal")
+        self.overwrite_partitions(packed, name)
+        return len(found)
+
+    def publish_view(self, schema: str, view: str, text: str) -> DataFrame:
+        """Define or replace a view in the catalog, where every session and tool finds it."""
+        name = self.config.qualify(schema, view)
+        self.spark.sql(f"CREATE OR REPLACE VIEW {name} AS {text}")
+        return self.spark.table(name)
+
     def replace(self, df: DataFrame, schema: str, table: str) -> None:
         """Replace a dimension by the result of a query."""
         self.overwrite(df, schema, table)
