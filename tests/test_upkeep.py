@@ -69,9 +69,7 @@ def test_calendar_prunes_directories(spark, lake):
     found = reports.production_by_calendar(lake.read(gold, "fact"), lake.read(gold, "dim_date"), date(2024, 1, 4), date(2024, 1, 9))
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "dynamicpruning" in plan
-    assert found.count() == 8 and {r.full_date.day for r in found.collect()} == {4, 5, 8, 9}
-    scanned = found._jdf.queryExecution().executedPlan().toString()
-    assert "start_date_key" in scanned
+    assert sorted((r.full_date.day, r.orders) for r in found.collect()) == [(4, 10), (5, 10), (8, 10), (9, 10)]
 
 
 def test_catalog_views_in_another_session(spark, lake):
