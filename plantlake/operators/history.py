@@ -139,8 +139,8 @@ def as_of_lookup(
 ) -> DataFrame:
     """The rows of ``as_of_join`` (left), in one sorted pass over versions and events of each key.
 
-    The last version that has started is carried forward to the events behind it, so that no event meets
-    more than one version however many a key has. Events without key or time have none. With
+    For keys with many versions: the last version that has started is carried forward to the events behind
+    it, so that no event meets more than one. With few versions the join is faster. Events without key or time have none. With
     ``bucket_days`` a key is split into spans of so many days, each of which starts with the version carried
     into it; that reads key and time of the events once more, and spreads a key with many events.
     """

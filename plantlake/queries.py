@@ -18,6 +18,7 @@ from plantlake.operators.curate import EntitySpec, curate, latest, stage, window
 from plantlake.operators.filters import recent, require
 from plantlake.operators.history import (
     apply_history,
+    as_of_join,
     as_of_lookup,
     first_versions,
     with_version_key,
@@ -365,13 +366,13 @@ def version_keys(f: Frames) -> DataFrame:
     )
 
 
-def version_at(f: Frames) -> DataFrame:
+def version_at(f: Frames, look_up=as_of_join) -> DataFrame:
     events = f.curated(PRODUCTION).select("production_order_id", "equipment_id", "actual_start")
     versions = f.next_history().select(
         "equipment_id", F.col("status").alias("equipment_status"), "location",
         "effective_start", "effective_end",
     )
-    return as_of_lookup(events, versions, "equipment_id", "actual_start")
+    return look_up(events, versions, "equipment_id", "actual_start")
 
 
 # --- calendar -------------------------------------------------------------------------------------
@@ -753,6 +754,7 @@ QUERIES: dict[str, Callable[[Frames], DataFrame]] = {
     "scd2_current": opened_versions,
     "scd3_version_keys": version_keys,
     "scd4_version_at": version_at,
+    "scd4_carried_version": lambda f: version_at(f, as_of_lookup),
     "cal1_calendar": lambda f: f.sensor_dates,
     "cal2_localized_calendar": localized_dates,
     "cal3_date_key": date_keys,
