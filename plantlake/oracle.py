@@ -913,6 +913,7 @@ STATEMENTS["aud4_ingest_summary"] = " UNION ALL ".join(
 )
 STATEMENTS["snk2_stored_upsert"] = STATEMENTS["snk2_upsert_unguarded"]
 STATEMENTS["mrg3_stored_upsert"] = STATEMENTS["mrg3_production_orders"]
+STATEMENTS["snk2_bucketed_upsert"] = STATEMENTS["mrg3_production_orders"]
 STATEMENTS["scd4_carried_version"] = STATEMENTS["scd4_version_at"]
 STATEMENTS["scd2_stored_history"] = STATEMENTS["scd2_history"]
 

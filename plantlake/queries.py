@@ -485,6 +485,17 @@ def stored_guarded_upsert(f: Frames) -> DataFrame:
     return table.read()
 
 
+def bucketed_upsert(f: Frames) -> DataFrame:
+    """As the guarded upsert, into a table bucketed by its key."""
+    batch = f.curated(PRODUCTION)
+    lake = f.lake()
+    table = lake.keyed(lake.config.curated, PRODUCTION.name, batch.schema, PRODUCTION.key, bucketed=True)
+    table.load(f.curated_first(PRODUCTION))
+    for _ in range(2):
+        table.upsert(batch, TABLE_HASH, latest_by=["last_update"])
+    return table.read()
+
+
 def stored_history(f: Frames) -> DataFrame:
     batch = f.curated(EQUIPMENT_VERSIONS)
     table = history_table(f.lake(), batch, 16)
@@ -822,6 +833,7 @@ QUERIES: dict[str, Callable[[Frames], DataFrame]] = {
     "snk10_reset": stored_reset,
     "snk11_file_sizes": stored_file_sizes,
     "mrg3_stored_upsert": stored_guarded_upsert,
+    "snk2_bucketed_upsert": bucketed_upsert,
     "snk3_touched_days": touched_days,
     "snk3_moved_days": moved_days,
     "snk7_catalog_view": catalog_view,

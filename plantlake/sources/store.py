@@ -46,6 +46,10 @@ class KeyedTable:
     number: rows as they were before, updated rows and inserted ones. Then it changes the table, then it
     notes the batch as done. A run that is lost in between is finished by the next one from the log. Who
     derives tables from this one reads ``changes`` since the last batch they saw, not the table.
+
+    With ``bucketed`` the groups are Spark's buckets of the key too: a join by the key takes the table as it
+    lies, and only the batch is shuffled. A rewritten group then stays in the task that has joined it. It is
+    chosen when the table is created, like ``key_groups``.
     """
 
     def __init__(
@@ -57,6 +61,7 @@ class KeyedTable:
         key: str,
         key_groups: int = 16,
         logged: bool = False,
+        bucketed: bool = False,
     ):
         self.lake = lake
         self.spark = lake.spark
@@ -68,6 +73,7 @@ class KeyedTable:
         self.key = key
         self.key_groups = key_groups
         self.logged = logged
+        self.bucketed = bucketed
 
     def exists(self) -> bool:
         """False also for a table whose first load was lost: it is then loaded again."""
@@ -90,6 +96,8 @@ class KeyedTable:
         groups = self.noted("key_groups")
         if groups != str(self.key_groups):
             raise ValueError(f"{self.name} has {groups} key groups, not {self.key_groups}")
+        if (self.noted("bucketed") == "true") != self.bucketed:
+            raise ValueError(f"{self.name} was created with another choice of buckets")
         return self.spark.table(self.name)
 
     def read(self) -> DataFrame:
@@ -98,7 +106,9 @@ class KeyedTable:
         return self._stored().drop(GROUP)
 
     def _group(self) -> Column:
-        return F.pmod(F.xxhash64(F.col(self.key)), F.lit(self.key_groups)).cast("int").alias(GROUP)
+        # Buckets go by Spark's 32-bit hash, so that group and bucket are one.
+        hashed = F.hash(F.col(self.key)) if self.bucketed else F.xxhash64(F.col(self.key))
+        return F.pmod(hashed, F.lit(self.key_groups)).cast("int").alias(GROUP)
 
     def _grouped(self, df: DataFrame) -> DataFrame:
         return df.select(*self.columns.names, self._group())
@@ -119,9 +129,11 @@ class KeyedTable:
         self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
         self.spark.sql(f"DROP TABLE IF EXISTS {self.log_name}")
         listed = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self.columns)
+        buckets = f" CLUSTERED BY (`{self.key}`) INTO {self.key_groups} BUCKETS" if self.bucketed else ""
         self.spark.sql(
-            f"CREATE TABLE {self.name} ({listed}, {GROUP} int) USING parquet PARTITIONED BY ({GROUP})"
-            f" TBLPROPERTIES ('plantlake.key_groups' = '{self.key_groups}', 'plantlake.loading' = 'true')"
+            f"CREATE TABLE {self.name} ({listed}, {GROUP} int) USING parquet PARTITIONED BY ({GROUP}){buckets}"
+            f" TBLPROPERTIES ('plantlake.key_groups' = '{self.key_groups}', 'plantlake.loading' = 'true',"
+            f" 'plantlake.bucketed' = '{str(self.bucketed).lower()}')"
         )
         counted, seen = self._counted(self._grouped(df))
         self._append(counted)
@@ -138,8 +150,8 @@ class KeyedTable:
         new.hint("rebalance", GROUP).write.mode("append").insertInto(self.name)
 
     def _overwrite(self, rows: DataFrame) -> None:
-        """Replace the partitions that occur in ``rows``."""
-        self.lake.overwrite_partitions(rows.hint("rebalance", GROUP), self.name)
+        """Replace the partitions that occur in ``rows``. Rows read by bucket are in their groups' tasks already."""
+        self.lake.overwrite_partitions(rows if self.bucketed else rows.hint("rebalance", GROUP), self.name)
 
     def _groups_of(self, df: DataFrame) -> list[int]:
         """Groups that occur in ``df``: at most ``key_groups`` numbers."""
@@ -461,9 +473,9 @@ class Lake:
 
     def keyed(
         self, schema: str, table: str, columns: StructType, key: str, key_groups: int = 16,
-        logged: bool = False,
+        logged: bool = False, bucketed: bool = False,
     ) -> KeyedTable:
-        return KeyedTable(self, schema, table, columns, key, key_groups, logged)
+        return KeyedTable(self, schema, table, columns, key, key_groups, logged, bucketed)
 
     def history(
         self, schema: str, table: str, columns: StructType, key: str, key_groups: int = 16

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from plantlake.config import LakeConfig
 from plantlake.operators.history import as_of_join, as_of_lookup
 from plantlake.operators.identity import identity, with_place
+from plantlake.operators.merge import compared_rows, replace_rows
 from plantlake.plans import reports, views
 from plantlake.plans.view_text import publish_views
 from plantlake.sources.store import Lake
@@ -129,3 +130,62 @@ def test_many_versions_of_one_machine_make_no_product(spark, bucket_days):
     found = as_of_lookup(events, history, "machine", "ts", bucket_days)
     assert "Join" not in found._jdf.queryExecution().optimizedPlan().toString()
     assert found.where(F.floor(F.col("id") * 37 / 60) == F.col("version")).count() == found.where("version is not null").count() == 16217
+
+
+def exchanges(df):
+    """Shuffles of a plan, each with the tables and folders scanned below it."""
+    plan = df._jdf.queryExecution().executedPlan().toString().splitlines()
+    found = []
+    for i, line in enumerate(plan):
+        if "Exchange hashpartitioning" in line:
+            depth = line.index("Exchange")
+            below = []
+            for under in plan[i + 1 :]:
+                if len(under) - len(under.lstrip(" :+-*(0123456789)")) <= depth:
+                    break
+                below.append(under)
+            found.append(" ".join(x for x in below if "FileScan" in x))
+    return found
+
+
+def test_bucketed_upsert_leaves_the_table_in_place(spark, lake):
+    gold = lake.config.gold
+
+    def rows(first, last, tag):
+        return spark.range(first, last).select(
+            F.concat(F.lit("K"), "id").alias("k"), F.lit(tag).alias("v"), F.md5(F.lit(tag)).alias("h")
+        )
+
+    table = lake.keyed(gold, "orders", rows(0, 0, "a").schema, "k", key_groups=4, bucketed=True)
+    assert table.load(rows(0, 200, "a")) == 200
+    # A key's group is its bucket, also the one in the file's name.
+    for path in paths(lake, "orders"):
+        assert int(path.stem.split("_")[-1].split(".")[0]) == int(path.parent.name.split("=")[1])
+    assert table.upsert(rows(190, 210, "b"), "h") == 20
+    assert table.upsert(rows(190, 210, "b"), "h") == 20
+    found = {r.k: r.v for r in table.read().collect()}
+    assert found == {f"K{i}": "b" if i >= 190 else "a" for i in range(210)}
+    files = paths(lake, "orders")
+    one = table.read().where("k = 'K5'").select("k", F.lit("c").alias("v"), F.lit("c").alias("h"))
+    assert table.upsert(spark.createDataFrame(one.collect(), one.schema), "h") == 1
+    assert len({p.parent for p in set(files) - set(paths(lake, "orders"))}) == 1
+
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        batch = table._stage(table._grouped(rows(0, 30, "d")), "plan")
+        stored = spark.table(table.name)
+        compared = exchanges(compared_rows(stored.drop("key_group"), batch, "k", "h"))
+        replaced = exchanges(replace_rows(stored, batch, "k"))
+        for scans in (compared, replaced):
+            assert scans and all(f"{gold}.orders" not in s for s in scans)
+        plain = lake.keyed(gold, "plain", rows(0, 0, "a").schema, "k", key_groups=4)
+        plain.load(rows(0, 200, "a"))
+        assert any(f"{gold}.plain" in s for s in exchanges(replace_rows(spark.table(plain.name), batch, "k")))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    with pytest.raises(ValueError, match="buckets"):
+        lake.keyed(gold, "orders", rows(0, 0, "a").schema, "k", key_groups=4)._stored()
