@@ -1,9 +1,11 @@
 """Mix sources to target weights by Pareto order sampling.
 
-Each source has a target in words. A document's expected number of copies is its source's target over
-its source's size: the whole part is certain, the rest is an inclusion probability. For that rest the
-documents of a source are ranked by random odds divided by inclusion odds, and taken in this order
-until the target is reached. Only DataFrame functions are used.
+Each source has a target in words. Within it a document's expected number of copies falls mildly with its
+length, as repeating a long document costs many words for the variety of one; the level is such that the
+expected words of a source are its target. The whole part of that number is certain, the rest is the document's
+inclusion probability, which so differs from document to document. For that rest the documents of a source are
+ranked by random odds divided by inclusion odds, and taken in this order up to a fixed size: the words that the
+target leaves after the certain copies. Only DataFrame functions are used.
 """
 
 from __future__ import annotations
@@ -27,11 +29,17 @@ WORD = r"[^\x20\x09-\x0D]+"
 @dataclass(frozen=True)
 class MixRule:
     """``weights`` go round the sources by name (null last); all share ``share`` of all words; no
-    target exceeds ``most`` times its source."""
+    target exceeds ``most`` times its source, and no document is expected more than ``most`` times.
+
+    A document of 2^k words is expected ``ease`` / (``ease`` + k) times as often as one of one word; with no
+    ``ease`` all documents of a source are expected alike. Another ``seed`` draws another sample.
+    """
 
     weights: Sequence[float] = (3, 1, 2)
     share: float = 1.5
     most: float = 2.0
+    ease: float | None = 8.0
+    seed: str = ""
 
 
 def words(text: str | Column) -> Column:
@@ -70,37 +78,80 @@ def source_targets(totals: DataFrame, rule: MixRule) -> DataFrame:
     return found.select("source", "source_size", target.alias("target"))
 
 
-def uniform(key: Column) -> Column:
-    """A number between 0 and 1 that depends on the key alone."""
-    digits = F.substring(F.md5(F.coalesce(key.cast("string"), F.lit(""))), 1, 12)
+def uniform(key: Column, seed: str = "") -> Column:
+    """A number between 0 and 1 that depends on the key and the seed alone."""
+    digits = F.substring(F.md5(F.concat(F.lit(seed), F.coalesce(key.cast("string"), F.lit("")))), 1, 12)
     return (F.conv(digits, 16, 10).cast("long") + F.lit(0.5)) / F.lit(float(1 << 48))
 
 
-def with_rank(sized: DataFrame) -> DataFrame:
-    """Pareto rank of each row: random odds over inclusion odds; null where nothing is left to chance."""
-    part = F.col("part")
-    odds = F.col("u") / (1 - F.col("u"))
+def length_class(size: Column) -> Column:
+    """The k of 2^k <= size < 2^(k + 1); 0 where there are no words."""
+    return F.length(F.bin(F.greatest(size, F.lit(1).cast("long")))) - 1
+
+
+def preference(of_class: Column, rule: MixRule) -> Column:
+    return F.lit(1.0) if rule.ease is None else F.lit(rule.ease) / (F.lit(rule.ease) + of_class)
+
+
+def expected_copies(preferred: Column, rule: MixRule) -> Column:
+    """Of a row joined to its source's ``source_size``, ``target`` and ``level``."""
+    full = F.col("target") >= rule.most * F.col("source_size")
+    some = F.least(F.lit(float(rule.most)), F.coalesce("level", F.lit(0.0)) * preferred)
+    return F.when(F.col("source_size") == 0, 0.0).when(full, float(rule.most)).otherwise(some)
+
+
+def with_rank(sized: DataFrame, rule: MixRule) -> DataFrame:
+    """Certain copies, inclusion probability and Pareto rank of each row.
+
+    The rank is random odds over inclusion odds, null where nothing is left to chance.
+    """
+    expected = expected_copies(preference(length_class(F.col("size")), rule), rule)
+    parted = sized.withColumn("expected", expected).withColumn("whole", F.floor("expected"))
+    parted = parted.withColumn("part", F.col("expected") - F.col("whole"))
+    part, odds = F.col("part"), F.col("u") / (1 - F.col("u"))
     rank = F.when(part > 0, odds / (part / (1 - part)))
     step = F.floor(rank / (1 + rank) * STEPS)
-    return sized.withColumn("rank", rank).withColumn("step", step)
+    return parted.withColumn("rank", rank).withColumn("step", step)
+
+
+def levels(classes: DataFrame, targets: DataFrame, rule: MixRule, sent: bool) -> DataFrame:
+    """``targets`` with ``level``, and ``rest``, the words left to chance: one row per source.
+
+    ``classes`` has the words of each source's length classes, 64 at most. Expected copies of a class are
+    level times its preference, but no more than ``most``; classes reach that from the shortest on.
+    """
+    kept = join_source(classes.where("words > 0"), targets, sent)
+    order = Window.partitionBy("source").orderBy("class")
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    onward = order.rowsBetween(0, Window.unboundedFollowing)
+    preferred = preference(F.col("class"), rule)
+    level = (F.col("target") - rule.most * F.coalesce(F.sum("words").over(before), F.lit(0))) / F.sum(
+        preferred * F.col("words")
+    ).over(onward)
+    last = F.lead("class").over(order).isNull()
+    tried = kept.withColumn("tried", level).withColumn("last", last)
+    is_open = (F.col("tried") * preferred <= rule.most) | F.col("last")
+    first = F.min(F.when(is_open, F.struct("class", "tried"))).over(Window.partitionBy("source"))
+    levelled = tried.withColumn("level", first["tried"])
+    certain = F.floor(expected_copies(preferred, rule)) * F.col("words")
+    found = levelled.groupBy("source").agg(F.first("level").alias("level"), F.sum(certain).alias("certain"))
+    joined = join_source(targets, found, sent, "left")
+    return joined.withColumn("rest", F.col("target") - F.coalesce("certain", F.lit(0))).drop("certain")
 
 
 def cuts(sized: DataFrame, rule: MixRule) -> DataFrame:
-    """One row per source: its target, whole copies, and the last row of the rank order it takes.
+    """One row per source: its target, its level, and the last row of the rank order it takes.
 
-    ``sized`` has id, source, size and u. Sizes are summed per source and step, so that a source with
-    most of all rows meets in no task; rows are put in order only in the one step the target falls in.
+    ``sized`` has id, source, size and u. Sizes are summed per source and length class, then per source and
+    step, so that a source with most of all rows meets in no task; rows are put in order only in the one
+    step the fixed size falls in.
     """
-    totals = store(sized.groupBy("source").agg(F.sum("size").alias("source_size")), "sources")
-    targets = source_targets(totals, rule)
+    per_class = sized.groupBy("source", length_class(F.col("size")).alias("class")).agg(F.sum("size").alias("words"))
+    classes = store(per_class, "classes")
+    totals = store(classes.groupBy("source").agg(F.sum("words").alias("source_size")), "sources")
     sent = totals.count() <= SENT_SOURCES
-    copies = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    whole = F.floor(copies)
-    targets = targets.select(
-        "source", "source_size", "target", whole.alias("whole"), (copies - whole).alias("part"),
-        (F.col("target") - whole * F.col("source_size")).alias("rest"),
-    )
-    ranked = with_rank(join_source(sized, targets, sent)).where(F.col("part") > 0)
+    targets = levels(classes, source_targets(totals, rule), rule, sent)
+    ranked = with_rank(join_source(sized, targets, sent), rule).where(F.col("part") > 0)
     steps = ranked.groupBy("source", "step", "rest").agg(F.sum("size").alias("words"))
     reached = F.sum("words").over(
         Window.partitionBy("source").orderBy("step").rowsBetween(Window.unboundedPreceding, 0)
@@ -133,24 +184,26 @@ def copies() -> Column:
     return F.col("whole") + drawn.cast("long")
 
 
-def size_rows(docs: DataFrame, *more: Column, text: str = "text", source: str = "source", doc_id: str = "doc_id") -> DataFrame:
+def size_rows(
+    docs: DataFrame, rule: MixRule, *more: Column, text: str = "text", source: str = "source", doc_id: str = "doc_id"
+) -> DataFrame:
     return docs.select(
         *more, docs[doc_id].alias("id"), docs[source].alias("source"), words(docs[text]).alias("size"),
-        uniform(docs[doc_id]).alias("u"),
+        uniform(docs[doc_id], rule.seed).alias("u"),
     )
 
 
 def mix_counts(docs: DataFrame, rule: MixRule = MixRule(), **names: str) -> DataFrame:
-    """Per document: id, source, size, source_size, target and copies taken.
+    """Per document: id, source, size, source_size, target, expected copies and copies taken.
 
     Texts are measured once and only ids, sources and sizes are kept for the rest. A null or blank text
     has size 0, a null source is a source, a null id is like an empty one; rows of one id, source and
     size are taken or left alike. The same rows give the same result on every run.
     """
-    sized = store(size_rows(docs, **names), "mix")
+    sized = store(size_rows(docs, rule, **names), "mix")
     found = cuts(sized, rule)
-    ranked = with_rank(join_source(sized, found, found.count() <= SENT_SOURCES))
-    return ranked.select("id", "source", "size", "source_size", "target", copies().alias("copies"))
+    ranked = with_rank(join_source(sized, found, found.count() <= SENT_SOURCES), rule)
+    return ranked.select("id", "source", "size", "source_size", "target", "expected", copies().alias("copies"))
 
 
 def mix(docs: DataFrame, rule: MixRule = MixRule(), **names: str) -> DataFrame:
@@ -158,10 +211,10 @@ def mix(docs: DataFrame, rule: MixRule = MixRule(), **names: str) -> DataFrame:
 
     The texts are not shuffled: each row finds its copies from its own id and size and its source's cut.
     """
-    sized = store(size_rows(docs, **names), "mix")
+    sized = store(size_rows(docs, rule, **names), "mix")
     own = [docs[c].alias(f"c{i}") for i, c in enumerate(docs.columns)]
     found = cuts(sized, rule)
-    ranked = with_rank(join_source(size_rows(docs, *own, **names), found, found.count() <= SENT_SOURCES))
+    ranked = with_rank(join_source(size_rows(docs, rule, *own, **names), found, found.count() <= SENT_SOURCES), rule)
     repeated = ranked.withColumn("copies", copies()).where("copies > 0")
     repeated = repeated.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
     return repeated.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)])

@@ -170,14 +170,31 @@ targets AS (
   SELECT source, source_size, CASE WHEN l.place < o.place THEN full_size
     ELSE least((SELECT level FROM levels WHERE place = o.place) * weight, full_size) END AS target
   FROM levels l, opening o),
-rated AS (SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS copies FROM targets),
+classes AS (
+  SELECT source, length(bin(greatest(size, 1))) - 1 AS class, CAST(sum(size) AS BIGINT) AS words,
+    8.0::DOUBLE / (8.0::DOUBLE + length(bin(greatest(size, 1))) - 1) AS preferred
+  FROM sized GROUP BY ALL HAVING sum(size) > 0),
+tried AS (
+  SELECT t.*, class, words, preferred, lead(class) OVER by_class IS NULL AS final,
+    (target - 2.0::DOUBLE * coalesce(sum(words) OVER (by_class ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+      / sum(preferred * words) OVER (by_class ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+  FROM classes c JOIN targets t ON c.source IS NOT DISTINCT FROM t.source
+  WINDOW by_class AS (PARTITION BY c.source ORDER BY class)),
+source_level AS (
+  SELECT source, arg_min(level, class) AS level FROM tried WHERE level * preferred <= 2 OR final GROUP BY source),
+expected AS (
+  SELECT doc_id, size, u, t.source, source_size, target,
+    CASE WHEN source_size = 0 THEN 0 WHEN target >= 2.0::DOUBLE * source_size THEN 2.0::DOUBLE
+      ELSE least(2.0::DOUBLE, l.level * (8.0::DOUBLE / (8.0::DOUBLE + length(bin(greatest(size, 1))) - 1))) END AS copies
+  FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source
+    LEFT JOIN source_level l ON l.source IS NOT DISTINCT FROM t.source),
 ranked AS (
-  SELECT doc_id, size, source_size, target, floor(copies) AS whole, copies - floor(copies) AS part, r.source,
-    target - floor(copies) * source_size AS rest,
+  SELECT doc_id, size, source, source_size, target, floor(copies) AS whole,
+    target - sum(floor(copies) * size) OVER (PARTITION BY source) AS rest,
     CASE WHEN copies > floor(copies) THEN (u / (1 - u)) / ((copies - floor(copies)) / (1 - (copies - floor(copies)))) END AS rank
-  FROM sized s JOIN rated r ON s.source IS NOT DISTINCT FROM r.source),
+  FROM expected),
 drawn AS (
-  SELECT *, rank IS NOT NULL AND sum(size) OVER (PARTITION BY source ORDER BY rank, doc_id, size ROWS UNBOUNDED PRECEDING) - size / 2.0 <= rest AS taken_once
+  SELECT *, rank IS NOT NULL AND sum(size) OVER (PARTITION BY source ORDER BY rank NULLS LAST, doc_id, size ROWS UNBOUNDED PRECEDING) - size / 2.0 <= rest AS taken_once
   FROM ranked)
 SELECT doc_id, size, source_size, target, CAST((whole + CAST(taken_once AS INTEGER)) * size AS BIGINT) AS taken FROM drawn
 """

@@ -67,3 +67,32 @@ def test_odd_rows(spark):
     assert mixing.mix_counts(documents(spark, [])).count() == 0 and mixing.mix(documents(spark, [])).count() == 0
     blank = documents(spark, [(1, "", "en", "a"), (2, None, "en", None)])
     assert [r.copies for r in mixing.mix_counts(blank).collect()] == [0, 0]
+
+
+def test_inclusion_follows_the_given_odds(spark):
+    """Over seeds each document is taken as often as it is expected, and words are near the target each time."""
+    docs = documents(spark, [(i, "w " * (2 ** (i % 9)), "en", "ab"[i % 5 == 0]) for i in range(2700)])
+    seeds = 5
+    taken, expected, targets = defaultdict(int), {}, {}
+    for seed in range(seeds):
+        words = defaultdict(int)
+        for r in mixing.mix_counts(docs, MixRule((1, 4), 0.8, 2.0, seed=str(seed))).collect():
+            taken[r.id] += r.copies
+            words[r.source] += r.copies * r["size"]
+            expected[r.id], targets[r.source] = r.expected, r.target
+            assert r.expected - 1 < r.copies < r.expected + 1
+        assert all(abs(words[s] - targets[s]) <= 128 for s in words)
+    by_class, wanted = defaultdict(int), defaultdict(float)
+    for i in range(2700):
+        key = (i % 5 == 0, i % 9)
+        by_class[key] += taken[i]
+        wanted[key] += seeds * expected[i]
+    assert len({round(e, 6) for e in expected.values()}) >= 10
+    for key, n in wanted.items():
+        assert abs(by_class[key] - n) <= 4 * max(n, 1) ** 0.5 + 0.02 * n, (key, by_class[key], n)
+
+
+def test_alike_without_ease(spark):
+    docs = documents(spark, [(i, "w " * (i + 1), "en", "abc"[i % 3]) for i in range(60)])
+    found = mixing.mix_counts(docs, MixRule(ease=None)).collect()
+    assert all(abs(r.expected - r.target / r.source_size) < 1e-9 for r in found)
