@@ -150,7 +150,7 @@ def cuts(sized: DataFrame, rule: MixRule) -> DataFrame:
     classes = store(per_class, "classes")
     totals = store(classes.groupBy("source").agg(F.sum("words").alias("source_size")), "sources")
     sent = totals.count() <= SENT_SOURCES
-    targets = levels(classes, source_targets(totals, rule), rule, sent)
+    targets = store(levels(classes, source_targets(totals, rule), rule, sent), "levels")
     ranked = with_rank(join_source(sized, targets, sent), rule).where(F.col("part") > 0)
     steps = ranked.groupBy("source", "step", "rest").agg(F.sum("size").alias("words"))
     reached = F.sum("words").over(
