@@ -29,6 +29,8 @@ SEED = 7
 SPREAD = np.uint64(0x9E3779B97F4A7C15)
 BASE = 0x100000001B3
 SPACE = 32
+#: Longer documents are taken in parts of about so many bytes.
+PART_BYTES = 1 << 20
 
 
 @lru_cache(maxsize=2)
@@ -85,6 +87,77 @@ def features(codes: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarra
     yield np.zeros(len(same), np.int32), same, np.minimum(bounds, len(follows))
 
 
+def parts(codes: np.ndarray, size: int | None = None) -> Iterator[tuple[np.ndarray, int]]:
+    """Parts of one document, with signs, whose features add up to those of the whole.
+
+    Cuts lie at blanks. A part starts with the last word of the one before, for the pair that the cut would
+    lose; that word by itself is then taken off once. A single word is never cut.
+    """
+    size = size or PART_BYTES
+    first, reached = 0, 0
+    while True:
+        end = _blank_from(codes, reached + size, size)
+        part = codes[first:end]
+        yield part, 1
+        if end == len(codes):
+            return
+        blank = _is_blank(part)
+        inner = np.flatnonzero(~blank)
+        reached = end
+        if not len(inner):
+            first = end
+            continue
+        last = int(inner[-1]) + 1
+        before = np.flatnonzero(blank[:last])
+        start = int(before[-1]) + 1 if len(before) else 0
+        yield part[start:last], -1
+        first += start
+
+
+def _is_blank(codes: np.ndarray) -> np.ndarray:
+    return (codes == SPACE) | ((codes >= 9) & (codes <= 13))
+
+
+def _blank_from(codes: np.ndarray, place: int, size: int) -> int:
+    """The first blank from ``place`` on, or the end."""
+    while place < len(codes):
+        found = np.flatnonzero(_is_blank(codes[place : place + size]))
+        if len(found):
+            return place + int(found[0])
+        place += size
+    return len(codes)
+
+
+def feature_counts(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The features of one document, ascending, and how often it has each."""
+    if len(codes) <= PART_BYTES:
+        kinds = features(codes, np.array([0, len(codes)]))
+        return np.unique(np.concatenate([b[valid] for b, valid, _ in kinds]), return_counts=True)
+    total = np.zeros(1 << BITS, np.int64)
+    for part, sign in parts(codes):
+        for buckets, valid, _ in features(part, np.array([0, len(part)])):
+            total += sign * np.bincount(buckets[valid], minlength=1 << BITS)
+    idx = np.flatnonzero(total)
+    return idx, total[idx]
+
+
+def feature_sums(codes: np.ndarray, offsets: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Summed weights of the features of each document, and their number."""
+    if len(offsets) == 2 and len(codes) > PART_BYTES:
+        sums, counts = np.zeros(1), np.zeros(1)
+        for part, sign in parts(codes):
+            for buckets, valid, _ in features(part, np.array([0, len(part)])):
+                sums += sign * weights[buckets[valid]].sum(dtype=np.float64)
+                counts += sign * int(valid.sum())
+        return sums, counts
+    sums, counts = np.zeros(len(offsets) - 1), np.zeros(len(offsets) - 1)
+    for buckets, valid, bounds in features(codes, offsets):
+        reached = np.append(0, np.cumsum(weights[buckets] * valid, dtype=np.float64))
+        sums += np.diff(reached[bounds])
+        counts += np.diff(np.append(0, np.cumsum(valid))[bounds])
+    return sums, counts
+
+
 def learn(rows: list[tuple[int, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, float]:
     """Weight of each feature and the bias, for the log-odds of label 1.
 
@@ -118,8 +191,7 @@ def learn(rows: list[tuple[int, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, f
 def _featurize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for rows in batches:
         for i in range(rows.num_rows):
-            kinds = features(*byte_column(rows.column(2).slice(i, 1)))
-            idx, counts = np.unique(np.concatenate([b[valid] for b, valid, _ in kinds]), return_counts=True)
+            idx, counts = feature_counts(byte_column(rows.column(2).slice(i, 1))[0])
             data = [pa.array([x.astype(np.int32).tobytes()], pa.binary()) for x in (idx, counts)]
             yield pa.RecordBatch.from_arrays([*(rows.column(k).slice(i, 1) for k in (0, 1)), *data], ["rank", "label", "idx", "n"])
 
@@ -158,13 +230,9 @@ def _score(batches: Iterator[pa.RecordBatch], model) -> Iterator[pa.RecordBatch]
     for rows in batches:
         codes, offsets = byte_column(rows.column(rows.num_columns - 1))
         scores = np.zeros(rows.num_rows)
-        for a, b in chunks(offsets, 1 << 20):
+        for a, b in chunks(offsets, PART_BYTES):
             part = offsets[a : b + 1]
-            sums, counts = np.zeros(b - a), np.zeros(b - a)
-            for buckets, valid, bounds in features(codes[part[0] : part[-1]], part - part[0]):
-                reached = np.append(0, np.cumsum(weights[buckets] * valid, dtype=np.float64))
-                sums += np.diff(reached[bounds])
-                counts += np.diff(np.append(0, np.cumsum(valid))[bounds])
+            sums, counts = feature_sums(codes[part[0] : part[-1]], part - part[0], weights)
             scores[a:b] = 1 / (1 + np.exp(-(sums / np.maximum(counts, 1) + bias)))
         yield pa.RecordBatch.from_arrays([*rows.columns[:-1], pa.array(scores)], rows.schema.names[:-1] + ["_score"])
 
@@ -173,7 +241,7 @@ def score(docs: DataFrame, model: tuple[bytes, float], text: str = "text", out:
     """``docs`` with the probability of label 1 in ``out``, in place of the text.
 
     One row for each row, in one narrow pass. Null and empty texts get the model's bias; repeated rows
-    score alike. Other columns stay, whatever their names; a column called ``out`` is replaced. The
+    score alike. A text longer than ``PART_BYTES`` is taken in parts, a single word whole. Other columns stay, whatever their names; a column called ``out`` is replaced. The
     model that is broadcast has 2**BITS numbers, whatever the input.
     """
     keep = [c for c in docs.columns if c not in (text, out)]

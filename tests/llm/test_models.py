@@ -55,6 +55,105 @@ def test_features_do_not_cross_documents():
     assert bags(texts) == [bags([t])[0] for t in texts]
 
 
+def plain_features(text):
+    """Buckets of a document by a plain loop over its bytes."""
+    whole, spread = (1 << 64) - 1, 0x9E3779B97F4A7C15
+    data = b" " + bytes(32 if 9 <= c <= 13 else c for c in text.encode()) + b" "
+
+    def small(value, kind):
+        mixed = ((value ^ kind) * 0x9E3779B1) & 0xFFFFFFFF
+        return (((mixed ^ mixed >> 15) * 0x85EBCA77) & 0xFFFFFFFF) >> 14
+
+    found = Counter()
+    for i in range(1, len(data) - 1):
+        if data[i] != 32:
+            found[small(int.from_bytes(data[i - 1 : i + 2], "big"), 0)] += 1
+            if i + 2 < len(data) and data[i + 1] != 32:
+                found[small(int.from_bytes(data[i - 1 : i + 3], "big"), 0x5BD1E995)] += 1
+    hashes = []
+    for word in data.split(b" "):
+        if word:
+            h = sum(c * pow(quality.BASE, j, 1 << 64) for j, c in enumerate(word)) & whole
+            hashes.append(h ^ h >> 29)
+    for h in hashes:
+        found[(h * 3 * spread & whole) >> 46] += 1
+    for one, two in zip(hashes, hashes[1:], strict=False):
+        found[((one * quality.BASE + two) * spread & whole) >> 46] += 1
+        found[0] += one == two
+    return +found
+
+
+def counts_of(text):
+    idx, n = quality.feature_counts(byte_column(pa.array([text]))[0])
+    return dict(zip(idx.tolist(), n.tolist(), strict=True))
+
+
+PLAIN_TEXTS = ["ab cd cd\tcd ef", "", "  ", "x", "ça  va\n\nça va 漢字 ", prose(4, 200), "a" * 500 + " b b " + "c" * 40]
+
+
+def test_features_equal_a_plain_loop():
+    for text in PLAIN_TEXTS:
+        assert counts_of(text) == plain_features(text)
+
+
+def test_parts_add_up_to_the_whole(monkeypatch):
+    weights = np.random.default_rng(2).normal(size=1 << quality.BITS).astype(np.float32)
+    for size in (1, 3, 16, 64):
+        for text in PLAIN_TEXTS:
+            monkeypatch.setattr(quality, "PART_BYTES", size)
+            assert counts_of(text) == plain_features(text), (size, text[:20])
+            codes, offsets = byte_column(pa.array([text]))
+            sums, counts = quality.feature_sums(codes, offsets, weights)
+            wanted = plain_features(text)
+            assert counts[0] == wanted.total()
+            assert isclose(sums[0], sum(float(weights[b]) * n for b, n in wanted.items()), abs_tol=1e-4)
+
+
+def test_long_text_in_parts():
+    """A text of several parts of the real size scores as it would in one."""
+    codes, offsets = byte_column(pa.array([prose(9, 700_000)]))
+    assert len(codes) > 2 * quality.PART_BYTES
+    weights = np.random.default_rng(3).normal(size=1 << quality.BITS).astype(np.float32)
+    sums, counts = quality.feature_sums(codes, offsets, weights)
+    kinds = [b[valid] for b, valid, _ in quality.features(codes, offsets)]
+    assert counts[0] == sum(map(len, kinds))
+    assert isclose(sums[0], sum(weights[b].sum(dtype=np.float64) for b in kinds), rel_tol=1e-6, abs_tol=1e-3)
+
+
+def test_learning_equals_a_plain_loop():
+    texts = [(1, "good words stand here"), (0, "bad bad bad"), (1, "more good words"), (0, "")]
+    rows = []
+    for label, text in texts:
+        idx, n = quality.feature_counts(byte_column(pa.array([text]))[0])
+        rows.append((label, idx.astype(np.int32), n.astype(np.float32)))
+    weights, bias = quality.learn(rows)
+
+    rng, d = np.random.default_rng(quality.SEED), quality.DIMENSIONS
+    start = rng.uniform(-1 / d, 1 / d, (1 << quality.BITS, d)).astype(np.float32)
+    vectors, top, offset, done = {}, [[0.0] * d, [0.0] * d], [0.0, 0.0], 0
+    for _ in range(quality.EPOCHS):
+        for i in rng.permutation(len(rows)):
+            label, counted = texts[i][0], plain_features(texts[i][1])
+            rate = quality.RATE * (1 - done / (quality.EPOCHS * len(rows)))
+            done += 1
+            share = {b: n / max(1, counted.total()) for b, n in counted.items()}
+            for b in share:
+                vectors.setdefault(b, [float(x) for x in start[b]])
+            mean = [sum(s * vectors[b][k] for b, s in share.items()) for k in range(d)]
+            odds = [np.exp(sum(t * m for t, m in zip(top[c], mean, strict=True)) + offset[c]) for c in (0, 1)]
+            p = [o / sum(odds) - (c == label) for c, o in enumerate(odds)]
+            back = [p[0] * top[0][k] + p[1] * top[1][k] for k in range(d)]
+            for c in (0, 1):
+                top[c] = [t - rate * p[c] * m for t, m in zip(top[c], mean, strict=True)]
+                offset[c] -= rate * p[c] * 0.1
+            square = sum(s * s for s in share.values())
+            for b, s in share.items():
+                vectors[b] = [v - rate / square * s * x for v, x in zip(vectors[b], back, strict=True)]
+    assert isclose(bias, offset[1] - offset[0], abs_tol=1e-4)
+    for b, v in vectors.items():
+        assert isclose(weights[b], sum(x * (t1 - t0) for x, t0, t1 in zip(v, *top, strict=True)), abs_tol=1e-3)
+
+
 def test_language_held_out(spark):
     found = op4_ppm_language(spark, SF)
     truth = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "lang")
