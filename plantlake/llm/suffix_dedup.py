@@ -1,20 +1,22 @@
-"""Remove byte strings that occur more than once, by grouping suffixes by hashes.
+"""Remove byte strings that occur more than once, by a depth-limited radix sort of suffixes.
 
 A suffix matters through its first ``window`` bytes only, and equal groups at that depth are the repeated
-strings. This takes the place of a radix sort by bytes: the digits are hashes, so suffixes are not ordered by
-their bytes and equality is never checked on these. Coarse digits come first, and a group of one leaves at once:
+strings. Spark deals suffixes by two coarse digits, which are hashes; inside a task they are put in the order of
+their bytes, most significant first, and equality is that of the bytes. A group of one leaves at once:
 
 1. The most significant digit of a suffix is the least hash of any ``gram`` bytes inside its window.
    Equal windows have equal digits, and neighbouring suffixes share theirs, so a run of suffixes with
    one digit is held as one row.
 2. The next digit of a run is the hash of all bytes its windows cover. Runs that agree in it are
    repeated as a whole: the inside of every copied passage ends here.
-3. What is left under a first digit that several different runs have (the ends of passages) is split
-   suffix by suffix by the last digits, two hashes of 64 bits over the whole window. Runs with one first
-   digit are sorted together in a task. If they have more than FEW suffixes, as at the ends of a passage
-   that a large share of documents hold, they are dealt over several tasks, long runs in pieces. What
-   repeats within one is decided there; digits that are single in a task are dealt by their value and
-   counted, and those that are not single go back to the tasks that have them.
+3. What is left under a first digit that several different runs have (the ends of passages) is sorted
+   suffix by suffix. The first pass orders by eight bytes; in each further one the digit of a suffix is the
+   rank of what follows the bytes already ordered, so the depth doubles until it is ``window``. Runs with
+   one first digit are sorted together in a task. If they have more than FEW suffixes, as at the ends of a
+   passage that a large share of documents hold, they are dealt over several tasks, long runs in pieces.
+   What repeats within one is decided there by bytes; windows that are single in a task are told to the
+   others by two hashes of 64 bits, dealt by their value and counted, and those that are not single go
+   back to the tasks that have them.
 
 Groups are counted with partial sums, so that a passage which most documents hold is never gathered.
 """
@@ -38,8 +40,8 @@ from plantlake.llm.shared import CHUNK_BYTES, byte_column, chunks, on_cogroup, o
 ADDED = ("kept", "n_bytes", "n_removed", "n_spans")
 WINDOW = 200
 GRAM = 32
-#: Suffixes with one first digit that are sorted in one task, about, at most. A suffix takes about 75 bytes of
-#: digits and sort, so about 80 MB, beside the bytes of the pieces.
+#: Suffixes with one first digit that are sorted in one task, about, at most. A suffix takes about 150 bytes of
+#: ranks and sort, so about 160 MB, beside the bytes of the pieces.
 FEW = 1 << 20
 #: A piece has at most this part of FEW, so that pieces dealt by hash come out even.
 PIECES = 16
@@ -47,7 +49,10 @@ PIECES = 16
 SORTED = 1 << 18
 #: Suffixes of one document looked at together.
 SEGMENT = 1 << 20
-BASE = 0x100000001B3
+#: Bytes of the first pass.
+WORD = 8
+#: Base and multiplier of each of the two hashes of a window.
+MIXERS = ((0x100000001B3, 0x9E3779B97F4A7C15), (0xD6E8FEB86659FD93, 0xC2B2AE3D27D4EB4F))
 
 RUNS = "array<struct<key: long, span: long, at: int, n: int, twice: boolean>>"
 RUN_TYPE = pa.struct(
@@ -55,26 +60,27 @@ RUN_TYPE = pa.struct(
 )
 
 
-@lru_cache(maxsize=2)
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of BASE and of its inverse modulo 2**64."""
+@lru_cache(maxsize=4)
+def _powers(n: int, base: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of ``base`` and of its inverse modulo 2**64."""
     out = []
-    for base in (BASE, pow(BASE, -1, 1 << 64)):
-        steps = np.full(n, base, np.uint64)
+    for factor in (base, pow(base, -1, 1 << 64)):
+        steps = np.full(n, factor, np.uint64)
         steps[0] = 1
         out.append(np.multiply.accumulate(steps))
     return out[0], out[1]
 
 
-def gram_hashes(codes: np.ndarray, gram: int) -> np.ndarray:
+def gram_hashes(codes: np.ndarray, gram: int, mixer: int = 0) -> np.ndarray:
     """A hash of the ``gram`` bytes that start at each place."""
-    up, down = _powers(1 << max(8, int(len(codes)).bit_length()))
+    base, factor = MIXERS[mixer]
+    up, down = _powers(1 << max(8, int(len(codes)).bit_length()), base)
     sums = np.empty(len(codes) + 1, np.uint64)
     sums[0] = 0
     np.cumsum((codes.astype(np.uint64) + np.uint64(1)) * up[: len(codes)], out=sums[1:])
     mixed = (sums[gram:] - sums[:-gram]) * down[: len(codes) - gram + 1]
     mixed ^= mixed >> np.uint64(32)
-    mixed *= np.uint64(0x9E3779B97F4A7C15)
+    mixed *= np.uint64(factor)
     mixed ^= mixed >> np.uint64(29)
     return mixed
 
@@ -199,20 +205,71 @@ def _pieces(batches: Iterator[pa.RecordBatch], window: int, most: int) -> Iterat
             yield out(len(of))
 
 
-def last_digits(pieces: list[bytes], n: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Number of the piece, place in it and both digits of every suffix of some pieces."""
-    codes = np.frombuffer(b"".join(pieces), np.uint8)
-    starts = np.cumsum(n + window - 1) - (n + window - 1)
-    piece = np.repeat(np.arange(len(n)), n)
-    place = np.arange(len(piece)) - np.repeat(np.cumsum(n) - n, n)
-    at = starts[piece] + place
-    # The second digit sees each byte through another table.
-    table = np.random.default_rng(1).permutation(256).astype(np.uint8)
-    return piece, place, gram_hashes(codes, window)[at], gram_hashes(table[codes], window)[at]
+class Suffixes:
+    """The suffixes of some pieces: ``piece`` and ``place`` of each, and its window by bytes or by hashes."""
+
+    def __init__(self, pieces: list[bytes], n: np.ndarray, window: int):
+        self.window = window
+        self.codes = np.frombuffer(b"".join(pieces), np.uint8)
+        self.ends = np.cumsum(n + window - 1)
+        self.piece = np.repeat(np.arange(len(n)), n)
+        self.place = np.arange(len(self.piece)) - np.repeat(np.cumsum(n) - n, n)
+        self.at = (self.ends - (n + window - 1))[self.piece] + self.place
+
+    def groups(self) -> np.ndarray:
+        """Place in the order of bytes of the window of each suffix; equal windows share it.
+
+        Ranks of all places at depth d give those at depth 2 d: where windows agree in d bytes, the rank d
+        bytes further on decides. A place whose rank no other has leaves; its rank stands for any depth.
+        """
+        window, size = self.window, len(self.codes)
+        if not len(self.at):
+            return np.zeros(0, np.int64)
+        # Bytes from each place to the end of its piece.
+        left = np.repeat(self.ends, np.diff(self.ends, prepend=0)) - np.arange(size)
+        depth = min(WORD, window)
+        open_ = np.flatnonzero(left >= depth)
+        word = np.zeros(size - depth + 1, np.uint64)
+        for i in range(depth):
+            word = word << np.uint64(8) | self.codes[i : size - depth + 1 + i]
+        rank = np.zeros(size, np.int64)
+        open_ = _refine(rank, open_, word[open_])
+        while depth < window:
+            step = min(depth, window - depth)
+            depth += step
+            open_ = open_[left[open_] >= depth]
+            open_ = _refine(rank, open_, rank[open_] * size + rank[open_ + step])
+        return rank[self.at]
+
+    def hashes(self) -> tuple[np.ndarray, np.ndarray]:
+        """Two hashes of the window of each suffix."""
+        one, two = (gram_hashes(self.codes, self.window, mixer)[self.at] for mixer in range(len(MIXERS)))
+        return one, two
+
+
+def _refine(rank: np.ndarray, open_: np.ndarray, digit: np.ndarray) -> np.ndarray:
+    """Give the places ``open_`` new ranks, by digits that go on in the order of the old ranks.
+
+    A group's rank is the number of places before it. Returns the places that share theirs.
+    """
+    order = np.argsort(digit, kind="stable")
+    place, digit = open_[order], digit[order]
+    old = rank[place]
+    number = np.arange(len(place))
+    fresh = np.append(True, digit[1:] != digit[:-1])[: len(place)]
+    outer = np.append(True, old[1:] != old[:-1])[: len(place)]
+    start = np.maximum.accumulate(np.where(fresh, number, 0))
+    rank[place] = old + start - np.maximum.accumulate(np.where(outer, number, 0))
+    return place[~(fresh & np.append(fresh[1:], True)[: len(place)])]
+
+
+def counts_of(group: np.ndarray, weight: np.ndarray | None = None) -> np.ndarray:
+    """How often the group of each suffix occurs, or its weights added up."""
+    return np.bincount(group, weight)[group] if len(group) else np.zeros(0)
 
 
 def groups_of(*digits: np.ndarray) -> np.ndarray:
-    """Number of the group of each suffix: those equal in all digits, the most significant given first."""
+    """Number of the group of each row: those equal in all digits."""
     order = np.lexsort(digits[::-1])
     fresh = np.zeros(len(order), bool)
     fresh[:1] = True
@@ -223,8 +280,9 @@ def groups_of(*digits: np.ndarray) -> np.ndarray:
     return out
 
 
-def ranges(table: pa.Table, piece: np.ndarray, place: np.ndarray, repeated: np.ndarray) -> dict:
+def ranges(table: pa.Table, suffixes: Suffixes, repeated: np.ndarray) -> dict:
     """Neighbouring repeated suffixes of a run as one range; only runs that stand for themselves."""
+    piece, place = suffixes.piece, suffixes.place
     row, at, alone = (table.column(k).to_numpy() for k in ("_row", "at", "alone"))
     found = np.flatnonzero(repeated & alone[piece])
     edge = np.ones(len(found), bool)
@@ -235,8 +293,8 @@ def ranges(table: pa.Table, piece: np.ndarray, place: np.ndarray, repeated: np.n
     return {"_row": row[piece[first]], "low": low.astype(np.int32), "high": high.astype(np.int32)}
 
 
-def _digits(table: pa.Table, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    return last_digits(table.column("piece").to_pylist(), table.column("n").to_numpy().astype(np.int64), window)
+def suffixes_of(table: pa.Table, window: int) -> Suffixes:
+    return Suffixes(table.column("piece").to_pylist(), table.column("n").to_numpy().astype(np.int64), window)
 
 
 def _sort_pieces(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
@@ -244,9 +302,8 @@ def _sort_pieces(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.
     rest: pa.Table | None = None
 
     def work(table: pa.Table) -> pa.RecordBatch:
-        piece, place, one, two = _digits(table, window)
-        group = groups_of(table.column("key").to_numpy()[piece], one, two)
-        made = ranges(table, piece, place, np.bincount(group)[group] > 1)
+        suffixes = suffixes_of(table, window)
+        made = ranges(table, suffixes, counts_of(suffixes.groups()) > 1)
         return pa.RecordBatch.from_arrays([pa.array(x) for x in made.values()], names=list(made))
 
     for rows in batches:
@@ -277,16 +334,15 @@ DIGITS = np.dtype([("one", "<u8"), ("two", "<u8"), ("twice", "u1")])
 
 
 def _single_digits(table: pa.Table, window: int) -> pa.Table:
-    """Each last digit of some runs once and whether it repeats there, packed by the bucket that counts it."""
-    piece, _, one, two = _digits(table, window)
+    """Each window of some runs once, as hashes, and whether it repeats there, packed by the bucket that counts it."""
+    suffixes = suffixes_of(table, window)
+    one, two = suffixes.hashes()
     # A run that stands for several equal ones counts for more than one.
-    weight = np.where(table.column("alone").to_numpy(), 1, 2)[piece]
-    group = groups_of(one, two)
-    twice = np.bincount(group, weight) > 1
-    first = np.zeros(len(twice), np.int64)
-    first[group] = np.arange(len(group))
-    found = np.empty(len(twice), DIGITS)
-    found["one"], found["two"], found["twice"] = one[first], two[first], twice
+    weight = np.where(table.column("alone").to_numpy(), 1, 2)[suffixes.piece]
+    group = suffixes.groups()
+    _, first = np.unique(group, return_index=True)
+    found = np.empty(len(first), DIGITS)
+    found["one"], found["two"], found["twice"] = one[first], two[first], counts_of(group, weight)[first] > 1
     bucket = (found["one"] % np.uint64(table.column("parts")[0].as_py())).astype(np.int64)
     order = np.argsort(bucket, kind="stable")
     found, bucket = found[order], bucket[order]
@@ -314,15 +370,18 @@ def _spans(owner: np.ndarray, n: int) -> list[tuple[int, int]]:
 
 
 def _part_ranges(table: pa.Table, known: pa.Table, window: int) -> pa.Table:
-    """Ranges of suffixes of some runs that repeat there or whose last digits are known to repeat."""
+    """Ranges of suffixes of some runs that repeat there or whose hashes are known to repeat."""
     if not table.num_rows:
         return pa.table({"_row": pa.array([], pa.int64()), "low": pa.array([], pa.int32()), "high": pa.array([], pa.int32())})
-    piece, place, one, two = _digits(table, window)
-    weight = np.where(table.column("alone").to_numpy(), 1, 2)[piece]
+    suffixes = suffixes_of(table, window)
+    weight = np.where(table.column("alone").to_numpy(), 1, 2)[suffixes.piece]
+    repeated = counts_of(suffixes.groups(), weight) > 1
     more = np.frombuffer(b"".join(known.column("digits").to_pylist()), DIGITS)
-    group = groups_of(np.append(one, more["one"]), np.append(two, more["two"]))
-    count = np.bincount(group, np.append(weight, np.full(len(more), 2)))
-    return pa.table(ranges(table, piece, place, count[group[: len(piece)]] > 1))
+    if len(more):
+        one, two = suffixes.hashes()
+        told = groups_of(np.append(one, more["one"]), np.append(two, more["two"]))
+        repeated |= counts_of(told, np.append(np.zeros(len(one)), np.ones(len(more))))[: len(one)] > 0
+    return pa.table(ranges(table, suffixes, repeated))
 
 
 def _cut(batches: Iterator[pa.RecordBatch], window: int, as_text: bool) -> Iterator[pa.RecordBatch]:
@@ -367,7 +426,7 @@ def repeated_windows(scanned: DataFrame, window: int) -> DataFrame:
     whole = going.join(copied, ["key", "span"], "left_semi").select(
         "_row", F.col("at").alias("low"), (F.col("at") + F.col("n") - 1).alias("high")
     )
-    # Last digits: one run of each kind under the keys that have several.
+    # Sort: one run of each kind under the keys that have several.
     keys = spans.groupBy("key").agg(
         F.count("*").alias("kinds"), F.sum(F.col("first.n").cast("long")).alias("suffixes"), F.max("twice").alias("again")
     )

@@ -3,6 +3,7 @@
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from plantlake.llm import suffix_dedup
@@ -93,6 +94,27 @@ def test_keys_are_dealt_by_suffixes(spark, monkeypatch):
     assert stored["pieces"].agg({"n": "max"}).first()[0] <= 320 // suffix_dedup.PIECES
 
 
+@pytest.mark.parametrize("window", [1, 3, 8, 9, 16, 23, 200])
+def test_suffixes_are_ordered_by_their_bytes(window):
+    rng = random.Random(window)
+    pieces = [bytes(rng.choice(b"\x00\xffab") for _ in range(window + rng.randint(0, 60))) for _ in range(20)]
+    pieces += [pieces[0], pieces[1][:window], b"a" * (window + 90), b"ab" * window]
+    counts = np.array([len(p) - window + 1 for p in pieces])
+    found = suffix_dedup.Suffixes(pieces, counts, window)
+    windows = [pieces[p][a : a + window] for p, a in zip(found.piece.tolist(), found.place.tolist(), strict=True)]
+    assert sorted(windows) == [windows[i] for i in np.argsort(found.groups(), kind="stable")]
+    of = {}
+    for w, *numbers in zip(windows, found.groups().tolist(), *(h.tolist() for h in found.hashes()), strict=True):
+        assert of.setdefault(w, numbers) == numbers
+    for numbers in zip(*of.values(), strict=True):
+        assert len(set(numbers)) == len(of)
+
+
+def test_no_suffixes():
+    none = suffix_dedup.Suffixes([], np.zeros(0, np.int64), 20)
+    assert len(none.groups()) == 0 and len(suffix_dedup.counts_of(none.groups())) == 0
+
+
 def test_sorted_ranges_hold_whole_keys(monkeypatch):
     import pyarrow as pa
 
