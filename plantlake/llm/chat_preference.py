@@ -2,6 +2,7 @@
 
 Only DataFrame functions are used. A conversation is a set of rows with a turn number; it is never
 gathered, so one of any length is spread like any other rows. The result has one row per rendered turn.
+``preference_pairs`` makes one row per pair of these, where pairs fit a row.
 """
 
 from __future__ import annotations
@@ -57,6 +58,32 @@ def preference_segments(chosen: DataFrame, rejected: DataFrame) -> DataFrame:
     )
 
 
+def preference_pairs(segments: DataFrame) -> DataFrame:
+    """pair_id, prompt, chosen, rejected, chosen_mask, rejected_mask: one row per pair of ``preference_segments``.
+
+    The prompt is rendered once; ``prompt || chosen`` and ``prompt || rejected`` are the whole texts. A mask
+    lists the turns of its completion in order as (n_chars, trained) and covers the completion.
+
+    Turns are ordered as in ``preference_segments``: by turn, null first, then role and text. A pair that
+    lacks one side, and one with equal sides, has an empty completion with an empty mask. Null pair ids
+    form one pair; other columns are left out; an empty table gives none.
+
+    A pair is gathered in one row, so it has to fit one (2 GB at the most); pairs of any length stay turns.
+    """
+    place = F.coalesce("turn", F.lit(-(1 << 63)))
+    turn = F.struct(place.alias("place"), "role", "segment", F.char_length("segment").alias("n_chars"), "trained")
+    parts = ("prompt", "chosen", "rejected")
+    gathered = segments.groupBy("pair_id").agg(
+        *[F.array_sort(F.collect_list(F.when(F.col("part") == part, turn))).alias(part) for part in parts]
+    )
+    texts = [F.array_join(F.col(part)["segment"], "").alias(part) for part in parts]
+    masks = [
+        F.transform(part, lambda t: F.struct(t["n_chars"].alias("n_chars"), t["trained"].alias("trained"))).alias(f"{part}_mask")
+        for part in parts[1:]
+    ]
+    return gathered.select("pair_id", *texts, *masks)
+
+
 def with_swapped_ends(turns: DataFrame) -> DataFrame:
     """A rejected side for conversations (pair_id, turn, role, text) that have only one.
 

@@ -1,7 +1,7 @@
 """Preference pairs by hand."""
 
 from plantlake.llm import queries
-from plantlake.llm.chat_preference import preference_segments, with_swapped_ends
+from plantlake.llm.chat_preference import preference_pairs, preference_segments, with_swapped_ends
 
 SCHEMA = "pair_id long, turn long, role string, text string, part string, side int"
 
@@ -48,6 +48,51 @@ def test_odd_rows(spark):
     assert segments(spark, [(4, 0, "user", long)], [(4, 0, "user", long)])[0][3] == text("user", long)
 
 
+def pairs(spark, chosen, rejected):
+    found = preference_pairs(preference_segments(side(spark, chosen), side(spark, rejected)))
+    assert found.columns == ["pair_id", "prompt", "chosen", "rejected", "chosen_mask", "rejected_mask"]
+    return {r.pair_id: (*r[1:4], *[[tuple(t) for t in mask] for mask in r[4:]]) for r in found.collect()}
+
+
+def test_pairs_hold_the_prompt_once_and_masks(spark):
+    shared = [(1, None, "system", "s"), (1, 2, "user", "ü" * 3)]
+    good, bad = [(1, 10, "assistant", "good"), (1, 11, "user", "thanks")], [(1, 10, "assistant", "bad 😀")]
+    got = pairs(spark, [*good, *shared], [*bad, *shared])
+    answer, reply = text("assistant", "good"), text("user", "thanks")
+    other = text("assistant", "bad 😀")
+    assert got == {
+        1: (
+            text("system", "s") + text("user", "üüü"), answer + reply, other,
+            [(len(answer), True), (len(reply), False)], [(len(other), True)],
+        )
+    }
+
+
+def test_odd_pairs(spark):
+    same = [(1, 0, "user", None), (1, 0, None, "b"), (1, 0, "user", "a")]
+    # By role, null first, then text.
+    assert pairs(spark, same, same) == {1: (text("", "b") + text("user", "") + text("user", "a"), "", "", [], [])}
+    own = text("assistant", "x")
+    assert pairs(spark, [(2, 0, "assistant", "x")], []) == {2: ("", own, "", [(len(own), True)], [])}
+    assert pairs(spark, [(None, 0, "user", "")], [(None, 0, "user", "")]) == {None: (text("user", ""), "", "", [], [])}
+    assert pairs(spark, [], []) == {}
+    turns = [(3, i, "user", "word " * 2000) for i in range(200)]
+    prompt, *_ = pairs(spark, turns, turns[:-1])[3]
+    assert prompt == text("user", "word " * 2000) * 199
+
+
+def test_pairs_are_the_turns_of_the_segments(spark, tmp_path):
+    rows = [(p, t, "assistant" if t % 2 else "user", f"{p * t % 5}") for p in range(20) for t in range(p % 7)]
+    chosen = side(spark, rows)
+    segments = preference_segments(chosen, with_swapped_ends(chosen))
+    joined = {}
+    for r in sorted(segments.collect(), key=lambda r: r.turn):
+        joined[r.pair_id, r.part] = joined.get((r.pair_id, r.part), "") + r.segment
+    for r in preference_pairs(segments).collect():
+        assert [joined.get((r.pair_id, p), "") for p in ("prompt", "chosen", "rejected")] == [r.prompt, r.chosen, r.rejected]
+        assert sum(t.n_chars for t in r.chosen_mask) == len(r.chosen) and sum(t.n_chars for t in r.rejected_mask) == len(r.rejected)
+
+
 def test_swapped_ends(spark):
     rows = [(1, 0, "user", "q"), (1, 1, "assistant", "a1"), (2, 0, "user", "r"), (2, 5, "assistant", "a2"), (None, 0, "user", "n")]
     found = with_swapped_ends(side(spark, rows)).collect()
