@@ -164,7 +164,6 @@ def _search(batches: Iterator[pa.RecordBatch], distance: int) -> Iterator[pa.Rec
     A node has no more than 2**free fingerprints, as they are distinct; only nodes of two or more stay.
     """
     plans = layouts(distance)
-    rest = [np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)]
 
     def work(layout, node, gray):
         edge = np.append(True, (node[1:] != node[:-1]) | (layout[1:] != layout[:-1]))
@@ -183,19 +182,23 @@ def _search(batches: Iterator[pa.RecordBatch], distance: int) -> Iterator[pa.Rec
                 fp = permute(code, order, back=True).view(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(fp[at]), pa.array(fp[roots[at]])], ["one", "two"])
 
+    # Joined once a node is whole: a hot node comes in thousands of batches.
+    held: list[list[np.ndarray]] = []
     for rows in batches:
-        rest = [np.concatenate([r, rows.column(c).to_numpy()]) for c, r in enumerate(rest)]
-        layout, node, _ = rest
-        if not len(node):
+        if not rows.num_rows:
             continue
+        some = [rows.column(c).to_numpy() for c in range(3)]
+        held.append(some)
+        first = held[0]
+        if first[0][0] == some[0][-1] and first[1][0] == some[1][-1]:
+            continue
+        layout, node, gray = (np.concatenate(parts) for parts in zip(*held, strict=True))
         # The last node may go on in the next batch.
-        cut = len(node) - int(np.argmax(((node != node[-1]) | (layout != layout[-1]))[::-1]))
-        if cut == len(node) and node[0] == node[-1] and layout[0] == layout[-1]:
-            cut = 0
-        yield from work(*(r[:cut] for r in rest))
-        rest = [r[cut:] for r in rest]
-    if len(rest[1]):
-        yield from work(*rest)
+        cut = int(np.argmax((node == node[-1]) & (layout == layout[-1])))
+        yield from work(layout[:cut], node[:cut], gray[:cut])
+        held = [[layout[cut:], node[cut:], gray[cut:]]]
+    if held:
+        yield from work(*(np.concatenate(parts) for parts in zip(*held, strict=True)))
 
 
 def components(prints: DataFrame, distance: int) -> DataFrame:

@@ -74,6 +74,27 @@ def test_odd_rows_and_kept(spark):
     assert 2 not in ids and 3 not in ids and None in ids
 
 
+def test_search_is_the_same_in_any_batches():
+    rng = np.random.default_rng(5)
+    base = rng.integers(0, 1 << 63, 30, np.uint64)
+    # Many below one node, and few below others.
+    near = base[0] ^ rng.integers(0, 1 << 12, 200, np.uint64)
+    flips = [b ^ np.uint64(1 << int(rng.integers(64))) for b in base]
+    prints = np.unique(np.concatenate([base, near, flips]))
+    entries = pa.Table.from_batches(
+        list(simhash._entries(iter([pa.record_batch([pa.array(prints.view(np.int64))], ["fp"])]), 2))
+    ).sort_by([("layout", "ascending"), ("node", "ascending"), ("gray", "ascending")]).combine_chunks()
+    none = entries.schema.empty_table().to_batches() or [pa.RecordBatch.from_pylist([], entries.schema)]
+
+    def links(rows):
+        found = simhash._search(iter([*none, *entries.to_batches(max_chunksize=rows)]), 2)
+        return {pair for b in found for pair in zip(*(c.to_pylist() for c in b.columns), strict=True)}
+
+    whole = links(len(entries))
+    assert whole and all(links(rows) == whole for rows in (1, 2, 7, 100))
+    assert not list(simhash._search(iter(none), 2))
+
+
 def test_empty(spark):
     docs = documents(spark, [])
     assert simhash.near_duplicates(docs).count() == 0 and simhash.keep_first(docs).count() == 0
