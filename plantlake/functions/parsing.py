@@ -8,7 +8,7 @@ dozens of them, and building each from single column calls takes seconds on the
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from itertools import filterfalse
 
 from pyspark.sql import Column
@@ -45,6 +45,9 @@ FORMATS_P11_DATE = (
     DASH_YMD_TIME, ISO_TIME, DASH_DMY_TIME, DASH_YMD, SLASH_YMD, SLASH_DMY, DASH_DMY,
 )
 
+# Fixed value: all layouts begin with a date of so many characters.
+DATE_LENGTH = 10
+
 # The spellings of a boolean, after lower-casing and trimming.
 TRUE_WORDS = ("true", "1", "yes", "y", "t")
 FALSE_WORDS = ("false", "0", "no", "n", "f")
@@ -59,6 +62,14 @@ def _pattern(fmt: str) -> str:
     return re.sub("y+|M+|d+|H+|m+|s+", lambda run: f"[0-9]{{{len(run[0])}}}", _plain(fmt))
 
 
+def _patterns(layouts: Iterable[str]) -> str:
+    """One regular expression for several layouts; those that begin with the same date share its part."""
+    times: dict[str, list[str]] = {}
+    for fmt in map(_plain, layouts):
+        times.setdefault(_pattern(fmt[:DATE_LENGTH]), []).append(_pattern(fmt[DATE_LENGTH:]))
+    return "|".join(f"{day}(?:{'|'.join(rest)})" for day, rest in times.items())
+
+
 def _year_first(fmt: str) -> bool:
     return fmt.startswith("yyyy")
 
@@ -88,7 +99,7 @@ def parse_timestamp(column: str, formats: Sequence[str] = FORMATS_ALL) -> Column
         (filter(_year_first, formats), year_first),
         (filterfalse(_year_first, formats), day_first),
     ):
-        patterns = "|".join(map(_pattern, layouts))
+        patterns = _patterns(layouts)
         if patterns:
             cases.append(rf"WHEN {text} RLIKE r'^(?:{patterns})\z' THEN {value}")
     return F.expr(f"try_cast(CASE {' '.join(cases)} END AS timestamp_ntz)")
@@ -100,7 +111,7 @@ def parse_date(column: str, formats: Sequence[str] = FORMATS_ALL) -> Column:
 
 
 def _decimal_point(column: str) -> str:
-    return f"translate({_name(column)}, ',', '.')"
+    return f"replace({_name(column)}, ',', '.')"
 
 
 def parse_decimal(column: str, precision: int = 18, scale: int = 4) -> Column:

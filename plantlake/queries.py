@@ -14,7 +14,7 @@ from plantlake.config import LakeConfig, shared_folder
 from plantlake.functions import parsing as p
 from plantlake.functions.hashing import backfill_hash, row_hash
 from plantlake.functions.times import date_key, ntz
-from plantlake.operators.curate import EntitySpec, curate, latest, stage, windowed
+from plantlake.operators.curate import EntitySpec, curate, stage, survivors
 from plantlake.operators.filters import recent, require
 from plantlake.operators.history import (
     apply_history,
@@ -295,7 +295,7 @@ def last_calendar_days(f: Frames) -> DataFrame:
 
 def dedupe_query(spec: EntitySpec) -> Callable[[Frames], DataFrame]:
     def query(f: Frames) -> DataFrame:
-        return latest(windowed(f.staged(spec), spec, None, None), spec)
+        return survivors(f.staged(spec), spec, None, None)
 
     return query
 

@@ -31,10 +31,10 @@ def _plus(ts: Column, minutes: Column) -> Column:
 LAYOUTS = (
     "{0}",
     "left({0}, 10)",
-    "translate(left({0}, 10), '-', '/')",
+    "replace(left({0}, 10), '-', '/')",
     "concat_ws('/', substring({0}, 9, 2), substring({0}, 6, 2), left({0}, 4))",
     "concat(substring({0}, 9, 2), '-', substring({0}, 6, 2), '-', left({0}, 4), right({0}, 9))",
-    "translate({0}, ' ', 'T')",
+    "replace({0}, ' ', 'T')",
 )
 
 
@@ -106,7 +106,7 @@ class PlantFeed:
             _id("EQ", F.col("user_id") % self._equipment_count()).alias("equipment_id"),
             F.concat(F.lit("SENS-"), _text(F.col("user_id")), F.lit("-"), kind).alias("sensor_id"),
             F.when(number % 5 == 0, F.upper(kind)).otherwise(kind).alias("sensor_type"),
-            F.when(number % 3 == 0, F.translate(value, ".", ","))
+            F.when(number % 3 == 0, F.replace(value, F.lit("."), F.lit(",")))
             .otherwise(value)
             .alias("reading_value"),
             mixed_time("read", "event_id").alias("reading_timestamp"),
