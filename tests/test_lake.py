@@ -51,6 +51,16 @@ def test_partitioned_overwrite_keeps_null_partition(spark, lake):
     assert lake.tables(gold).isEmpty()
 
 
+def test_views_of_the_session_are_in_no_schema(spark, lake):
+    spark.range(1).createOrReplaceTempView("view_of_the_session")
+    try:
+        assert lake.tables(lake.config.gold).isEmpty()
+        lake.replace(spark.range(1), lake.config.gold, "d")
+        assert [r["tableName"] for r in lake.tables(lake.config.gold).collect()] == ["d"]
+    finally:
+        spark.catalog.dropTempView("view_of_the_session")
+
+
 def test_extract_rules(spark):
     df = readings(spark, None, "2024-01-01", "02/01/2024", "unreadable", "2024-01-01T00:00:01")
     kept = extract(df, TABLE, watermark=datetime(2024, 1, 1))
