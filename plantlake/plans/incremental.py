@@ -49,7 +49,9 @@ def new_rows(raw: KeyedTable, spec: EntitySpec, since: int) -> DataFrame:
     another raw row had lost to it. Only then is the raw table read, for the rows of such identities.
     """
     changes = raw.changes(since)
-    images = latest_images(changes, raw.key)
+    # A batch has one row per key; only the rows of several batches need a choice.
+    one = raw.done() - since <= 1
+    images = changes.where(F.col(CHANGE) != BEFORE).drop(CHANGE, BATCH) if one else latest_images(changes, raw.key)
     if spec.identity == (spec.key,):
         return images
     identity = list(spec.identity)
