@@ -80,6 +80,29 @@ def compared_rows(
     return compared.where(is_new | changed).select(*source.columns, is_new.alias("is_new"))
 
 
+def marked_rows(
+    target: DataFrame, source: DataFrame, key: Key, hash_col: str | None = None
+) -> DataFrame:
+    """The same rows as ``compared_rows``, with ``source`` computed once: for a target bucketed by the key.
+
+    Its keys and hashes are taken as they lie, so only the source is shuffled, by the shuffle that made its keys unique.
+    """
+    keys = key_columns(key)
+    if hash_col is None:
+        known = target.select(*keys).distinct().withColumn("_same", F.lit(False))
+    else:
+        known = target.groupBy(*keys).agg(
+            F.min(hash_col).alias("_low"), F.max(hash_col).alias("_high"), F.max(F.col(hash_col).isNull()).alias("_gap")
+        )
+        ends = [F.col("_low"), F.col("_high")]
+        known = known.select(*keys, F.when(~F.col("_gap") & (ends[0] == ends[1]), ends[0]).alias("_old"), F.lit(False).alias("_same"))
+    joined = source.join(known, keys, "left")
+    is_new = F.col("_same").isNull()
+    if hash_col is not None:
+        joined = joined.where(is_new | F.coalesce(F.col("_old") != F.col(hash_col), F.lit(True)))
+    return joined.select(*source.columns, is_new.alias("is_new"))
+
+
 def replace_rows(target: DataFrame, source: DataFrame, key: Key) -> DataFrame:
     """Target with each row whose key the source has replaced by the source row."""
     keys = key_columns(key)

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from plantlake.functions.times import AsOf
+from plantlake.operators.curate import compiled
 from plantlake.sources.extract import (
     FALLBACK_DAYS,
     event_time,
@@ -21,14 +22,18 @@ from plantlake.sources.schemas import RAW_TABLES, as_raw, raw_schema
 from plantlake.sources.store import KeyedTable, Lake
 
 LATEST = "latest_time"
+TIME = "_time"
 SUMMARY_SCHEMA = (
     "table_name string, mode string, rows_read long, rows_written long, status string, error string"
 )
 
 
 def raw_table(lake: Lake, table: str, key_groups: int = 16) -> KeyedTable:
+    """Bucketed, but for a table that was filled without buckets, which stays as it is."""
     spec = RAW_TABLES[table]
-    return lake.keyed(lake.config.raw, table, raw_schema(table), spec.key, key_groups, logged=True)
+    found = lake.keyed(lake.config.raw, table, raw_schema(table), spec.key, key_groups, logged=True, bucketed=True)
+    found.bucketed = not found.exists() or found.noted("bucketed") == "true"
+    return found
 
 
 def _keep_latest(target: KeyedTable, latest: datetime | None) -> None:
@@ -52,26 +57,29 @@ def ingest(
     is read once, and the target's is kept with the table, and read from its rows only where it is missing.
     Of several batch rows with one key the latest is taken.
     """
+    compiled(lake.spark)
     target = raw_table(lake, table, key_groups)
-    source = as_raw(source, table)
+    # Each time is parsed once: what is observed stays below the filter of the batch.
+    source = as_raw(source, table).withColumn(TIME, event_time(table))
     whole, seen = (Observation(f"{table}-{uuid4().hex}") for _ in range(2))
-    latest = F.max(event_time(table)).alias("latest")
+    latest = F.max(TIME).alias("latest")
     facts = F.count(F.lit(1)).alias("rows_read"), latest
     if not target.exists():
-        written = target.load(source.observe(seen, *facts))
+        written = target.load(source.observe(seen, *facts), direct=True)
         _keep_latest(target, seen.get["latest"])
         return "full", seen.get["rows_read"], written
     noted = target.noted(LATEST)
     # A target filled by other means than this function, or by a run that was lost, has no note.
     target_max = datetime.fromisoformat(noted) if noted else watermark_value(target.read(), table)
-    batch = extract(source.observe(whole, latest), table, target_max, as_of, days_back).observe(seen, *facts)
+    timed = source.observe(whole, latest)
+    batch = extract(timed, table, target_max, as_of, days_back, time=F.col(TIME)).observe(seen, *facts)
     is_new: list[bool] = []
 
     def newer() -> bool:
         is_new.append(has_new_data(whole.get["latest"], target_max))
         return is_new[0]
 
-    written = target.upsert(batch.withColumn("_time", event_time(table)), latest_by=["_time"], when=newer)
+    written = target.upsert(batch, latest_by=[TIME], when=newer)
     if not is_new[0]:
         return "skipped", 0, 0
     _keep_latest(target, seen.get["latest"])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plantlake.functions.parsing import FORMATS_P10, parse_timestamp
@@ -54,9 +54,12 @@ def extract(
     as_of: AsOf | None = None,
     days_back: int = FALLBACK_DAYS,
     full: bool = False,
+    time: Column | None = None,
 ) -> DataFrame:
     """All rows, or those after ``watermark`` and those without any time.
 
+    Give ``time`` where the source has its event time as a column already.
+
     Without a watermark the cut-off is ``days_back`` days before ``as_of``, to the moment if
     ``as_of`` has a time of day. A time that cannot be read is not NULL text and not later than
     anything, so such rows only come with a full extract.
@@ -68,7 +71,8 @@ def extract(
             raise ValueError("an incremental extract needs a watermark or as_of")
         watermark = cutoff(as_of, days_back)
     text = F.col(RAW_TABLES[table].ts_col)
-    return source.where(text.isNull() | (event_time(table) > ntz(watermark)))
+    time = event_time(table) if time is None else time
+    return source.where(text.isNull() | (time > ntz(watermark)))
 
 
 def cutoff(as_of: AsOf, days: int) -> AsOf:

@@ -9,12 +9,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from plantlake.config import LakeConfig
-from plantlake.operators.curate import curate
+from plantlake.operators.curate import COMPILED_BYTES, HUGE_METHOD, curate
+from plantlake.operators.merge import compared_rows, marked_rows
 from plantlake.plans import facts
 from plantlake.plans.build import build_lake, curated_table
 from plantlake.plans.entities import PRODUCTION, SENSORS, TABLE_HASH
-from plantlake.plans.incremental import ROW_FACTS, curated_batch, refresh_hourly, refresh_row_fact
-from plantlake.plans.ingest import raw_table
+from plantlake.plans.incremental import ROW_FACTS, curated_batch, new_rows, refresh_hourly, refresh_row_fact
+from plantlake.plans.ingest import ingest_all, raw_table
 from plantlake.sources.schemas import RAW_TABLES, raw_schema
 from plantlake.sources.store import KeyedTable, Lake
 
@@ -354,3 +355,91 @@ def test_second_run_reads_new_rows_only(spark, lake):
     assert read == {f"{ORDERS}_changes"}
     rebuilt, _ = curated_batch(raw, table, PRODUCTION, AS_OF, 60, rebuild=True)
     assert rebuilt.count() == 51
+
+
+def ingested(lake, spark, rows):
+    return ingest_all(lake, lambda _: orders(spark, rows), AS_OF, [ORDERS], key_groups=4).collect()[0]
+
+
+def raw_quantities(lake):
+    return sorted((r.production_order_id, r.actual_quantity) for r in raw_table(lake, ORDERS, 4).read().collect())
+
+
+def test_an_ingested_batch_is_stored_in_its_log_only(spark, lake):
+    # Order 3 is there twice, and both rows take the update.
+    ingested(lake, spark, [(i, None, i, 0) for i in range(20)] + [(3, None, 33, 0)])
+    table = raw_table(lake, ORDERS, 4)
+    assert table.bucketed and table.noted("bucketed") == "true"
+    found = ingested(lake, spark, [(3, None, 70, 4), (3, None, 71, 5), (50, None, 5, 6), (4, None, 9, 0)])
+    assert (found.mode, found.rows_read, found.rows_written) == ("incremental", 3, 2)
+    wanted = {f"o{i}": str(i) for i in range(20) if i != 3} | {"o50": "5"}
+    assert raw_quantities(lake) == sorted([*wanted.items(), ("o3", "71"), ("o3", "71")])
+    # The batch is not kept beside its log, whose files hold one group each.
+    assert not (Path(lake.config.location(lake.config.raw)) / "_stage").exists()
+    log = spark.table(table.log_name).withColumn("file", F.input_file_name())
+    assert log.groupBy("file").agg(F.count_distinct("key_group").alias("n")).where("n > 1").isEmpty()
+    kinds = sorted((r.change, r.actual_quantity) for r in table.changes(0).collect())
+    assert kinds == [("before", "3"), ("before", "33"), ("inserted", "5"), ("updated", "71")]
+    # Rows of one batch need no choice among states.
+    plan = new_rows(table, PRODUCTION, 0)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan
+    assert ingested(lake, spark, [(3, None, 99, 1)]).mode == "skipped" and table.done() == 1
+    ingested(lake, spark, [(3, None, 88, 9)])
+    assert {r.actual_quantity for r in new_rows(table, PRODUCTION, 0).collect()} == {"88", "5"}
+
+
+@pytest.mark.parametrize("step,when", [
+    ("_log_marked", "after"), ("_log_before", "before"), ("_log_before", "after"), ("_update", "after"), ("_append", "after"),
+])
+def test_a_lost_ingest_is_finished_by_the_next(spark, lake, monkeypatch, step, when):
+    ingested(lake, spark, [(i, None, i, 0) for i in range(12)])
+    whole = getattr(KeyedTable, step)
+
+    def lost(self, *args, **kwargs):
+        if when == "after":
+            whole(self, *args, **kwargs)
+        raise Lost
+
+    monkeypatch.setattr(KeyedTable, step, lost)
+    assert ingested(lake, spark, [(2, None, 70, 5), (40, None, 1, 5)]).status == "failed"
+    monkeypatch.undo()
+    noted = step not in ("_log_marked", "_log_before") or (step, when) == ("_log_before", "after")
+    # A batch that was not noted leaves nothing behind, also where the next one changes nothing.
+    raw_table(lake, ORDERS, 4).upsert(orders(spark, []))
+    wanted = {f"o{i}": str(i) for i in range(12)}
+    assert raw_quantities(lake) == sorted((wanted | ({"o2": "70", "o40": "1"} if noted else {})).items())
+    ingested(lake, spark, [(2, None, 70, 5), (40, None, 1, 5), (41, None, 2, 5)])
+    assert raw_quantities(lake) == sorted((wanted | {"o2": "70", "o40": "1", "o41": "2"}).items())
+
+
+def test_a_raw_table_without_buckets_stays_so(spark, lake):
+    old = lake.keyed(lake.config.raw, ORDERS, raw_schema(ORDERS), "production_order_id", 4, logged=True)
+    old.load(orders(spark, [(i, None, i, 0) for i in range(9)]))
+    assert not raw_table(lake, ORDERS, 4).bucketed
+    ingested(lake, spark, [(2, None, 70, 5), (40, None, 1, 5)])
+    wanted = {f"o{i}": str(i) for i in range(9)} | {"o2": "70", "o40": "1"}
+    assert raw_quantities(lake) == sorted(wanted.items())
+
+
+def test_marked_rows_are_the_compared_ones(spark):
+    schema = "k string, v int, h string"
+    target = spark.createDataFrame([
+        ("a", 1, "1"), ("b", 1, "1"), ("b", 1, "2"), ("c", 1, None), ("c", 1, "1"), ("d", 1, "1"), (None, 1, "1"), ("f", 1, None),
+    ], schema)
+    source = spark.createDataFrame([(k, 2, h) for k, h in zip("abcdefg", ["1", "1", "1", None, "1", "1", None])], schema)
+    for hash_col in (None, "h"):
+        marked = marked_rows(target, source, "k", hash_col)
+        assert sorted_rows(marked) == sorted_rows(compared_rows(target, source, "k", hash_col))
+
+
+def test_ingest_compiles_its_methods_and_parses_each_time_once(spark, lake, monkeypatch):
+    before = spark.conf.get(HUGE_METHOD)
+    plans = []
+    monkeypatch.setattr(KeyedTable, "load", lambda self, df, **_: plans.append(df) or df.count())
+    try:
+        spark.conf.set(HUGE_METHOD, 65535)
+        ingested(lake, spark, [(1, None, 1, 0)])
+        assert int(spark.conf.get(HUGE_METHOD)) == COMPILED_BYTES
+    finally:
+        spark.conf.set(HUGE_METHOD, before)
+    assert "_time" in plans[0].columns
