@@ -94,7 +94,10 @@ def ingest_all(
     days_back: int = FALLBACK_DAYS,
     key_groups: int = 16,
 ) -> DataFrame:
-    """Ingest several tables and report on each; one that fails does not stop the others."""
+    """Ingest several tables and report on each; one that fails does not stop the others.
+
+    What goes on from the tables has to pass the report through ``all_ingested`` first.
+    """
     rows = []
     for table in tables:
         try:
@@ -106,3 +109,14 @@ def ingest_all(
             rows.append((table, None, 0, 0, "failed", str(error)))
     return lake.spark.createDataFrame(rows, SUMMARY_SCHEMA)
 
+
+class IngestError(RuntimeError):
+    """Tables that could not be brought up to date, with the reasons."""
+
+
+def all_ingested(summary: DataFrame) -> DataFrame:
+    """The report of ``ingest_all`` if no table of it failed; else an error, as the tables then lack rows."""
+    failed = [f"{row.table_name}: {row.error}" for row in summary.collect() if row.status != "ok"]
+    if failed:
+        raise IngestError("; ".join(failed))
+    return summary

@@ -42,7 +42,7 @@ from plantlake.plans.entities import (
 from plantlake.plans.incremental import (
     HOURLY, MERGED, ROW_FACTS, SEEN, curated_batch, refresh_hourly, refresh_row_fact,
 )
-from plantlake.plans.ingest import ingest_all, raw_table
+from plantlake.plans.ingest import all_ingested, ingest_all, raw_table
 from plantlake.plans.view_text import publish_views
 from plantlake.sources.audit import missing_tables, reconcile, row_counts
 from plantlake.sources.extract import event_time, extract, high_watermark
@@ -582,16 +582,16 @@ def stored_reset(f: Frames) -> DataFrame:
 def ingest_summary(f: Frames) -> DataFrame:
     lake = f.lake()
     first = {spec.raw: f.first_extract(spec) for spec in (SENSORS, PRODUCTION, MAINTENANCE)}
-    ingest_all(lake, first.__getitem__, ORDERS_AS_OF, first)
-    return ingest_all(lake, f.feed.raw, ORDERS_AS_OF).select(
+    all_ingested(ingest_all(lake, first.__getitem__, ORDERS_AS_OF, first))
+    return all_ingested(ingest_all(lake, f.feed.raw, ORDERS_AS_OF)).select(
         "table_name", "mode", "rows_read", "rows_written", "status"
     )
 
 
 def ingested_orders(f: Frames) -> DataFrame:
     lake = f.lake()
-    ingest_all(lake, lambda _: f.first_extract(PRODUCTION), ORDERS_AS_OF, [PRODUCTION.raw])
-    ingest_all(lake, f.feed.raw, ORDERS_AS_OF, [PRODUCTION.raw])
+    for source_of in (lambda _: f.first_extract(PRODUCTION), f.feed.raw):
+        all_ingested(ingest_all(lake, source_of, ORDERS_AS_OF, [PRODUCTION.raw]))
     return raw_table(lake, PRODUCTION.raw).read().groupBy("status").agg(
         F.count("*").alias("rows"), F.count_distinct("production_order_id").alias("orders")
     )
@@ -636,7 +636,7 @@ def curated_in_two_runs(f: Frames) -> DataFrame:
     raw = raw_table(lake, PRODUCTION.raw)
     table = curated_table(lake, PRODUCTION, f.curated(PRODUCTION), 16)
     for rows, as_of in ((f.first_extract(PRODUCTION), FIRST_EXTRACT), (f.raw(PRODUCTION), ORDERS_AS_OF)):
-        ingest_all(lake, lambda _, rows=rows: rows, as_of, [PRODUCTION.raw])
+        all_ingested(ingest_all(lake, lambda _, rows=rows: rows, as_of, [PRODUCTION.raw]))
         batch, done = curated_batch(raw, table, PRODUCTION, as_of, PRODUCTION.window_days)
         table.upsert(batch, TABLE_HASH, latest_by=[PRODUCTION.ts_col])
         table.note(**{SEEN: str(done)})
@@ -705,9 +705,7 @@ def catalog_view(f: Frames) -> DataFrame:
 
 def built_lake(f: Frames) -> DataFrame:
     lake = f.lake()
-    failed = ingest_all(lake, f.feed.raw, BUILD_AS_OF).where("status = 'failed'")
-    if not failed.isEmpty():
-        raise RuntimeError(f"ingest failed: {failed.collect()}")
+    all_ingested(ingest_all(lake, f.feed.raw, BUILD_AS_OF))
     return build_lake(lake, BUILD_AS_OF)["oee_daily"]
 
 

@@ -4,9 +4,12 @@ from datetime import datetime
 from uuid import uuid4
 
 import pytest
+from pyspark.sql import functions as F
 
+import plantlake.plans.ingest as ingest_module
 from plantlake.config import LakeConfig, qualify
 from plantlake.plans.ingest import ingest_all, raw_table
+from plantlake.queries import QUERIES, Frames
 from plantlake.sources.audit import missing_tables, reconcile, row_counts
 from plantlake.sources.extract import extract, watermark_value
 from plantlake.sources.schemas import RAW_TABLES, raw_schema
@@ -91,6 +94,30 @@ def test_ingest_modes_and_failures(spark, lake):
     assert stored == {"r0": "2024-01-01", "r1": "2024-01-05", "r2": "2024-01-06", "r3": None}
 
 
+@pytest.mark.parametrize("query", ["flt3_new_rows_only", "src8_ingested_orders", "aud4_ingest_summary"])
+@pytest.mark.parametrize("run", [0, 1])
+def test_a_failed_ingest_is_no_result(spark, monkeypatch, query, run):
+    whole, calls = ingest_module.ingest, []
+
+    def lost(lake, table, *args, **kwargs):
+        if table == "production_orders":
+            calls.append(table)
+            if len(calls) == run + 1:
+                raise OSError("no space left")
+        return whole(lake, table, *args, **kwargs)
+
+    times = ("1999-12-20 03:04:05", "2001-10-20 03:04:05")
+    raw = {}
+    for table, spec in RAW_TABLES.items():
+        values = [(f"k{n}", t) for n, t in enumerate(times)]
+        known = spark.createDataFrame(values, f"{spec.key} string, {spec.ts_col} string")
+        raw[table] = known.select(*[F.col(c) if c in known.columns else F.lit("1").alias(c) for c in spec.columns])
+    monkeypatch.setattr(ingest_module, "ingest", lost)
+    with pytest.raises(ingest_module.IngestError, match="production_orders: no space left"):
+        QUERIES[query](Frames(spark, "/none", raw))
+    assert len(calls) == run + 1
+
+
 def test_ingest_into_a_target_without_a_noted_time(spark, lake):
     # Filled without ingest; what follows its latest time is older than the fallback.
     raw_table(lake, TABLE).load(readings(spark, "2023-01-01", "2023-01-05"))
