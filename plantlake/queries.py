@@ -14,7 +14,7 @@ from plantlake.config import LakeConfig, shared_folder
 from plantlake.functions import parsing as p
 from plantlake.functions.hashing import backfill_hash, row_hash
 from plantlake.functions.times import date_key, ntz
-from plantlake.operators.curate import EntitySpec, curate, stage, survivors
+from plantlake.operators.curate import EntitySpec, curate, hashed, stage, survivors
 from plantlake.operators.filters import recent, require
 from plantlake.operators.history import (
     apply_history,
@@ -63,6 +63,9 @@ BUILD_AS_OF = datetime(2001, 9, 1, 6, 0)
 FIRST_EXTRACT = date(2000, 1, 1)
 SENSOR_EXTRACT = date(2024, 1, 20)
 
+# Groups of stored tables, and buckets of a group where rows are compared as they lie.
+KEY_GROUPS, SPLIT = 16, 8
+
 AS_OF = {
     EQUIPMENT.name: EQUIPMENT_AS_OF,
     EQUIPMENT_VERSIONS.name: EQUIPMENT_AS_OF,
@@ -460,12 +463,20 @@ def absent_tables(f: Frames) -> DataFrame:
 # --- stored tables --------------------------------------------------------------------------------
 
 
-def kept(lake: Lake, batch: DataFrame) -> DataFrame:
-    """A batch that is used more than once, written once."""
-    lake.replace(batch, lake.config.raw, "kept_batch")
+def kept(lake: Lake, batch: DataFrame, key: str | None = None) -> DataFrame:
+    """A batch that is used more than once, written once; with a ``key`` in the buckets of a large table."""
+    if key is None:
+        lake.replace(batch, lake.config.raw, "kept_batch")
+    else:
+        lake.keep(batch, lake.config.raw, "kept_batch", key, KEY_GROUPS * SPLIT)
     return lake.read(lake.config.raw, "kept_batch")
 
 
+def large_table(lake: Lake, schema: str, name: str, batch: DataFrame, key: str) -> KeyedTable:
+    """A table whose batches are about as large as itself: bucketed, so that its rows are not shuffled."""
+    return lake.keyed(schema, name, batch.schema, key, KEY_GROUPS, bucketed=True, split=SPLIT)
+
+
 def stored_first_load(f: Frames) -> DataFrame:
     table = raw_table(f.lake(), PRODUCTION.raw)
     table.load(as_raw(f.raw(PRODUCTION), PRODUCTION.raw))
@@ -475,7 +486,7 @@ def stored_first_load(f: Frames) -> DataFrame:
 def stored_upsert(f: Frames) -> DataFrame:
     batch = f.curated(QUALITY).drop("row_hash")
     lake = f.lake()
-    table = lake.keyed(lake.config.raw, "inspections", batch.schema, QUALITY.key)
+    table = large_table(lake, lake.config.raw, "inspections", batch, QUALITY.key)
     table.load(f.curated_first(QUALITY).drop("row_hash"))
     table.upsert(batch, latest_by=["last_update"])
     return table.read()
@@ -483,8 +494,9 @@ def stored_upsert(f: Frames) -> DataFrame:
 
 def stored_guarded_upsert(f: Frames) -> DataFrame:
     lake = f.lake()
-    batch = kept(lake, f.curated(PRODUCTION))
-    table = lake.keyed(lake.config.curated, PRODUCTION.name, batch.schema, PRODUCTION.key)
+    # A hash takes up half of a stored row and is soon made again.
+    batch = hashed(kept(lake, f.curated(PRODUCTION).drop(TABLE_HASH), PRODUCTION.key), PRODUCTION)
+    table = large_table(lake, lake.config.curated, PRODUCTION.name, batch, PRODUCTION.key)
     table.load(f.curated_first(PRODUCTION))
     for _ in range(2):
         table.upsert(batch, TABLE_HASH, latest_by=["last_update"])
@@ -492,14 +504,8 @@ def stored_guarded_upsert(f: Frames) -> DataFrame:
 
 
 def bucketed_upsert(f: Frames) -> DataFrame:
-    """As the guarded upsert, into a table bucketed by its key."""
-    lake = f.lake()
-    batch = kept(lake, f.curated(PRODUCTION))
-    table = lake.keyed(lake.config.curated, PRODUCTION.name, batch.schema, PRODUCTION.key, bucketed=True)
-    table.load(f.curated_first(PRODUCTION))
-    for _ in range(2):
-        table.upsert(batch, TABLE_HASH, latest_by=["last_update"])
-    return table.read()
+    """The guarded upsert into a table bucketed by its key."""
+    return stored_guarded_upsert(f)
 
 
 def stored_history(f: Frames) -> DataFrame:

@@ -4,11 +4,12 @@ import re
 from itertools import product
 
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from plantlake.functions import parsing as p
 from plantlake.operators.curate import COMPILED_BYTES, HUGE_METHOD, curate, latest, stage, survivors, windowed
-from plantlake.plans.entities import PRODUCTION, SENSORS
+from plantlake.plans.entities import PRODUCTION, QUALITY, SENSORS
 from plantlake.queries import QUERIES, Frames
 
 
@@ -51,6 +52,34 @@ def test_a_batch_used_twice_is_curated_once(spark, query, times):
     assert seen.value == 20 * times
 
 
+@pytest.mark.parametrize("query", ["mrg3_stored_upsert", "snk2_bucketed_upsert", "snk2_stored_upsert"])
+def test_an_upsert_shuffles_what_it_curates_only(spark, monkeypatch, query):
+    shuffles = []
+
+    def recorded(write):
+        def run(self, *args, **kwargs):
+            plan = self._df._jdf.queryExecution().executedPlan().toString()
+            shuffles.append(sum("Exchange " in line for line in plan.splitlines()))
+            return write(self, *args, **kwargs)
+
+        return run
+
+    values = {"inspection_id": "concat('I', id div 2)", "passed": "'yes'"}
+    time = "concat(1998 + id % 4, '-01-02 03:04:05')"
+    raw = {PRODUCTION.raw: orders(spark)} | {QUALITY.raw: spark.range(20).selectExpr(*[f"{values.get(f.name, time)} AS {f.name}" for f in QUALITY.fields])}
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    for name in ("insertInto", "saveAsTable", "parquet"):
+        monkeypatch.setattr(DataFrameWriter, name, recorded(getattr(DataFrameWriter, name)))
+    try:
+        result = QUERIES[query](Frames(spark, "/none", raw))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert result.count() == 10
+    # That of the first load and that of the batch, to choose one row per key.
+    assert sum(shuffles) == 2, shuffles
+
+
 def test_a_full_curation_parses_no_time_in_a_filter(spark):
     plan = curate(orders(spark), PRODUCTION)._jdf.queryExecution().optimizedPlan().toString()
     filters = [line for line in plan.splitlines() if "Filter" in line]

@@ -148,6 +148,32 @@ def test_keyed_table(lake, target, source):
         table.load(source)
 
 
+@pytest.mark.parametrize("logged", [False, True])
+def test_split_table(spark, lake, target, source, logged):
+    """Several buckets a group, with keys that the first load has twice, as an unbucketed table takes them."""
+    first = target.unionAll(target).where("id is not null")
+    more = spark.range(60).selectExpr("concat('k', id % 50) id", "cast(id as int) v", "'m' note", "concat('h', id % 7) row_hash")
+    steps = [(source, "row_hash"), (more, "row_hash"), (more.where("v < 20").withColumn("v", F.col("v") + 100), None)]
+    found = []
+    for name, layout in (("plain", {}), ("split", {"bucketed": True, "split": 3})):
+        table = lake.keyed(lake.config.raw, name, target.schema, "id", 4, logged=logged, **layout)
+        table.load(first)
+        for batch, hash_col in steps:
+            counted = table.upsert(batch, hash_col, latest_by=["v"])
+            assert counted == batch.where("id is not null").select("id").distinct().count()
+        found.append(sorted(map(tuple, table.read().collect()), key=repr))
+        assert not lake.exists(lake.config.raw, f"{name}_staged")
+        before = files(table)
+        table.upsert(source.where("id = 'alone'"), "row_hash", latest_by=["v"])
+        assert files(table) == before
+    assert found[0] == found[1] and len(found[0]) == 59
+    for path in files(table):
+        bucket = int(path.split("_")[-1].split(".")[0])
+        assert bucket < 12 and bucket % 4 == int(path.split("key_group=")[1].split("/")[0])
+    with pytest.raises(ValueError, match="buckets"):
+        lake.keyed(lake.config.raw, "split", target.schema, "id", 4, bucketed=True).read()
+
+
 def test_new_keys_only_add_files(spark, lake):
     schema = "id string, v int, note string, row_hash string"
     old = spark.range(1000).selectExpr("cast(id as string) id", "1 v", "'t' note", "'h' row_hash")
