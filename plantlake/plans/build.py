@@ -16,6 +16,9 @@ from plantlake.sources.schemas import RAW_TABLES
 from plantlake.sources.store import VERSION_ID, HistoryTable, KeyedTable, Lake, register_view
 
 
+# Buckets of a group of a curated table: tasks that compare and rewrite it.
+SPLIT = 8
+
 # Curated tables by their stored names.
 READERS = {
     "equipment_history" if spec is EQUIPMENT_VERSIONS else name: spec for name, spec in ENTITIES.items()
@@ -23,7 +26,11 @@ READERS = {
 
 
 def curated_table(lake: Lake, spec: EntitySpec, batch: DataFrame, key_groups: int) -> KeyedTable:
-    return lake.keyed(lake.config.curated, spec.name, batch.schema, spec.key, key_groups, logged=True)
+    """Bucketed, but for a table that was filled without buckets, which stays as it is."""
+    found = lake.keyed(
+        lake.config.curated, spec.name, batch.schema, spec.key, key_groups, logged=True, bucketed=True, split=SPLIT
+    )
+    return found.as_stored()
 
 
 def history_table(lake: Lake, batch: DataFrame, key_groups: int, numbered: bool = False) -> HistoryTable:

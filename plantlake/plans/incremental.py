@@ -10,8 +10,10 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import timedelta
+from uuid import uuid4
 
-from pyspark.sql import Column, DataFrame, Row, Window
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation, Row, Window
 from pyspark.sql import functions as F
 
 from plantlake.functions.times import AsOf, date_key, ntz, start_of_hour
@@ -21,6 +23,8 @@ from plantlake.plans import facts
 from plantlake.sources.store import BATCH, BEFORE, CHANGE, INSERTED, KeyedTable, Lake, latest_images
 
 SEEN = "seen"
+# Rows of a partition that one task puts in place.
+HOT_ROWS = 1_000_000
 
 
 def same(left: str, right: str, columns: Sequence[str]) -> Column:
@@ -161,12 +165,39 @@ class Partitions:
     def rows(self) -> DataFrame:
         return self.lake.read(self.lake.config.gold, self.fact).where(self.condition())
 
-    def replace(self, rows: DataFrame) -> None:
+    def changed(self, key: str, gone: DataFrame, last: DataFrame) -> DataFrame:
+        """Rows of these partitions without those that ``gone`` or ``last`` names by partition and key, and with ``last``.
+
+        One shuffle, by partition, serves the choice and the write after it. A partition with very many rows goes to
+        several tasks by the hash of the key.
+        """
+        columns, where = self.rows().columns, [*self.by, key]
+        named = gone.select(*where)
+        counts = self.rows().select(*self.by).unionByName(named.unionByName(last.select(*where)).select(*self.by))
+        hot = counts.groupBy(*self.by).count().where(F.col("count") > HOT_ROWS).collect()
+        deal = F.lit(0)
+        for row in hot:
+            met = F.lit(True)
+            for c in self.by:
+                met = met & F.col(c).eqNullSafe(F.lit(row[c]))
+            deal = F.when(met, F.pmod(F.hash(key), F.lit(row["count"] // HOT_ROWS + 1))).otherwise(deal)
+        rows = self.rows().withColumn("_kind", F.lit(0)).unionByName(last.select(columns).withColumn("_kind", F.lit(2)))
+        rows = rows.unionByName(named.withColumn("_kind", F.lit(1)), allowMissingColumns=True).withColumn("_deal", deal)
+        known = Window.partitionBy(*self.by, "_deal", key)
+        rows = rows.repartition(*self.by, "_deal").withColumn("_most", F.max("_kind").over(known))
+        return rows.where((F.col("_kind") == 2) | (F.col("_most") == 0)).select(columns)
+
+    def replace(self, rows: DataFrame, as_they_lie: bool = False) -> None:
         """Put ``rows`` in place of these partitions, and drop those for which there are none."""
-        left = self._listed(rows)
-        if left:
-            stored = self.lake.read(self.lake.config.gold, self.fact).columns
-            self.lake.overwrite_partitions(rows.select(stored).hint("rebalance", *self.by), self.name)
+        stored = self.lake.read(self.lake.config.gold, self.fact).columns
+        seen = Observation(f"{self.fact}-{uuid4().hex}")
+        kept = rows.select(stored).observe(seen, F.collect_set(F.struct(*self.by)).alias("left"))
+        self.lake.overwrite_partitions(kept if as_they_lie else kept.hint("rebalance", *self.by), self.name)
+        try:
+            left = set(seen.get["left"])
+        except Py4JJavaError:
+            # Where Spark finds while it runs that there are no rows, it leaves the observation out.
+            left = self._listed(rows)
         for gone in self.values - left:
             listed = ", ".join(f"`{c}` = {_literal(gone[c])}" for c in self.by)
             self.lake.spark.sql(f"ALTER TABLE {self.name} DROP IF EXISTS PARTITION ({listed})")
@@ -192,8 +223,8 @@ def _seen(lake: Lake, fact: str) -> int | None:
 def refresh_row_fact(lake: Lake, spec: FactSpec, source: KeyedTable, rebuild: bool = False) -> int | None:
     """Bring a fact up to date with its source; how many partitions were replaced, or None for all.
 
-    Old and new states of the changed source rows say which days are touched. Of these partitions the rows
-    with changed keys go and their last states come; no other partition is read or written, nor is
+    Old and new states of the changed source rows say which days are touched, and where rows with changed keys
+    lie. Of these partitions such rows go and their last states come; no other partition is read or written, nor is
     the source. A repeated run finds the same: keys that are in place already are taken out and put back.
     """
     done, seen, name = source.done(), _seen(lake, spec.name), lake.config.qualify(lake.config.gold, spec.name)
@@ -206,9 +237,12 @@ def refresh_row_fact(lake: Lake, spec: FactSpec, source: KeyedTable, rebuild: bo
     changes = source.changes(seen)
     touched = Partitions(lake, spec.name, spec.by, spec.build(changes.drop(CHANGE, BATCH)))
     if touched.values:
-        keys = changes.select(F.col(spec.source_key).alias(spec.key)).distinct()
-        last = spec.build(latest_images(changes, spec.source_key))
-        touched.replace(without(touched.rows(), keys, [spec.key]).unionByName(last))
+        # A batch has one row per key; only the rows of several batches need a choice.
+        after = changes.where(F.col(CHANGE) != BEFORE)
+        one = done - seen == 1
+        last = spec.build(after.drop(CHANGE, BATCH) if one else latest_images(changes, spec.source_key))
+        gone = spec.build(changes.where(F.col(CHANGE) == BEFORE) if one else changes)
+        touched.replace(touched.changed(spec.key, gone, last), as_they_lie=True)
     lake.note(name, **{SEEN: str(done)})
     return len(touched.values)
 

@@ -32,8 +32,7 @@ def raw_table(lake: Lake, table: str, key_groups: int = 16) -> KeyedTable:
     """Bucketed, but for a table that was filled without buckets, which stays as it is."""
     spec = RAW_TABLES[table]
     found = lake.keyed(lake.config.raw, table, raw_schema(table), spec.key, key_groups, logged=True, bucketed=True)
-    found.bucketed = not found.exists() or found.noted("bucketed") == "true"
-    return found
+    return found.as_stored()
 
 
 def _keep_latest(target: KeyedTable, latest: datetime | None) -> None:

@@ -27,7 +27,7 @@ from plantlake.operators.merge import merge_insert_only, merge_upsert
 from plantlake.plans import calendar as cal
 from plantlake.plans import dimensions as dim
 from plantlake.plans import facts, reports, views
-from plantlake.plans.build import build_lake, curated_table, history_table
+from plantlake.plans.build import SPLIT, build_lake, curated_table, history_table
 from plantlake.plans.entities import (
     EQUIPMENT,
     EQUIPMENT_VERSIONS,
@@ -63,8 +63,7 @@ BUILD_AS_OF = datetime(2001, 9, 1, 6, 0)
 FIRST_EXTRACT = date(2000, 1, 1)
 SENSOR_EXTRACT = date(2024, 1, 20)
 
-# Groups of stored tables, and buckets of a group where rows are compared as they lie.
-KEY_GROUPS, SPLIT = 16, 8
+KEY_GROUPS = 16
 
 AS_OF = {
     EQUIPMENT.name: EQUIPMENT_AS_OF,

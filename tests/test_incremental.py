@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from plantlake.config import LakeConfig
 from plantlake.operators.curate import COMPILED_BYTES, HUGE_METHOD, curate
 from plantlake.operators.merge import compared_rows, marked_rows
-from plantlake.plans import facts
+from plantlake.plans import facts, incremental
 from plantlake.plans.build import build_lake, curated_table
 from plantlake.plans.entities import PRODUCTION, SENSORS, TABLE_HASH
 from plantlake.plans.incremental import ROW_FACTS, curated_batch, new_rows, refresh_hourly, refresh_row_fact
@@ -100,6 +100,46 @@ def test_a_batch_touches_its_days_only(spark, lake):
     assert refresh_row_fact(lake, PRODUCTION_FACT, table) == 0 and files(lake, "fact_production") == before
 
 
+def test_a_second_run_shuffles_its_batch_and_the_touched_days_once(spark, lake, monkeypatch):
+    day = lambda d: f"2024-01-{d:02d} 08:00:00"
+    monkeypatch.setattr(incremental, "HOT_ROWS", 3, raising=False)
+    table = curated_orders(lake, spark, [(i, day(1 + i % 9), i, 0) for i in range(45)] + [(98, day(20), 1, 0)])
+    refresh_row_fact(lake, PRODUCTION_FACT, table)
+    shuffles, whole = [], Lake.overwrite_partitions
+
+    def recorded(self, rows, name):
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        shuffles.append(sum("Exchange " in line for line in plan.splitlines()))
+        whole(self, rows, name)
+
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    monkeypatch.setattr(Lake, "overwrite_partitions", recorded)
+    try:
+        curated_orders(lake, spark, [(i, day(3), 100 + i, 1) for i in range(12)] + [(60, day(3), 1, 1), (61, day(21), 1, 1)])
+        refresh_row_fact(lake, PRODUCTION_FACT, table)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    # The log, the stored table, the fact.
+    assert shuffles == [1, 0, 1]
+    check_fact(lake, table)
+    # All that is left of the touched days goes.
+    curated_orders(lake, spark, [(98, None, 1, 2)])
+    assert refresh_row_fact(lake, PRODUCTION_FACT, table) == 1
+    assert "start_date_key=20240120" not in files(lake, "fact_production")
+    check_fact(lake, table)
+
+
+def test_a_curated_table_without_buckets_stays_so(spark, lake):
+    batch = curate(orders(spark, [(i, None, i, 0) for i in range(9)]), PRODUCTION)
+    old = lake.keyed(lake.config.curated, PRODUCTION.name, batch.schema, PRODUCTION.key, 4, logged=True)
+    old.load(batch)
+    table = curated_orders(lake, spark, [(2, None, 70, 1), (40, None, 1, 1)])
+    assert not table.bucketed and table.done() == 1
+    wanted = {f"o{i}": i for i in range(9)} | {"o2": 70, "o40": 1}
+    assert {r.production_order_id: r.actual_quantity for r in table.read().collect()} == wanted
+
+
 def test_only_touched_partitions_are_read(spark, lake):
     table = curated_orders(lake, spark, [(i, f"2024-01-{1 + i % 9:02d} 08:00:00", i, 0) for i in range(45)])
     refresh_row_fact(lake, PRODUCTION_FACT, table)
